@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks import tables as T
+from checks import storage as S, tables as T
 from checks.sql import AS_OF, BENCH, places, rounded, with_parts
 from tidewick.config import Settings
 from tidewick.functions.numeric import ratio
@@ -459,3 +459,42 @@ add("q15_backtest_rows", lambda s, d: serving.backtest_rows(T.Tables(s, d), "vol
 add("q15_live_volume", lambda s, d: serving.live_accuracy(T.Tables(s, d)), "fh mkm", LIVE_V, "predicted actual")
 add("q15_backtest_options", lambda s, d: serving.backtest_options(T.Tables(s, d)), "bt", "SELECT DISTINCT model_name, symbol FROM bt")
 add("flagship_gold_events", lambda s, d: lakehouse.gold_from(B.b1(s, d)), "gx1", "SELECT * FROM gx1", EVENT_D)
+
+# ------------------------------------------------------------------ sinks, read back
+add("s5_partitioned_append", S.appended, "c3", "SELECT * FROM c3", F1)
+add("s6_silver_overwrite", S.overwritten_silver, "s3", "SELECT * FROM s3", SILVER_D)
+add("s6_gold_snapshot", lambda s, d: S.refreshed_lake(s, d).read("events"), "gx3", "SELECT * FROM gx3", EVENT_D)
+add("s7_atomic_replace", S.replaced, "hrm", "SELECT count(*) AS first_count, count(*) FILTER (WHERE candles > 1) AS second_count, count(*) FILTER (WHERE candles > 1) AS now FROM hrm")
+add("s9_append_log", S.appended_log, "rl", "SELECT * FROM rl", "duration_s")
+add("s10_replace_slice", S.replaced_slice, "bt", "SELECT model_name, CASE model_name WHEN 'volume_forecast' THEN 'r2' ELSE 'r1' END AS run_id, count(*) AS n FROM bt GROUP BY 1, 2")
+add("s12_dataset_snapshot", S.saved_dataset, "vt", "SELECT hour_utc, y, roll24 FROM vt", "y roll24")
+CSV_TS = "strftime({c}, '%Y-%m-%dT%H:%M:%S') AS {c}"
+add("q16_export_events", S.exported_events, "gxm pr", f"""
+SELECT e.event_id, e.symbol, p.name, strftime(e.start_ts, '%Y-%m-%dT%H:%M:%S') AS start_ts, CAST(e.is_pump_dump AS VARCHAR) AS is_pump_dump,
+  CAST(e.concurrent_symbols AS VARCHAR) AS concurrent_symbols, CAST(NULL AS VARCHAR) AS anomaly_score
+FROM gxm e LEFT JOIN pr p ON p.symbol = e.symbol WHERE {E_DEF}""")
+add("q16_export_prices", S.exported_prices, "dqm pr gxm", f"""
+SELECT t.symbol, p.name, CAST(coalesce(ev.n, 0) AS VARCHAR) AS events_90d, CAST(p.rank_24h AS VARCHAR) AS rank_24h, strftime(p.listed_at, '%Y-%m-%dT%H:%M:%S') AS listed_at
+FROM dqm t LEFT JOIN pr p ON p.symbol = t.symbol LEFT JOIN (SELECT symbol, count(*) AS n FROM gxm WHERE {STRONG} GROUP BY 1) ev ON ev.symbol = t.symbol""")
+add("s13_export_coin", S.exported_coin, "hrm", f"SELECT strftime(t, '%Y-%m-%dT%H:%M:%S') AS t, close FROM ({bucket_sql('day', 90)})", "close")
+
+# ------------------------------------------------------------------ streams
+LATE = "- INTERVAL 2 HOUR"
+add("st1_stream_ingest", S.stream_ingest, "c3", "SELECT * FROM c3", F1)
+add("st2_stream_dedupe", S.stream_dedupe, "c3 d3", f"SELECT * FROM d3 WHERE ts + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM c3) {LATE}", F1)
+add("st3_stream_hourly", S.stream_hourly, "hr1 s1", f"SELECT * FROM hr1 WHERE hour_utc + INTERVAL 1 HOUR <= (SELECT max(ts) FROM s1) {LATE}", HOURLY_D)
+add("st4_stream_silver", S.stream_silver, "s1", "SELECT * FROM s1", SILVER_D)
+add("st5_stream_sessions", S.stream_sessions, "ev1 cand1", f"""
+SELECT symbol, start_ts, last_signal_ts, base_price, max_vol_x, max_chg_5m_pct, signal_minutes, active_share_1d FROM ev1
+WHERE last_signal_ts + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM cand1) {LATE}""", "base_price max_vol_x max_chg_5m_pct active_share_1d")
+add("st6_stream_triggers", S.stream_triggers, "trg1", "SELECT symbol, ts, chg_5m, vol_x_5m FROM trg1", "chg_5m vol_x_5m")
+add("st7_stream_publish", S.stream_publish)
+
+# ------------------------------------------------------------------ trained models (no SQL equivalent)
+add("m3_boosted_regression", S.boosted_volume)
+add("m4_recursive_forecast", S.recursive_paths)
+add("m5_published_with_band", S.published_volatility)
+add("m6_warning_classifier", S.warning_model)
+add("m7_scored_warnings", S.scored_warnings)
+add("m8_direction_experiment", S.direction_run)
+add("m9_anomaly_scores", S.anomalies)

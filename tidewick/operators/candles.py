@@ -33,12 +33,24 @@ def with_quote_volume(candles: DataFrame) -> DataFrame:
     return candles.withColumn("vol_thb", F.col("volume") * F.col("close"))
 
 
-def _edges(candles: DataFrame, block_us: int) -> DataFrame:
-    """Per (symbol, block): the last candle of earlier blocks and the symbol's first ts."""
-    per_block = (
-        candles.groupBy("symbol", floor_div(micros("ts"), block_us).alias(BLOCK))
-        .agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"), F.max_by("close", "ts").alias("_close"))
-    )
+def block_summary(candles: DataFrame, settings: Settings = DEFAULTS, version: str | None = None) -> DataFrame:
+    """First ts and last candle per (symbol, block): all that later blocks need to know.
+
+    ``version`` names the column that decides between copies of the same minute.
+    """
+    recency = F.struct("ts", version) if version else F.col("ts")
+    return candles.groupBy("symbol", floor_div(micros("ts"), settings.block_days * DAY).alias(BLOCK)).agg(
+        F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.max_by("close", recency).alias("last_close"),
+        (F.max(version) if version else F.lit(None).cast("timestamp_ntz")).alias("seen_at"))
+
+
+def edges(summary: DataFrame) -> DataFrame:
+    """Per (symbol, block): the last candle of earlier blocks and the symbol's first ts.
+
+    ``summary`` may hold several rows per block, one per pull.
+    """
+    newest = F.max_by("last_close", F.struct("hi", "seen_at"))
+    per_block = summary.groupBy("symbol", BLOCK).agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"), newest.alias("_close"))
     by_block = Window.partitionBy("symbol").orderBy(BLOCK)
     return per_block.select(
         "symbol", BLOCK,
@@ -53,9 +65,11 @@ def _between(up_to: Column, before: Column) -> Column:
     return F.coalesce(up_to, F.lit(0)) - F.coalesce(before, F.lit(0))
 
 
-def minute_features(candles: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def minute_features(candles: DataFrame, settings: Settings = DEFAULTS, summary: DataFrame | None = None) -> DataFrame:
     """Every per-minute feature from one shuffle on (symbol, block).
 
+    ``summary`` describes the whole history when ``candles`` is only its tail.
+
     Frames of an hour or less are plain RANGE frames. The 7-day sum and the 1-day count
     are differences of frames that start at the block, which Spark extends row by row
     instead of rescanning; sums there are decimal, so the difference is exact.
@@ -64,7 +78,8 @@ def minute_features(candles: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     base = with_quote_volume(candles).withColumn("_us", micros("ts")).withColumn(
         "_exact", F.col("vol_thb").cast("decimal(28,10)"))
     laid = with_halo(base, "_us", block_us, back_us=7 * DAY, ahead_us=60 * MINUTE)
-    laid = laid.join(_edges(candles, block_us), ["symbol", BLOCK])
+    known = block_summary(candles, settings) if summary is None else summary
+    laid = laid.join(edges(known), ["symbol", BLOCK])
 
     w = in_block(["symbol"], "_us")
     start = Window.unboundedPreceding
