@@ -36,7 +36,7 @@ def add(key: str, make, parts: str | None = None, sql: str | None = None, double
 
 
 F1 = "open high low close volume"
-SILVER_D = F1 + " vol_thb ret_1m open_5m chg_5m vol5_thb base_vpm_thb:10 active_share_1d range_1m max_high_next60 min_low_next60 close_next15 vol_x_5m"
+SILVER_D = F1 + " vol_thb ret_1m:9 open_5m chg_5m:9 vol5_thb base_vpm_thb:10 active_share_1d range_1m:9 max_high_next60 min_low_next60 close_next15 vol_x_5m"
 EVENT_D = ("base_price peak_price pump_pct max_vol_x max_chg_5m_pct min_low_after dump_pct retrace_share minutes_to_peak "
            "minutes_to_half_retrace active_share_1d vol_thb_event")
 FRAME_D = "y lag1 lag2 lag3 lag24 roll24 hour_sin hour_cos"
@@ -327,7 +327,7 @@ add("a25_median_imputation", lambda s, d: stats.impute_medians(T.gold(s, d).sele
 # ------------------------------------------------------------------ windows
 add("w1_latest_wins", lambda s, d: candles.latest_candles(B.repeated_pulls(s, d)), "d3", "SELECT * FROM d3", F1)
 for _key, _cols, _dbl in (
-    ("w2_lag_return_gap", "ret_1m gap_min", "ret_1m"), ("w3_open_5m", "open_5m chg_5m", "open_5m chg_5m"), ("w4_vol5", "vol5_thb", "vol5_thb"),
+    ("w2_lag_return_gap", "ret_1m gap_min", "ret_1m:9"), ("w3_open_5m", "open_5m chg_5m", "open_5m chg_5m:9"), ("w4_vol5", "vol5_thb", "vol5_thb"),
     ("w5_volume_baseline", "base_vpm_thb", "base_vpm_thb:10"), ("w6_active_share", "active_share_1d", "active_share_1d"),
     ("w7_forward_extremes", "max_high_next60 min_low_next60", "max_high_next60 min_low_next60"), ("w8_close_next15", "close_next15", "close_next15"),
 ):

@@ -166,7 +166,7 @@ def stream_silver(s, d) -> DataFrame:
 def stream_publish(s, d) -> DataFrame:
     lake = new_lake(s)
     store = registry.ModelStore(lake)
-    model, _ = forecast.train_volume(T.volume_frame(s, d), rounds=ROUNDS)
+    model, _ = _volume_model(s, d)
     store.deploy("volume_forecast", "r1", model)
     T.market(s, d).write.parquet(lake.path("market_hourly"))
     stream = jobs.landed(s, lake.path("market_hourly"), "market_hourly")
@@ -176,13 +176,33 @@ def stream_publish(s, d) -> DataFrame:
 
 # ---- models
 def boosted_volume(s, d) -> DataFrame:
-    _, predicted = forecast.train_volume(T.volume_frame(s, d), rounds=ROUNDS)
+    _, predicted = _volume_model(s, d)
     return forecast.backtest(predicted, "lag24", "volume_forecast", "r1")
 
 
+_MODELS: dict[tuple, tuple] = {}
+
+
+def _once(s, d, name: str, train):
+    """Trained once per session and data folder; several queries apply the same model."""
+    key = (s.sparkContext.applicationId, d, name)
+    if key not in _MODELS:
+        _MODELS[key] = train()
+    return _MODELS[key]
+
+
 def _volatility_model(s, d):
-    model, _, means = forecast.train_volatility(T.volatility_frame(s, d), rounds=ROUNDS)
-    return model, forecast.encode_symbol(T.volatility_frame(s, d), means)
+    frame = T.volatility_frame(s, d)
+    model, _, means = _once(s, d, "volatility", lambda: forecast.train_volatility(frame, rounds=ROUNDS))
+    return model, forecast.encode_symbol(frame, means)
+
+
+def _volume_model(s, d):
+    return _once(s, d, "volume", lambda: forecast.train_volume(T.volume_frame(s, d), rounds=ROUNDS))
+
+
+def _warning_model(s, d):
+    return _once(s, d, "warning", lambda: warning.train(T.labelled(s, d), rounds=ROUNDS))
 
 
 def recursive_paths(s, d) -> DataFrame:
@@ -198,11 +218,11 @@ def published_volatility(s, d) -> DataFrame:
 
 def warning_model(s, d) -> DataFrame:
     split = T.labelled(s, d)
-    return warning.evaluation(warning.score(warning.train(split, rounds=ROUNDS), split.where("is_test")))
+    return warning.evaluation(warning.score(_warning_model(s, d), split.where("is_test")))
 
 
 def scored_warnings(s, d) -> DataFrame:
-    return warning.recent_warnings(T.silver(s, d), warning.train(T.labelled(s, d), rounds=ROUNDS), T.AS_OF)
+    return warning.recent_warnings(T.silver(s, d), _warning_model(s, d), T.AS_OF)
 
 
 def direction_run(s, d) -> DataFrame:

@@ -14,6 +14,7 @@ from tidewick.functions.timefn import shift
 from tidewick.operators import stats
 from tidewick.operators.grid import LAGS, complete_hours, densify, lagged, with_clock
 from tidewick.plans.serving import at, top_symbols
+from tidewick.session import written
 
 SHARED = ["lag1", "lag2", "lag3", "lag24", "roll24", "hour_sin", "hour_cos", "dow"]
 VOLUME_INPUTS = SHARED
@@ -140,10 +141,17 @@ def bounds(y: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
 
 
 def publish(frame: DataFrame, model: PipelineModel, cut: Column, model_name: str, as_of: dt.datetime, settings: Settings = DEFAULTS) -> DataFrame:
-    """Rows for ``forecasts``: the next hours of every symbol with their error bounds."""
+    """Rows for ``forecasts``: the next hours of every symbol with their error bounds.
+
+    Test origins and the newest origin walk together; the stored paths then serve both the
+    band and the forecast.
+    """
     horizon = settings.horizon_h
-    band = error_band(forecast_paths(test_origins(frame, cut, horizon), model, horizon), settings)
-    ahead = forecast_paths(last_origins(frame), model, horizon).select("symbol", "hour_utc", F.posexplode("path").alias("_i", "y"))
+    tested = test_origins(frame, cut, horizon).withColumn("ahead", F.lit(False))
+    newest = last_origins(frame).withColumn("actual", F.lit(None).cast("array<double>")).withColumn("ahead", F.lit(True))
+    paths = written(forecast_paths(tested.unionByName(newest), model, horizon), "paths")
+    band = error_band(paths.where("NOT ahead"), settings)
+    ahead = paths.where("ahead").select("symbol", "hour_utc", F.posexplode("path").alias("_i", "y"))
     rows = ahead.withColumn("h", F.col("_i") + 1).join(band.select("symbol", "h", "lo", "hi"), ["symbol", "h"], "left")
     lower, upper = bounds(F.col("y"), F.col("lo"), F.col("hi"))
     return rows.select(
@@ -160,12 +168,9 @@ def enough_hours(hours: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def fit(train: DataFrame, pipeline: Pipeline) -> PipelineModel:
-    """Boosting passes over its rows many times, so they are kept while it runs."""
-    kept = train.persist()
-    try:
-        return pipeline.fit(kept)
-    finally:
-        kept.unpersist()
+    """Boosting passes over its rows many times: they are stored once, with files as
+    partitions, so that a round neither repeats the features nor depends on executor memory."""
+    return pipeline.fit(written(train, "train"))
 
 
 def train_volume(frame: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> tuple[PipelineModel, DataFrame]:

@@ -13,14 +13,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewick.functions.timefn import floor_div
 
 BLOCK = "_block"
-OWN = "_own"
 
 
 def with_halo(df: DataFrame, at: str, block_us: int, back_us: int = 0, ahead_us: int = 0) -> DataFrame:
     """Copy each row to its own block and to the adjacent blocks whose frames reach it.
 
-    ``back_us`` / ``ahead_us`` are the longest frame reaches. Exactly one copy has
-    ``_own`` true.
+    ``back_us`` / ``ahead_us`` are the longest frame reaches. ``owned`` tells the one
+    original from the copies.
     """
     if max(back_us, ahead_us) > block_us:
         raise ValueError("a block must be at least as long as the frame reach")
@@ -30,8 +29,11 @@ def with_halo(df: DataFrame, at: str, block_us: int, back_us: int = 0, ahead_us:
         homes.append(F.when(F.col(at) >= (own + 1) * block_us - back_us, own + 1))
     if ahead_us:
         homes.append(F.when(F.col(at) < own * block_us + ahead_us, own - 1))
-    placed = df.withColumn(BLOCK, F.explode(F.array_compact(F.array(*homes))))
-    return placed.withColumn(OWN, F.col(BLOCK) == own)
+    return df.withColumn(BLOCK, F.explode(F.array(*homes))).where(F.col(BLOCK).isNotNull())
+
+
+def owned(at: str, block_us: int) -> Column:
+    return floor_div(F.col(at), block_us) == F.col(BLOCK)
 
 
 def in_block(keys: list[str], at: str):

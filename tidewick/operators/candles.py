@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.config import BASELINE_MINUTES, DAY_MINUTES, DEFAULTS, Settings
 from tidewick.functions.numeric import change, ratio
-from tidewick.functions.timefn import DAY, MINUTE, floor_div, micros, minutes_between, shift
-from tidewick.operators.blocks import BLOCK, OWN, in_block, with_halo
+from tidewick.functions.timefn import DAY, MINUTE, floor_div, from_micros, micros
+from tidewick.operators.blocks import BLOCK, in_block, owned, with_halo
 
 VALUES = ["open", "high", "low", "close", "volume"]
 
@@ -72,14 +72,14 @@ def minute_features(candles: DataFrame, settings: Settings = DEFAULTS, summary:
 
     Frames of an hour or less are plain RANGE frames. The 7-day sum and the 1-day count
     are differences of frames that start at the block, which Spark extends row by row
-    instead of rescanning; sums there are decimal, so the difference is exact.
+    instead of rescanning; sums there are decimal, so the difference is exact. Only the
+    candle itself is shuffled; everything derived from it is computed behind the shuffle.
     """
     block_us = settings.block_days * DAY
-    base = with_quote_volume(candles).withColumn("_us", micros("ts")).withColumn(
-        "_exact", F.col("vol_thb").cast("decimal(28,10)"))
-    laid = with_halo(base, "_us", block_us, back_us=7 * DAY, ahead_us=60 * MINUTE)
-    known = block_summary(candles, settings) if summary is None else summary
-    laid = laid.join(edges(known), ["symbol", BLOCK])
+    known = edges(block_summary(candles, settings) if summary is None else summary)
+    slim = candles.select("symbol", micros("ts").alias("_us"), *VALUES)
+    laid = with_halo(slim, "_us", block_us, back_us=7 * DAY, ahead_us=60 * MINUTE).repartition("symbol", BLOCK)
+    laid = with_quote_volume(laid).withColumn("_exact", F.col("vol_thb").cast("decimal(28,10)"))
 
     w = in_block(["symbol"], "_us")
     start = Window.unboundedPreceding
@@ -88,28 +88,32 @@ def minute_features(candles: DataFrame, settings: Settings = DEFAULTS, summary:
     next15 = w.rangeBetween(14 * MINUTE, 15 * MINUTE)
     upto_5m_ago = w.rangeBetween(start, -5 * MINUTE)
     before_7d = w.rangeBetween(start, -7 * DAY - 1)
-    upto_now = w.rangeBetween(start, 0)
     before_1d = w.rangeBetween(start, -DAY - 1)
 
     framed = laid.select(
-        "symbol", "ts", *VALUES, "vol_thb", "first_ts", OWN,
-        F.coalesce(F.lag(F.struct("ts", "close")).over(w), F.struct(F.col("_edge_ts").alias("ts"), F.col("_edge_close").alias("close"))).alias("_prev"),
+        "symbol", BLOCK, "_us", *VALUES, "vol_thb",
+        F.lag("_us").over(w).alias("_prev_us"),
+        F.lag("close").over(w).alias("_prev_close"),
         F.first("open").over(last5).alias("open_5m"),
         F.sum("vol_thb").over(last5).alias("vol5_thb"),
         _between(F.sum("_exact").over(upto_5m_ago), F.sum("_exact").over(before_7d)).alias("_base_sum"),
         _between(F.count("_exact").over(upto_5m_ago), F.count("_exact").over(before_7d)).alias("_base_n"),
-        _between(F.count("*").over(upto_now), F.count("*").over(before_1d)).alias("_day_n"),
+        (F.row_number().over(w) - F.count("*").over(before_1d)).alias("_day_n"),
         F.max("high").over(next60).alias("max_high_next60"),
         F.min("low").over(next60).alias("min_low_next60"),
         F.last("close").over(next15).alias("close_next15"),
-    ).where(OWN)
+    ).where(owned("_us", block_us)).join(known, ["symbol", BLOCK])
 
+    # the previous candle lies before the halo only after a pause of more than a week
+    inside = F.col("_prev_us").isNotNull()
+    prev_us = F.when(inside, F.col("_prev_us")).otherwise(micros("_edge_ts"))
+    prev_close = F.when(inside, F.col("_prev_close")).otherwise(F.col("_edge_close"))
     base_vpm = F.when(F.col("_base_n") > 0, F.col("_base_sum").cast("double") / F.lit(float(BASELINE_MINUTES)))
-    mature = F.col("ts") >= shift(F.col("first_ts"), days=1)
+    mature = F.col("_us") >= micros("first_ts") + DAY
     return framed.withColumn("base_vpm_thb", base_vpm).select(
-        "symbol", "ts", *VALUES, "vol_thb",
-        change(F.col("close"), F.col("_prev.close")).alias("ret_1m"),
-        minutes_between(F.col("_prev.ts"), F.col("ts")).alias("gap_min"),
+        "symbol", from_micros(F.col("_us")).alias("ts"), *VALUES, "vol_thb",
+        change(F.col("close"), prev_close).alias("ret_1m"),
+        (floor_div(F.col("_us"), MINUTE) - floor_div(prev_us, MINUTE)).alias("gap_min"),
         "open_5m",
         change(F.col("close"), F.col("open_5m")).alias("chg_5m"),
         "vol5_thb",

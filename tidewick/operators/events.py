@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewick.config import DEFAULTS, Settings
 from tidewick.functions.numeric import ratio
 from tidewick.functions.timefn import DAY, MINUTE, floor_div, from_micros, iso_weekday, local_hour, micros, minutes_elapsed
-from tidewick.operators.blocks import BLOCK, OWN, in_block, running_total, with_halo
+from tidewick.operators.blocks import BLOCK, in_block, owned, running_total, with_halo
 from tidewick.operators.ranges import range_join
 
 SIGNAL = ["symbol", "ts", "open_5m", "chg_5m", "vol_x_5m", "active_share_1d", "vol5_thb"]
@@ -31,7 +31,7 @@ def _marked(rows: DataFrame, gap_us: int, block_us: int) -> DataFrame:
     laid = with_halo(rows.withColumn("_us", micros("ts")), "_us", block_us, back_us=gap_us)
     previous = F.lag("_us").over(in_block(["symbol"], "_us"))
     close_by = F.coalesce(F.col("_us") - previous <= gap_us, F.lit(False))
-    return laid.withColumn("_opens", ~close_by).where(OWN).drop(OWN, BLOCK)
+    return laid.withColumn("_opens", ~close_by).where(owned("_us", block_us)).drop(BLOCK)
 
 
 def sessions(signals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -152,7 +152,7 @@ def with_concurrency(events: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     w = in_block(["symbol"], "_us")
     opens = F.coalesce(F.col("_us") - F.lag("_us").over(w) > 2 * reach, F.lit(True))
     closes = F.coalesce(F.lead("_us").over(w) - F.col("_us") > 2 * reach, F.lit(True))
-    marks = laid.withColumn("_opens", opens).withColumn("_closes", closes).where(OWN)
+    marks = laid.withColumn("_opens", opens).withColumn("_closes", closes).where(owned("_us", block_us))
     steps = marks.select(F.explode(F.array_compact(F.array(
         F.struct(F.col("_us").alias("at"), F.lit(0).alias("step"), F.lit(1).alias("asked")),
         F.when(F.col("_opens"), F.struct((F.col("_us") - reach).alias("at"), F.lit(1).alias("step"), F.lit(0).alias("asked"))),
