@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewick.config import Settings
 from tidewick.learning import forecast, registry, warning
 from tidewick.operators import candles, events, rollups, stats
-from tidewick.plans import ingest, serving
+from tidewick.plans import ingest, lakehouse, serving
 from tidewick.session import use_utc, written
 from tidewick.sources import bindings as B
 
@@ -38,7 +38,7 @@ def silver(spark, d, which="1") -> DataFrame:
 
 
 def gold(spark, d, which="1") -> DataFrame:
-    return stored(spark, d, f"events:{which}", lambda: events.gold_events(silver(spark, d, which)))
+    return stored(spark, d, f"events:{which}", lambda: lakehouse.gold_events(silver(spark, d, which)))
 
 
 def facts(spark, d, which="1") -> DataFrame:

@@ -172,12 +172,6 @@ def carry_scores(events: DataFrame, scored: DataFrame | None) -> DataFrame:
     return events.drop("anomaly_score").join(kept, "event_id", "left")
 
 
-def gold_events(silver: DataFrame, scored: DataFrame | None = None, settings: Settings = DEFAULTS) -> DataFrame:
-    facts = session_facts(sessions(candidates(silver, settings), settings))
-    events = with_concurrency(measured(event_paths(facts, silver, settings)), settings)
-    return carry_scores(events, scored).select(*EVENT, "concurrent_symbols", "anomaly_score")
-
-
 def event_candles(events: DataFrame, silver: DataFrame) -> DataFrame:
     """Candles from an hour before the start to 90 minutes past the peak, per event."""
     spans = events.select(

@@ -142,8 +142,8 @@ def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = F.col("value").cast("decimal(18,2)")
     even = F.col("event_id") % 2 == 0
     daily = events.groupBy("event_type", trunc("day", "ts").alias("run_at")).agg(
-        F.round(F.sum(exact).cast("double") / F.count("*"), 4).alias("value"),
-        F.round(F.sum(F.when(even, exact)).cast("double") / F.nullif(F.count(F.when(even, 1)), F.lit(0)), 4).alias("baseline"),
+        (F.sum(exact).cast("double") / F.count("*")).alias("value"),
+        (F.sum(F.when(even, exact)).cast("double") / F.nullif(F.count(F.when(even, 1)), F.lit(0))).alias("baseline"),
         F.count("*").alias("train_rows"), (F.count("*") % 7).alias("test_rows"))
     return daily.withColumn("_k", kind[F.col("event_type")]).select(
         "_k.model_name", "_k.metric", "value", "baseline", "_k.higher_is_better", "train_rows", "test_rows", "run_at",

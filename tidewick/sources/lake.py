@@ -55,14 +55,14 @@ class LakeTables:
             writer = writer.partitionBy(*PARTITIONS[table])
         writer.parquet(self.path(table))
 
-    def replace_slices(self, table: str, rows: DataFrame, sort: list[str] | None = None, spread: list | None = None) -> None:
+    def replace_slices(self, table: str, rows: DataFrame, sort: list[str] | None = None) -> None:
         """Overwrite only the partitions present in ``rows`` (needs a partitioned table).
 
-        ``spread`` adds keys to the shuffle so that a large partition becomes many files.
+        Rows are written where they are: a large partition becomes several files.
         """
         keys = PARTITIONS[table]
         if sort:
-            rows = rows.repartition(*keys, *(spread or [])).sortWithinPartitions(*keys, *sort)
+            rows = rows.sortWithinPartitions(*keys, *sort)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
             "compression", "zstd").partitionBy(*keys).parquet(self.path(table))
 
