@@ -14,7 +14,7 @@ from tidewick.functions.timefn import cyclic
 from tidewick.learning import anomaly, direction, forecast, registry, warning
 from tidewick.operators import candles, events, grid, rollups, sampling, stats
 from tidewick.plans import ingest, lakehouse, serving
-from tidewick.session import use_utc
+from tidewick.session import prepare
 from tidewick.sources import bindings as B, payloads
 
 QUERIES: dict = {}
@@ -27,7 +27,7 @@ def round_doubles(df: DataFrame, names: str) -> DataFrame:
 
 def add(key: str, make, parts: str | None = None, sql: str | None = None, doubles: str = "") -> None:
     def run(spark, d):
-        return round_doubles(make(use_utc(spark), d), doubles)
+        return round_doubles(make(prepare(spark), d), doubles)
 
     QUERIES[key] = run
     if sql is not None:

@@ -13,7 +13,7 @@ from tidewick.config import Settings
 from tidewick.learning import forecast, registry, warning
 from tidewick.operators import candles, events, rollups, stats
 from tidewick.plans import ingest, lakehouse, serving
-from tidewick.session import use_utc, written
+from tidewick.session import prepare, written
 from tidewick.sources import bindings as B
 
 AS_OF = B.AS_OF
@@ -24,7 +24,7 @@ _MEMO: dict[tuple, DataFrame] = {}
 def stored(spark: SparkSession, d: str, name: str, make) -> DataFrame:
     key = (spark.sparkContext.applicationId, d, name)
     if key not in _MEMO:
-        use_utc(spark)
+        prepare(spark)
         _MEMO[key] = written(make(), name.replace(":", "-"))
     return _MEMO[key]
 

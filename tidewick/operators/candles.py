@@ -78,7 +78,10 @@ def minute_features(candles: DataFrame, settings: Settings = DEFAULTS, summary:
     block_us = settings.block_days * DAY
     known = edges(block_summary(candles, settings) if summary is None else summary)
     slim = candles.select("symbol", micros("ts").alias("_us"), *VALUES)
-    laid = with_halo(slim, "_us", block_us, back_us=7 * DAY, ahead_us=60 * MINUTE).repartition("symbol", BLOCK)
+    laid = with_halo(slim, "_us", block_us, back_us=7 * DAY, ahead_us=60 * MINUTE)
+    # a fixed number of partitions: the frames are CPU-bound, so small blocks of bytes are not merged
+    width = int(candles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = laid.repartition(width, "symbol", BLOCK)
     laid = with_quote_volume(laid).withColumn("_exact", F.col("vol_thb").cast("decimal(28,10)"))
 
     w = in_block(["symbol"], "_us")

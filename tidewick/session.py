@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 _UNSET = "__unset__"
 
+# Runtime settings every operator may rely on. A window group holds at most one block plus
+# its halo (about 50,000 minute rows), so it is buffered in memory instead of in a sorter.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
+}
+
 
 def build_session(app: str = "tidewick", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings the operators rely on.
@@ -18,7 +25,6 @@ def build_session(app: str = "tidewick", master: str | None = None, shuffle_part
     """
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -29,12 +35,14 @@ def build_session(app: str = "tidewick", master: str | None = None, shuffle_part
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """All lake time is UTC; casts between TIMESTAMP and TIMESTAMP_NTZ depend on it."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session built elsewhere. All lake time is UTC; casts
+    between TIMESTAMP and TIMESTAMP_NTZ depend on it."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
     return spark
 
 

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from tidewick.config import DEFAULTS, Settings
 from tidewick.functions.timefn import MINUTE, micros, shift
@@ -147,17 +148,19 @@ class TailRefresh:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{self.bronze}/batch={batch_id}")
-        arrived = spark.read.schema(batch.schema).parquet(f"{self.bronze}/batch={batch_id}")
+        day = F.to_date("ts").alias("day")
+        batch.select("*", day).write.mode("overwrite").partitionBy("day").parquet(f"{self.bronze}/batch={batch_id}")
+        layout = StructType([*batch.schema.fields, StructField("day", DateType()), StructField("batch", LongType())])
+        history = spark.read.schema(layout).parquet(self.bronze)
+        arrived = history.where(F.col("batch") == batch_id).select(*batch.columns)
         summary = candles.block_summary(arrived, self.settings, version="ingested_at")
         summary.write.mode("overwrite").parquet(f"{self.summaries}/batch={batch_id}")
 
         touched = arrived.groupBy("symbol").agg(shift(F.min("ts"), minutes=-60).alias("_from"))
-        history = spark.read.schema(batch.schema).option("recursiveFileLookup", True).parquet(self.bronze)
-        # no row older than this matters to any symbol of the batch: prunes row groups by ts
+        # days older than this matter to no symbol of the batch and are not read
         oldest = shift(touched.agg(F.min("_from")).scalar(), days=-7, minutes=-5)
-        tail = history.where(F.col("ts") >= oldest).join(touched, "symbol").where(
-            F.col("ts") >= shift(F.col("_from"), days=-7, minutes=-5)).drop("_from")
+        recent = history.where((F.col("day") >= F.to_date(oldest)) & (F.col("ts") >= oldest)).select(*batch.columns)
+        tail = recent.join(touched, "symbol").where(F.col("ts") >= shift(F.col("_from"), days=-7, minutes=-5)).drop("_from")
         known = spark.read.schema(summary.schema).option("recursiveFileLookup", True).parquet(self.summaries)
         features = candles.minute_features(candles.latest_candles(tail), self.settings, known)
         changed = features.join(touched, "symbol").where(F.col("ts") >= F.col("_from")).drop("_from")
