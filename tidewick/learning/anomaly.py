@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewick.config import DEFAULTS, Settings
 from tidewick.operators import stats
 
+# The model inputs.
 INPUTS = ["pump_pct", "max_vol_x", "max_chg_5m_pct", "signal_minutes", "active_share_1d", "log_vol", "minutes_to_peak"]
 NODE = "tree int, node int, feature int, cut double, left int, right int, depth double"
 EULER = 0.5772156649015329

@@ -14,6 +14,7 @@ from tidewick.operators import stats
 from tidewick.operators.grid import with_clock
 from tidewick.operators.sampling import hash_sample
 
+# The model inputs.
 INPUTS = ["ret_1m", "chg_5m", "vol_x_5m", "range_1m", "active_share_1d", "hour_sin", "hour_cos", "dow"]
 NULLABLE = ["ret_1m", "chg_5m", "range_1m"]
 

@@ -19,6 +19,7 @@ from tidewick.operators.events import refractory_triggers
 from tidewick.operators.grid import with_clock
 from tidewick.plans.serving import at
 
+# The model inputs.
 INPUTS = [
     "chg_5m", "vol_x_5m", "ret_1m", "range_1m", "active_share_1d", "log_vol5", "gap_min", "hour_sin", "hour_cos", "dow",
 ]

@@ -335,7 +335,7 @@ def live_accuracy(t: dict[str, DataFrame], model: str = "volume_forecast", symbo
     return last.join(real, "hour_utc").select("hour_utc", "predicted", "actual", "generated_at").orderBy("hour_utc")
 
 
-# ---- Q16 exports
+# ---- Q16 exports. The column order of the three files.
 EXPORT_EVENTS = [
     "event_id", "symbol", "name", "start_ts", "peak_ts", "base_price", "peak_price", "pump_pct", "max_vol_x", "dump_pct",
     "minutes_to_peak", "minutes_to_half_retrace", "is_pump_dump", "concurrent_symbols", "active_share_1d",
