@@ -2,8 +2,6 @@ import datetime as dt
 import itertools
 import random
 
-from pyspark.sql import functions as F
-
 from tests.conftest import bars, minute
 from tidewick.config import Settings
 from tidewick.functions.timefn import MINUTE, micros
@@ -130,4 +128,3 @@ def test_fused_paths_equal_separate_joins(spark):
 
 def test_micros_is_utc(spark):
     assert spark.sql("SELECT timestamp_ntz'1970-01-01 00:00:01' AS t").select(micros("t")).first()[0] == 1_000_000
-    assert F is not None

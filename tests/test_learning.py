@@ -1,5 +1,3 @@
-import datetime as dt
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +8,6 @@ from tidewick.learning import anomaly, forecast, registry, warning
 from tidewick.operators import grid, sampling, stats
 from tidewick.plans import serving
 
-H = dt.timedelta(hours=1)
-
 
 def test_densify_hole_and_clock_lags(spark):
     rows = [("A", minute(60 * h), float(h + 1)) for h in (0, 1, 5)]
@@ -173,4 +169,3 @@ def test_each_tree_sees_exactly_the_sample(spark):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, t int, v string")
     assert sorted(map(tuple, serving.latest_per(df, ["k"], ["t"]).collect())) == [("a", 2, "y"), ("b", 1, "z")]
-    assert H == dt.timedelta(hours=1)
