@@ -171,6 +171,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap with no benchmark item, with their columns."""
-    hit = overlaps(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("_hit")), "left_anti")
+    """Rows of ``docs``, with their columns, that overlap with no benchmark item. Each row is judged by its own text,
+    so nothing is joined."""
+    for items in blocks(benchmark):
+        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(Block(items)))(F.col("text")))
+    return docs
+
+
+def _clean(shared):
+    @F.pandas_udf("boolean")
+    def clean(some: pd.Series) -> pd.Series:
+        return pd.Series([not t or not shared.value.matches(t) for t in some], dtype=bool)
+
+    return clean

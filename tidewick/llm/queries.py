@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewick.llm import content_sort, decontam, packing, planes, severity, simhash
+from tidewick.llm import content_sort, decontam, langid, packing, planes, recurrent, severity, simhash, urls, warc
 from tidewick.llm.common import table
 
 
+def op1_url_trees(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op2_ordinal_severity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return severity.score(docs, severity.fit(docs, table(spark, sf_dir, "labels")))
@@ -17,6 +21,11 @@ def op3_spaced_seeds(spark, sf_dir):
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_zip_warc(spark, sf_dir):
+    packages = warc.write_packages(table(spark, sf_dir, "pages"))
+    return warc.read_records(warc.record_places(packages)).drop("url", "payload")
+
+
 def op5_bit_planes(spark, sf_dir):
     return planes.checksums(planes.write_planes(table(spark, sf_dir, "documents")))
 
@@ -25,6 +34,14 @@ def op6_pattern_packing(spark, sf_dir):
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_centroid_language(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op8_recurrent_score(spark, sf_dir):
+    return recurrent.score(table(spark, sf_dir, "documents"))
+
+
 def op9_content_sort(spark, sf_dir):
     return content_sort.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -34,5 +51,5 @@ def op10_simhash_groups(spark, sf_dir):
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_ordinal_severity, op3_spaced_seeds, op5_bit_planes, op6_pattern_packing, op9_content_sort, op10_simhash_groups)}
-ORACLES = {"op9_content_sort": content_sort.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_url_trees, op2_ordinal_severity, op3_spaced_seeds, op4_zip_warc, op5_bit_planes, op6_pattern_packing, op7_centroid_language, op8_recurrent_score, op9_content_sort, op10_simhash_groups)}
+ORACLES = {"op4_zip_warc": warc.ORACLE, "op9_content_sort": content_sort.ORACLE}

@@ -156,40 +156,58 @@ def fit(docs: DataFrame, labels: DataFrame, grades: int = GRADES, bound: int = S
 
 
 # ---- scoring
+def features_sum(model: Ordinal):
+    """A function of whole texts that gives w.x for each."""
+    index = {f: i for i, f in enumerate(model.names)}  # at most FEATURES entries
+    hits: dict[str, tuple[int, ...]] = {}
+
+    def of(word: str) -> tuple[int, ...]:
+        if word not in hits:
+            if len(hits) >= REMEMBERED:
+                hits.clear()
+            hits[word] = tuple(index[f] for f in features_of(word) if f in index)
+        return hits[word]
+
+    def run(some) -> np.ndarray:
+        z = np.zeros(len(some))
+        for r, text in enumerate(some):
+            split = _WORD.findall((text or "").lower())
+            seen: dict[int, int] = {}
+            for word in split:
+                for i in hits[word] if word in hits else of(word):
+                    seen[i] = seen.get(i, 0) + 1
+            if seen:
+                z[r] = np.dot(model.weights[list(seen)], np.log1p(PER / len(split) * np.array(list(seen.values()))))
+        return z
+
+    return run
+
+
 def score(docs: DataFrame, model: Ordinal, cut: float = CUT) -> DataFrame:
     """One row per document: doc_id, severity (expected, 0..grades), grade (most probable), toxic (severity >= cut).
 
     Whole texts are read; null and empty ones have no features and get the severity of the thresholds alone. Repeated
     rows are scored each, null doc_ids kept, other columns ignored. Without labels of both kinds nothing is toxic.
     """
-    index = {f: i for i, f in enumerate(model.names)}  # at most FEATURES entries
 
     def run(frames):
-        hits: dict[str, tuple[int, ...]] = {}
+        weigh = features_sum(model)
         for frame in bytes_at_most(frames, "text"):
-            z = np.zeros(len(frame))
-            for r, text in enumerate(frame["text"]):
-                split = _WORD.findall(text.lower())
-                for word in set(split).difference(hits):
-                    if len(hits) >= REMEMBERED:
-                        hits.clear()
-                    hits[word] = tuple(index[f] for f in features_of(word) if f in index)
-                seen: dict[int, int] = {}
-                for word in split:
-                    for i in hits[word] if word in hits else [index[f] for f in features_of(word) if f in index]:
-                        seen[i] = seen.get(i, 0) + 1
-                if seen:
-                    z[r] = np.dot(model.weights[list(seen)], np.log1p(PER / len(split) * np.array(list(seen.values()))))
-            above = model.at_least(z)
-            probs = np.diff(np.column_stack([np.zeros(len(z)), 1 - above, np.ones(len(z))]), axis=1)
+            above = model.at_least(weigh(frame["text"]))
+            probs = np.diff(np.column_stack([np.zeros(len(above)), 1 - above, np.ones(len(above))]), axis=1)
             severity = above.sum(axis=1)
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "severity": severity, "grade": probs.argmax(axis=1).astype(np.int32), "toxic": severity >= cut})
 
     return texts(docs).mapInPandas(run, "doc_id long, severity double, grade int, toxic boolean")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that the model fitted on ``docs`` and ``labels`` doesn't call toxic, with their columns."""
+def drop_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """Rows of ``docs``, with their columns, that the model fitted on ``docs`` and ``labels`` doesn't call toxic. Each
+    row is judged by its own text, so nothing is joined."""
     model = fit(docs, labels)
-    toxic = score(docs, model).where("toxic").select(F.col("doc_id").alias("_toxic")).distinct()
-    return docs.join(toxic, docs["doc_id"].cast("long").eqNullSafe(F.col("_toxic")), "left_anti")
+
+    @F.pandas_udf("boolean")
+    def clean(some: pd.Series) -> pd.Series:
+        return pd.Series(model.at_least(features_sum(model)(some)).sum(axis=1) < cut)
+
+    return docs.where(clean(F.col("text")))

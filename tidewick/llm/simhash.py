@@ -25,6 +25,7 @@ from tidewick.llm.components import labels
 from tidewick.session import written
 
 BYTE_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
+PROBE = 10  # a probe costs as much as so many candidates
 CROWD = 32  # fingerprints stored at one key before it is left to the exact way without pairs
 
 
@@ -194,7 +195,7 @@ def part_number(n: int, radius: int) -> int:
         width, spare = 64 // m, radius + 1
         levels = [spare // m + (i < spare % m) - 1 for i in range(m)]
         sizes = [sum(_choose(width, d) for d in range(t + 1)) for t in levels]
-        return sum(s * (1 + n / 2.0**width) for s in sizes)
+        return sum(s * (PROBE + n / 2.0**width) for s in sizes)
 
     return min(range(1, 7), key=cost)
 
@@ -234,7 +235,7 @@ def part_keys(prints: DataFrame, radius: int, parts: int | None = None) -> tuple
             cost = np.zeros((len(fp), m, radius + 2))
             for i, g in enumerate(groups):
                 values = [value_of(fp, b) for b in pieces(g)]
-                cost[:, i, 1:] = n * near_by(shares[i], values, radius) + sizes[i]
+                cost[:, i, 1:] = n * near_by(shares[i], values, radius) + PROBE * sizes[i]
             levels = thresholds(cost, radius)
             for i, g in enumerate(groups):
                 for t in np.unique(levels[:, i]):
@@ -294,3 +295,92 @@ def near_groups(docs: DataFrame, size: int = 3, parts: int | None = None) -> Dat
     least = placed.where(F.col("label").isNotNull()).groupBy("root").agg(F.min("lowest").alias("least"))
     named = placed.join(least, "root", "left").select("fp", F.coalesce("least", "lowest").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+# ---- similar texts at a wider radius
+RADIUS = 7
+SIMILAR = 0.8
+PIVOT_ROUNDS = 3
+
+
+def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
+    """id, shingles: the distinct hashes of each text's runs of ``size`` words, a shorter text being one run."""
+
+    def run(frames):
+        for frame in bytes_at_most(frames, "text"):
+            sets = [np.unique(shingle_hashes(words(t), size)).view(np.int64) for t in frame["text"]]
+            yield pd.DataFrame({"id": frame["doc_id"], "shingles": sets})
+
+    return docs.mapInPandas(run, "id long, shingles array<long>")
+
+
+def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILAR, size: int = 5) -> DataFrame:
+    """Edges (a, b) between documents whose fingerprints (of 3-word shingles) differ in at most ``radius`` bits and
+    whose sets of 5-word shingles have Jaccard similarity >= ``similarity``: enough of them to connect all that are.
+
+    Keys with few fingerprints are verified pair by pair. At a crowded key, documents are first held against pivots,
+    those that most probes meet, which lie in the middle of a group; the group then hangs together without its pairs.
+    What is still in different components there is verified pair by pair afterwards, so that no link is lost.
+    """
+    rows = texts(docs).where("doc_id IS NOT NULL")
+    prints = written(fingerprints(rows).select(F.col("doc_id").alias("id"), "fp"), "similar-prints")
+    stored, probes = part_keys(prints, radius)
+    stored, probes = written(stored, "similar-stored"), written(probes, "similar-probes")
+    crowded = written(stored.groupBy("part", "key").count().where(F.col("count") > CROWD).select("part", "key"), "similar-crowded")
+    keys = ["part", "key"]
+    seen, found = probes.select(*keys, "id", "fp"), stored.select(*keys, F.col("id").alias("other"), F.col("fp").alias("other_fp"))
+    light = seen.join(crowded, keys, "left_anti").join(found.join(crowded, keys, "left_anti"), keys)
+    pairs = written(_pairs(light, radius), "similar-pairs")
+    packed_seen = written(seen.join(crowded, keys, "left_semi"), "similar-crowd")
+    packed_found = written(found.join(crowded, keys, "left_semi"), "similar-crowd")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(packed_seen.select("id")).union(packed_found.select(F.col("other").alias("id"))).distinct()
+    involved = written(involved, "similar-ids")
+    sets = written(shingle_sets(rows.join(involved, rows["doc_id"] == involved["id"], "left_semi"), size), "similar-sets")
+    edges = written(_verified(pairs, sets, similarity), "similar-edges")
+    if not packed_found.take(1):
+        return edges
+    hits = packed_seen.groupBy(keys).agg(F.count("*").alias("hits"))
+    middle = packed_found.join(hits, keys).groupBy("other").agg(F.sum("hits").alias("hits"))
+    left = written(packed_found.join(middle, "other"), "similar-middle")
+    for _ in range(PIVOT_ROUNDS):
+        pivots = left.groupBy(keys).agg(F.max_by(F.struct("other", "other_fp"), F.struct("hits", -F.col("other"))).alias("p")).select(*keys, "p.*")
+        pivots = written(pivots, "similar-pivots")
+        apart_now = _pairs(packed_seen.join(pivots, keys), radius)
+        edges = written(edges.union(_verified(_divided(apart_now, labels(edges)), sets, similarity)), "similar-edges")
+        left = left.join(pivots.select("other").distinct(), "other", "left_anti")
+    at = written(labels(edges), "similar-labels")
+    mine, theirs = at.select(F.col("node").alias("id"), F.col("label").alias("la")), at.select(F.col("node").alias("other"), F.col("label").alias("lb"))
+    rest = packed_seen.join(mine, "id", "left").withColumn("la", F.coalesce("la", "id"))
+    other = packed_found.join(theirs, "other", "left").withColumn("lb", F.coalesce("lb", "other"))
+    divided = _pairs(rest.join(other, keys).where("la != lb"), radius)
+    return edges.union(_verified(divided, sets, similarity))
+
+
+def _pairs(met: DataFrame, radius: int) -> DataFrame:
+    near = met.where((F.col("id") != F.col("other")) & (apart() <= radius))
+    return near.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def _divided(pairs: DataFrame, at: DataFrame) -> DataFrame:
+    """Pairs whose ends aren't in one component yet."""
+    for end in ("a", "b"):
+        pairs = pairs.join(at.select(F.col("node").alias(end), F.col("label").alias("l" + end)), end, "left")
+    return pairs.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    x, y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    share = both / F.greatest(F.lit(1), F.size("x") + F.size("y") - both)
+    return pairs.join(x, "a").join(y, "b").where((share >= similarity) | ((F.size("x") == 0) & (F.size("y") == 0))).select("a", "b")
+
+
+def drop_similar(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILAR) -> DataFrame:
+    """Rows of ``docs``, with their columns: of each group of similar documents the one with the smallest doc_id.
+
+    doc_id names a document: rows that repeat one stay or go together. Rows without doc_id stay. Texts without words
+    are similar to each other only. An empty table stays empty.
+    """
+    at = labels(similar_links(docs, radius, similarity))
+    gone = written(at.where("node != label").select(F.col("node").alias("_gone")), "similar-gone")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
