@@ -22,10 +22,10 @@ from tidewick.session import written
 SAMPLE = 20_000  # labelled documents that the model is fitted on, by the smallest hash of doc_id
 FEATURES = 4096
 SIGNIFICANT = 4.5  # standard errors between the classes
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 5)
 GRADES = 3
 PER = 1000  # counts are per so many words
-CUT = 0.5  # expected severity from which a document counts as toxic
+CUT = 0.4  # expected severity from which a document counts as toxic
 REMEMBERED = 400_000
 _WORD = re.compile(r"\w+")
 

@@ -315,7 +315,8 @@ def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
 
 
 def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILAR, size: int = 5) -> DataFrame:
-    """Edges (a, b) between documents whose fingerprints (of 3-word shingles) differ in at most ``radius`` bits and
+    """Edges (a, b) between documents whose fingerprints (of 2-word shingles, on which a changed word weighs least
+    without common words deciding alone) differ in at most ``radius`` bits and
     whose sets of 5-word shingles have Jaccard similarity >= ``similarity``: enough of them to connect all that are.
 
     Keys with few fingerprints are verified pair by pair. At a crowded key, documents are first held against pivots,
@@ -323,9 +324,9 @@ def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     What is still in different components there is verified pair by pair afterwards, so that no link is lost.
     """
     rows = texts(docs).where("doc_id IS NOT NULL")
-    prints = written(fingerprints(rows).select(F.col("doc_id").alias("id"), "fp"), "similar-prints")
+    prints = written(fingerprints(rows, 2).select(F.col("doc_id").alias("id"), "fp"), "similar-prints")
     stored, probes = part_keys(prints, radius)
-    stored, probes = written(stored, "similar-stored"), written(probes, "similar-probes")
+    stored = written(stored, "similar-stored")
     crowded = written(stored.groupBy("part", "key").count().where(F.col("count") > CROWD).select("part", "key"), "similar-crowded")
     keys = ["part", "key"]
     seen, found = probes.select(*keys, "id", "fp"), stored.select(*keys, F.col("id").alias("other"), F.col("fp").alias("other_fp"))
