@@ -18,7 +18,7 @@ import itertools
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewick.llm.common import bytes_at_most, texts, words
 from tidewick.llm.components import labels
@@ -300,7 +300,7 @@ def near_groups(docs: DataFrame, size: int = 3, parts: int | None = None) -> Dat
 # ---- similar texts at a wider radius
 RADIUS = 7
 SIMILAR = 0.8
-PIVOT_ROUNDS = 3
+PIVOTS = 3
 
 
 def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -340,15 +340,12 @@ def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     edges = written(_verified(pairs, sets, similarity), "similar-edges")
     if not packed_found.take(1):
         return edges
+    # Pivots: at each key the few documents that most probes meet, over all crowded keys that they are stored at.
     hits = packed_seen.groupBy(keys).agg(F.count("*").alias("hits"))
     middle = packed_found.join(hits, keys).groupBy("other").agg(F.sum("hits").alias("hits"))
-    left = written(packed_found.join(middle, "other"), "similar-middle")
-    for _ in range(PIVOT_ROUNDS):
-        pivots = left.groupBy(keys).agg(F.max_by(F.struct("other", "other_fp"), F.struct("hits", -F.col("other"))).alias("p")).select(*keys, "p.*")
-        pivots = written(pivots, "similar-pivots")
-        apart_now = _pairs(packed_seen.join(pivots, keys), radius)
-        edges = written(edges.union(_verified(_divided(apart_now, labels(edges)), sets, similarity)), "similar-edges")
-        left = left.join(pivots.select("other").distinct(), "other", "left_anti")
+    order = Window.partitionBy(keys).orderBy(F.desc("hits"), "other")
+    pivots = packed_found.join(middle, "other").withColumn("at", F.row_number().over(order)).where(F.col("at") <= PIVOTS).select(*keys, "other", "other_fp")
+    edges = written(edges.union(_verified(_pairs(packed_seen.join(pivots, keys), radius), sets, similarity)), "similar-edges")
     at = written(labels(edges), "similar-labels")
     mine, theirs = at.select(F.col("node").alias("id"), F.col("label").alias("la")), at.select(F.col("node").alias("other"), F.col("label").alias("lb"))
     rest = packed_seen.join(mine, "id", "left").withColumn("la", F.coalesce("la", "id"))
@@ -362,13 +359,6 @@ def _pairs(met: DataFrame, radius: int) -> DataFrame:
     return near.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def _divided(pairs: DataFrame, at: DataFrame) -> DataFrame:
-    """Pairs whose ends aren't in one component yet."""
-    for end in ("a", "b"):
-        pairs = pairs.join(at.select(F.col("node").alias(end), F.col("label").alias("l" + end)), end, "left")
-    return pairs.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     x, y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
