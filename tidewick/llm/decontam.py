@@ -90,7 +90,9 @@ class Block:
             item = self.codes[k]
             a, b = max(0, -diagonal), min(len(item), len(code) - diagonal)
             agree = item[a:b] == code[a + diagonal : b + diagonal]
-            first, last = best_stretch(agree)
+            at = np.flatnonzero(agree)
+            # Where four of five words agree over the whole item (or what of it the text holds), all of it counts.
+            first, last = (at[0], at[-1] + 1) if len(at) and len(at) >= SHARE * len(agree) else best_stretch(agree)
             if last > first:
                 by_item.setdefault(k, []).append((int(agree[first:last].sum()), a + first, a + last, a + first + diagonal, np.flatnonzero(agree[first:last]) + a + first))
         out = []

@@ -137,7 +137,7 @@ class ShardReader:
             while at < n:
                 have.append(self.block_ids(nxt))
                 at, nxt = at + len(have[-1]), nxt + 1
-            joined = np.concatenate(have) if len(have) != 1 else have[0]
+            joined = np.concatenate(have) if have else np.empty(0, np.uint32)
             yield int(self.starts[d]), joined[:n]
             have, at = [joined[n:]], at - n
 
