@@ -479,14 +479,12 @@ FROM dqm t LEFT JOIN pr p ON p.symbol = t.symbol LEFT JOIN (SELECT symbol, count
 add("s13_export_coin", S.exported_coin, "hrm", f"SELECT strftime(t, '%Y-%m-%dT%H:%M:%S') AS t, close FROM ({bucket_sql('day', 90)})", "close")
 
 # ------------------------------------------------------------------ streams
-LATE = "- INTERVAL 2 HOUR"
 add("st1_stream_ingest", S.stream_ingest, "c3", "SELECT * FROM c3", F1)
-add("st2_stream_dedupe", S.stream_dedupe, "c3 d3", f"SELECT * FROM d3 WHERE ts + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM c3) {LATE}", F1)
-add("st3_stream_hourly", S.stream_hourly, "hr1 s1", f"SELECT * FROM hr1 WHERE hour_utc + INTERVAL 1 HOUR <= (SELECT max(ts) FROM s1) {LATE}", HOURLY_D)
+add("st2_stream_dedupe", S.stream_dedupe, "d3", "SELECT * FROM d3", F1)
+add("st3_stream_hourly", S.stream_hourly, "hr1", "SELECT * FROM hr1", HOURLY_D)
 add("st4_stream_silver", S.stream_silver, "s1", "SELECT * FROM s1", SILVER_D)
-add("st5_stream_sessions", S.stream_sessions, "ev1 cand1", f"""
-SELECT symbol, start_ts, last_signal_ts, base_price, max_vol_x, max_chg_5m_pct, signal_minutes, active_share_1d FROM ev1
-WHERE last_signal_ts + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM cand1) {LATE}""", "base_price max_vol_x max_chg_5m_pct active_share_1d")
+add("st5_stream_sessions", S.stream_sessions, "ev1", """
+SELECT symbol, start_ts, last_signal_ts, base_price, max_vol_x, max_chg_5m_pct, signal_minutes, active_share_1d FROM ev1""", "base_price max_vol_x max_chg_5m_pct active_share_1d")
 add("st6_stream_triggers", S.stream_triggers, "trg1", "SELECT symbol, ts, chg_5m, vol_x_5m FROM trg1", "chg_5m vol_x_5m")
 add("st7_stream_publish", S.stream_publish)
 

@@ -113,11 +113,19 @@ def _landing(s, d, which: str) -> str:
     return path
 
 
-def _run(s, stream: DataFrame, label: str, **kw) -> DataFrame:
-    out = fresh_path(s, label)
-    query = jobs.to_table(stream, out, fresh_path(s, f"{label}-checkpoint"), **kw)
-    query.awaitTermination()
-    return s.read.schema(stream.schema).parquet(out)
+def _scattered(s, rows: DataFrame, table: str, action, halves: dt.datetime) -> DataFrame:
+    """One symbol to a file and one file to a batch, the later half of the time before the earlier one."""
+    landing = fresh_path(s, "landing")
+    symbols = [r[0] for r in rows.select("symbol").distinct().orderBy("symbol").collect()]
+    for late in (True, False):
+        for symbol in symbols:
+            part = rows.where((F.col("symbol") == symbol) & ((F.col("ts") >= B.ntz(halves)) == F.lit(late)))
+            part.coalesce(1).write.mode("append").parquet(landing)
+    jobs.each_batch(jobs.landed(s, landing, table, files_per_batch=1), action, fresh_path(s, "mark")).awaitTermination()
+    return action.current()
+
+
+HALVES = dt.datetime(2024, 1, 16, 11, 30)
 
 
 def stream_ingest(s, d) -> DataFrame:
@@ -131,25 +139,27 @@ def stream_ingest(s, d) -> DataFrame:
 
 
 def stream_dedupe(s, d) -> DataFrame:
-    return _run(s, jobs.latest_candles(jobs.landed(s, _landing(s, d, "3"), "bronze_candles"), "2 hours"), "dedupe")
-
-
-def _silver_files(s, d) -> str:
-    path = fresh_path(s, "silver-files")
-    T.silver(s, d).write.parquet(path)
-    return path
+    """The newer pull of every symbol lands first, the older one last."""
+    action, landing = jobs.latest_candles(new_lake(s)), fresh_path(s, "landing")
+    rows = B.repeated_pulls(s, d)
+    symbols = [r[0] for r in rows.select("symbol").distinct().orderBy("symbol").collect()]
+    for newer in (True, False):
+        for symbol in symbols:
+            rows.where((F.col("symbol") == symbol) & ((F.col("ingested_at") > B.ntz(B.PULL_1)) == F.lit(newer))).coalesce(1).write.mode("append").parquet(landing)
+    jobs.each_batch(jobs.landed(s, landing, "bronze_candles", files_per_batch=1), action, fresh_path(s, "mark")).awaitTermination()
+    return action.current()
 
 
 def stream_hourly(s, d) -> DataFrame:
-    return _run(s, jobs.hourly(jobs.landed(s, _silver_files(s, d), "silver_features"), "2 hours"), "hourly")
+    return _scattered(s, T.silver(s, d), "silver_features", jobs.hourly(new_lake(s)), HALVES)
 
 
 def stream_sessions(s, d) -> DataFrame:
-    return _run(s, jobs.pump_sessions(jobs.landed(s, _silver_files(s, d), "silver_features"), "2 hours"), "sessions")
+    return _scattered(s, T.silver(s, d), "silver_features", jobs.pump_sessions(new_lake(s)), HALVES)
 
 
 def stream_triggers(s, d) -> DataFrame:
-    return _run(s, jobs.refractory_triggers(jobs.landed(s, _silver_files(s, d), "silver_features")), "triggers")
+    return _scattered(s, T.silver(s, d), "silver_features", jobs.refractory_triggers(new_lake(s)), HALVES)
 
 
 def stream_silver(s, d) -> DataFrame:

@@ -91,24 +91,35 @@ def test_event_filter_edges(spark, lake):
     assert ids() == ["a", "b"] and ids(days=0) == ["a", "b", "d"] and ids(single=False) == ["a", "b", "c"]
 
 
-def test_late_copy_does_not_displace_a_newer_one_in_the_stream(spark):
-    landing, out, mark = (fresh_path(spark, x) for x in ("landing", "out", "mark"))
-    first = bars(spark, [(0, 1), (1, 2), (600, 3)])
-    first.unionByName(first.limit(1).withColumn("close", F.lit(9.0)).withColumn("ingested_at", F.lit(minute(5)))).write.parquet(landing)
-    jobs.to_table(jobs.latest_candles(jobs.landed(spark, landing, "bronze_candles"), "1 hour"), out, mark).awaitTermination()
-    got = {r["ts"]: r["close"] for r in spark.read.parquet(out).collect()}
-    assert got == {minute(0): 9.0, minute(1): 2.0}
-
-
-def test_trigger_state_carries_over_batches(spark):
+def test_late_copies_of_one_symbol_per_batch(spark, lake):
+    """The newer copy lands first; a batch of one symbol leaves the others alone; a repeated batch changes nothing."""
+    action = jobs.latest_candles(lake)
+    newer = bars(spark, [(0, 9)]).withColumn("ingested_at", F.lit(minute(5)))
+    batches = [newer, bars(spark, [(90_000, 4)], "B"), bars(spark, [(0, 1), (1, 2), (600, 3)])]
+    for n, rows in enumerate([*batches, batches[2]]):
+        action(rows, min(n, 2))
+    got = {(r["symbol"], r["ts"]): r["close"] for r in action.current().collect()}
+    assert got == {("A", minute(0)): 9.0, ("A", minute(1)): 2.0, ("A", minute(600)): 3.0, ("B", minute(90_000)): 4.0}
+
+
+def test_triggers_over_batches_in_any_order(spark, lake):
+    """Across midnight and backwards: a late signal opens its own trigger and takes back one that follows too soon."""
+    action = jobs.refractory_triggers(lake)
     features = lambda ms: spark.createDataFrame([("A", minute(m), 0.05, 4.0) for m in ms], "symbol string, ts timestamp_ntz, chg_5m double, vol_x_5m double")
-    landing, out, mark = (fresh_path(spark, x) for x in ("landing", "out", "mark"))
-    for part in ([0, 20], [45, 80], [100, 131]):
-        rows = features(part)
-        rows.select(*[(F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c)) for c, t in LakeTables(spark, out).empty("silver_features").dtypes]).write.mode("append").parquet(landing)
-        stream = jobs.refractory_triggers(jobs.landed(spark, landing, "silver_features"))
-        jobs.to_table(stream, out, mark).awaitTermination()
-    assert sorted(r["ts"] for r in spark.read.parquet(out).collect()) == [minute(0), minute(80), minute(131)]
+    for n, part in enumerate(([1450, 1500], [100, 131], [1430], [45, 80], [0, 20])):
+        action(features(part), n)
+    assert sorted(r["ts"] for r in action.current().collect()) == [minute(m) for m in (0, 80, 131, 1430, 1500)]
+
+
+def test_history_and_empty_slices(spark, lake):
+    rows = lake.empty("forecasts")
+    cells = {"model_name": "'m'", "symbol": "'A'", "predicted": "1.0"}
+    one = spark.range(1).select(*[F.expr(cells.get(c, f"CAST(NULL AS {t})")).cast(t).alias(c) for c, t in rows.dtypes])
+    two = one.withColumn("model_name", F.lit("k"))
+    for model, some in (("m", one), ("m", one), ("k", two), ("m", one.where("false"))):
+        runs.republish(lake, model, some)
+    assert [r["model_name"] for r in lake.read("forecasts").collect()] == ["k"]
+    assert sorted(r["model_name"] for r in lake.read("forecast_history").collect()) == ["k", "m"]
 
 
 def test_whole_pipeline_and_training_runs(spark, lake):

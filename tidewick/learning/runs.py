@@ -44,10 +44,11 @@ def _sizes(split: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def _republish(lake: LakeTables, rows: DataFrame) -> None:
-    lake.replace_slices("forecasts", rows)
-    lake.append("forecast_history", rows.select(
-        "model_name", "symbol", "target_hour_utc", "predicted", "generated_at", "lower", "upper"))
+def republish(lake: LakeTables, model: str, rows: DataFrame) -> None:
+    """Replace the model's forecasts and add them to the history. Repeating it adds nothing twice."""
+    lake.replace_slice("forecasts", "model_name", model, rows)
+    lake.append_new("forecast_history", rows.select(
+        "model_name", "symbol", "target_hour_utc", "predicted", "generated_at", "lower", "upper"), ["model_name", "symbol", "target_hour_utc", "generated_at"])
 
 
 def volume(lake: LakeTables, store: registry.ModelStore, run_id: str, as_of: dt.datetime, settings: Settings = DEFAULTS) -> bool | None:
@@ -60,7 +61,7 @@ def volume(lake: LakeTables, store: registry.ModelStore, run_id: str, as_of: dt.
     split = stats.time_split(rows, "hour_utc", settings.test_share)
     model, predicted = forecast.train_volume(frame, settings)
     tested = forecast.backtest(predicted, "lag24", "volume_forecast", run_id)
-    lake.replace_slices("forecast_backtest", tested)
+    lake.replace_slice("forecast_backtest", "model_name", "volume_forecast", tested)
     scores = _trial(stats.regression_scores(tested), "volume_forecast", "MAPE", "mape", "baseline_mape", False, extra=["zero_actuals"])
     won = _settle(lake, store, run_id, scores, _sizes(split), model)
     publish_volume(lake, store, as_of, settings)
@@ -74,7 +75,7 @@ def publish_volume(lake: LakeTables, store: registry.ModelStore, as_of: dt.datet
         return
     frame = forecast.volume_frame(lake.read("market_hourly"), as_of)
     cut = stats.split_cut(forecast.training_rows(frame), "hour_utc", settings.test_share).scalar()
-    _republish(lake, forecast.publish(frame, model, cut, "volume_forecast", as_of, settings))
+    republish(lake, "volume_forecast", forecast.publish(frame, model, cut, "volume_forecast", as_of, settings))
 
 
 def volatility(lake: LakeTables, store: registry.ModelStore, run_id: str, as_of: dt.datetime, settings: Settings = DEFAULTS) -> bool | None:
@@ -85,7 +86,7 @@ def volatility(lake: LakeTables, store: registry.ModelStore, run_id: str, as_of:
     split = stats.time_split(forecast.training_rows(frame), "hour_utc", settings.test_share)
     lake.save_dataset("volatility_forecast", run_id, forecast.encode_symbol(split, means))
     tested = forecast.backtest(predicted, "lag1", "volatility_forecast", run_id)
-    lake.replace_slices("forecast_backtest", tested)
+    lake.replace_slice("forecast_backtest", "model_name", "volatility_forecast", tested)
     scores = _trial(stats.regression_scores(tested), "volatility_forecast", "RMSE", "rmse", "baseline_rmse", False)
     won = _settle(lake, store, run_id, scores, _sizes(split), model, {"sym_mean": means})
     publish_volatility(lake, store, as_of, settings)
@@ -99,7 +100,7 @@ def publish_volatility(lake: LakeTables, store: registry.ModelStore, as_of: dt.d
     frame = forecast.volatility_frame(lake.read("symbol_hourly"), lake.read("coin_stats"), as_of, settings)
     cut = stats.split_cut(forecast.training_rows(frame), "hour_utc", settings.test_share).scalar()
     encoded = forecast.encode_symbol(frame, means)
-    _republish(lake, forecast.publish(encoded, model, cut, "volatility_forecast", as_of, settings))
+    republish(lake, "volatility_forecast", forecast.publish(encoded, model, cut, "volatility_forecast", as_of, settings))
 
 
 def early_warning(lake: LakeTables, store: registry.ModelStore, run_id: str, as_of: dt.datetime, settings: Settings = DEFAULTS) -> bool | None:

@@ -66,6 +66,21 @@ class LakeTables:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
             "compression", "zstd").partitionBy(*keys).parquet(self.path(table))
 
+    def replace_slice(self, table: str, key: str, value: str, rows: DataFrame) -> None:
+        """Overwrite the partition ``key = value``; no rows leave it empty."""
+        seen = Observation()
+        rows = rows.where(F.col(key) == value).observe(seen, F.count("*").alias("n"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(key).parquet(self.path(table))
+        if not seen.get["n"]:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{key}={value}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def append_new(self, table: str, rows: DataFrame, keys: list[str]) -> None:
+        """Append the rows whose keys (nulls equal) the table doesn't hold yet."""
+        known = self.read(table).select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = [rows[k].eqNullSafe(known[f"_{k}"]) for k in keys]
+        self.append(table, rows.join(known, same, "left_anti"))
+
     def replace(self, table: str, rows: DataFrame) -> int:
         """Write a new version beside the old one, then point to it; returns the row count.
 

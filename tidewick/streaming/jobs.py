@@ -7,18 +7,17 @@ remembers what was taken.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from tidewick.config import DEFAULTS, Settings
-from tidewick.functions.timefn import MINUTE, micros, shift
+from tidewick.functions.timefn import shift
 from tidewick.learning import forecast, registry
-from tidewick.operators import candles, events, stats
+from tidewick.learning.runs import republish
+from tidewick.operators import candles, events, rollups, stats
 from tidewick.schemas import SCHEMAS
 from tidewick.sources.lake import LakeTables
 
@@ -31,15 +30,6 @@ def landed(spark: SparkSession, path: str, table: str, files_per_batch: int | No
     return reader.parquet(path)
 
 
-def _timed(stream: DataFrame, delay: str) -> DataFrame:
-    """Watermarks need a TIMESTAMP; lake time is UTC, so the cast keeps the clock reading."""
-    return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-
-
-def _naive(column: str) -> Column:
-    return F.col(column).cast("timestamp_ntz")
-
-
 def to_table(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
     """Append a stream to a folder that only this query writes; exactly once."""
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
@@ -58,74 +48,83 @@ def ingest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return to_table(stream, path, checkpoint, partition_by=["symbol"])
 
 
-def latest_candles(stream: DataFrame, delay: str) -> DataFrame:
-    """Latest pull per (symbol, minute), emitted once the watermark has passed the minute.
+class Recompute:
+    """foreachBatch action: recomputes the blocks that a batch can change, from everything that has arrived for them.
 
-    The newest version wins, which dropping duplicates in arrival order would not give.
-    """
-    newest = F.max(F.struct("ingested_at", *candles.VALUES)).alias("v")
-    grouped = _timed(stream, delay).groupBy("symbol", F.window("ts", "1 minute").alias("w")).agg(newest)
-    return grouped.select("symbol", _naive("w.start").alias("ts"), *[f"v.{c}" for c in candles.VALUES])
-
-
-# ---- rollups and sessions
-def hourly(features: DataFrame, delay: str) -> DataFrame:
-    """Hourly candles and volatility of closed hours; later rows wait for the batch recompute."""
-    squares = F.pow(F.coalesce(F.col("ret_1m"), F.lit(0.0)), F.lit(2.0))
-    grouped = _timed(features, delay).groupBy("symbol", F.window("ts", "1 hour").alias("w")).agg(
-        F.count("*").alias("candles"), F.sum("vol_thb").alias("vol_thb"), F.min_by("open", "ts").alias("open"),
-        F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "ts").alias("close"),
-        (F.sqrt(F.sum(squares)) * 100).alias("rv_pct"))
-    spread = (F.col("high") / F.nullif(F.col("low"), F.lit(0.0)) - 1) * 100
-    return grouped.select(
-        "symbol", _naive("w.start").alias("hour_utc"), "candles", "vol_thb", "open", "high", "low", "close", "rv_pct",
-        spread.alias("range_pct"))
-
-
-def pump_sessions(features: DataFrame, delay: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """Sessions of candidate signals, emitted when the gap has passed without another."""
-    signals = _timed(events.candidates(features, settings), delay)
-    gap = F.session_window("ts", f"{settings.event_gap_min} minutes").alias("w")
-    grouped = signals.groupBy("symbol", gap).agg(
-        F.min("ts").alias("_a"), F.max("ts").alias("_b"), F.min_by("open_5m", "ts").alias("base_price"),
-        F.max("vol_x_5m").alias("max_vol_x"), (F.max("chg_5m") * 100).alias("max_chg_5m_pct"),
-        F.count("*").alias("signal_minutes"), F.min_by("active_share_1d", "ts").alias("active_share_1d"))
-    return grouped.select(
-        "symbol", _naive("_a").alias("start_ts"), _naive("_b").alias("last_signal_ts"), "base_price", "max_vol_x",
-        "max_chg_5m_pct", "signal_minutes", "active_share_1d")
-
-
-# ---- refractory trigger with per-symbol state
-TRIGGER = "symbol string, ts timestamp, chg_5m double, vol_x_5m double"
-
-
-def _first_after_quiet(quiet_us: int):
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # a key's rows come in several unordered chunks; at most one qualifying row per minute
-        rows = pd.concat(list(chunks)).sort_values("us")
-        last = state.get[0] if state.exists else None
-        before = rows["us"].shift(1)
-        if last is not None:
-            before.iloc[0] = last
-        keep = before.isna() | (rows["us"] - before > quiet_us)
-        newest = int(rows["us"].iloc[-1])
-        state.update((newest if last is None else max(newest, last),))
-        yield rows.loc[keep, ["symbol", "ts", "chg_5m", "vol_x_5m"]]
-
-    return step
-
-
-def refractory_triggers(features: DataFrame, quiet_min: int = 30, settings: Settings = DEFAULTS) -> DataFrame:
-    """First signals after a quiet period, as soon as they arrive.
-
-    Only qualifying rows reach the state function; a row older than one already seen in an
-    earlier batch never triggers.
+    A block is a symbol's day, or the whole symbol. No watermark decides what is too late: pulls land symbol by symbol
+    and out of order, and each one reopens its own blocks. Every write is keyed by batch id, so a repeated batch
+    overwrites itself; ``current`` takes each block from the newest batch that touched it.
+
+    ``step`` maps rows to results and ``at`` names the results' time; ``reach`` is how many minutes later a row can
+    still change a result. Of rows that land twice the newest counts, unless ``step`` chooses itself.
     """
-    rows = features.where((F.col("chg_5m") >= settings.early_chg) & (F.col("vol_x_5m") >= settings.early_vol_x))
-    rows = rows.select("symbol", F.col("ts").cast("timestamp").alias("ts"), "chg_5m", "vol_x_5m", micros("ts").alias("us"))
-    out = rows.groupBy("symbol").applyInPandasWithState(
-        _first_after_quiet(quiet_min * MINUTE), TRIGGER, "last_us long", "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn("ts", _naive("ts"))
+
+    def __init__(self, lake: LakeTables, name: str, step: Callable[[DataFrame], DataFrame], at: str, reach: int = 0, by_day: bool = True, newest: bool = True):
+        self.lake, self.step, self.at, self.reach, self.by_day, self.newest = lake, step, at, reach, by_day, newest
+        self.rows, self.blocks, self.results = (lake.path(f"{name}_{kind}") for kind in ("rows", "blocks", "results"))
+
+    def _block(self, ts: Column) -> Column:
+        return F.to_date(ts) if self.by_day else F.lit("1970-01-01").cast("date")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        spark, columns = batch.sparkSession, batch.columns
+        batch.withColumn("block", self._block(F.col("ts"))).write.mode("overwrite").partitionBy("block").parquet(f"{self.rows}/batch={batch_id}")
+        layout = StructType([*batch.schema.fields, StructField("block", DateType()), StructField("batch", LongType())])
+        history = spark.read.schema(layout).parquet(self.rows)
+        arrived = history.where(F.col("batch") == batch_id)
+        reached = F.array_distinct(F.array(self._block(F.col("ts")), self._block(shift(F.col("ts"), minutes=self.reach))))
+        arrived.select("symbol", F.explode(reached).alias("block")).distinct().write.mode("overwrite").parquet(f"{self.blocks}/b={batch_id}")
+        touched = spark.read.parquet(f"{self.blocks}/b={batch_id}")
+        halo = F.array_distinct(F.array(F.col("block"), F.date_sub("block", 1 if self.reach else 0)))
+        needed = touched.select("symbol", F.explode(halo).alias("block")).distinct()
+        rows = history.join(needed, ["symbol", "block"], "left_semi")
+        if self.newest:
+            rest = [c for c in columns if c not in ("symbol", "ts")]
+            rows = rows.groupBy("symbol", "ts").agg(F.max(F.struct("batch", *rest)).alias("v")).select("symbol", "ts", *[f"v.{c}" for c in rest])
+        made = self.step(rows.select(*columns)).withColumn("block", self._block(F.col(self.at)))
+        made.join(touched, ["symbol", "block"], "left_semi").withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{self.results}/b={batch_id}")
+
+    def current(self) -> DataFrame:
+        read = self.lake.spark.read.option("recursiveFileLookup", True)
+        last = self.lake.spark.read.parquet(self.blocks).groupBy("symbol", "block").agg(F.max("b").cast("long").alias("batch"))
+        return read.parquet(self.results).join(last, ["symbol", "block", "batch"], "left_semi").drop("block", "batch")
+
+
+# ---- dedupe, rollups, sessions and triggers
+def latest_candles(lake: LakeTables) -> Recompute:
+    """Latest pull per (symbol, minute), whatever the order in which pulls land."""
+    return Recompute(lake, "stream_latest", candles.latest_candles, "ts", newest=False)
+
+
+def hourly(lake: LakeTables) -> Recompute:
+    """Hourly candles and volatility; a late minute recomputes its day's hours."""
+    return Recompute(lake, "stream_hourly", rollups.symbol_hourly, "hour_utc")
+
+
+def refractory_triggers(lake: LakeTables, quiet_min: int = 30, settings: Settings = DEFAULTS) -> Recompute:
+    """First signals after a quiet period. A late signal also takes back a trigger that follows it too soon."""
+
+    def step(rows: DataFrame) -> DataFrame:
+        return events.refractory_triggers(_early(rows, settings).select("symbol", "ts", "chg_5m", "vol_x_5m"), quiet_min, settings)
+
+    return Recompute(lake, "stream_triggers", step, "ts", reach=quiet_min)
+
+
+def _early(rows: DataFrame, settings: Settings) -> DataFrame:
+    return rows.where((F.col("chg_5m") >= settings.early_chg) & (F.col("vol_x_5m") >= settings.early_vol_x))
+
+
+def pump_sessions(lake: LakeTables, settings: Settings = DEFAULTS) -> Recompute:
+    """Sessions of candidate signals. A session may span days and a late signal may join two, so the signals of the
+    symbols that a batch touches, which are few among all rows, are numbered anew."""
+
+    def step(rows: DataFrame) -> DataFrame:
+        facts = events.session_facts(events.sessions(events.candidates(rows, settings), settings))
+        return facts.select("symbol", "start_ts", "last_signal_ts", "base_price", "max_vol_x", "max_chg_5m_pct", "signal_minutes", "active_share_1d")
+
+    return Recompute(lake, "stream_sessions", step, "start_ts", by_day=False)
 
 
 # ---- incremental silver
@@ -195,12 +194,10 @@ class PublishVolume:
         frame = forecast.volume_frame(market, as_of)
         cut = stats.split_cut(forecast.training_rows(frame), "hour_utc", self.settings.test_share).scalar()
         rows = forecast.publish(frame, model, cut, "volume_forecast", as_of, self.settings)
-        self.lake.replace_slices("forecasts", rows)
-        path = f"{self.lake.path('forecast_history')}/batch={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
+        republish(self.lake, "volume_forecast", rows)
 
 
 __all__ = [
-    "landed", "ingest", "latest_candles", "hourly", "pump_sessions", "refractory_triggers", "TailRefresh", "silver_tail",
+    "landed", "ingest", "Recompute", "latest_candles", "hourly", "pump_sessions", "refractory_triggers", "TailRefresh", "silver_tail",
     "PublishVolume", "to_table", "each_batch",
 ]
