@@ -140,7 +140,8 @@ def fit(docs: DataFrame, labels: DataFrame, grades: int = GRADES, bound: int = S
 
     if not names:
         return Ordinal([], grades)
-    rows = sample.mapInPandas(run, "doc_id long, toxic int, n int, cols array<int>, counts array<int>").orderBy("doc_id").collect()  # at most ``bound``
+    rows = sample.mapInPandas(run, "doc_id long, toxic int, n int, cols array<int>, counts array<int>").collect()  # at most ``bound``
+    rows.sort(key=lambda r: (r["doc_id"], r["n"], r["cols"], r["counts"]))
     y = np.array([r["toxic"] for r in rows])
     lengths = [len(r["cols"]) for r in rows]
     at = np.repeat(np.arange(len(rows)), lengths)
