@@ -5,12 +5,16 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
+
 END_ID = 0  # appended to every document
 VOCABULARY = "byte_bpe_50k.json"
 
-# Before a single space the tokenizer always starts a new piece, so a text can be encoded word by word and equal words
-# once. White space that surrounds or ends with a space breaks that; such texts are encoded as they are.
-_UNSAFE = re.compile(r"\s \s|\s \Z")
+# Before a single space, and on both sides of a single line end, the tokenizer always starts a new piece, so a text can
+# be encoded word by word and equal words once. Other white space next to those breaks that; such texts are encoded as
+# they are.
+_UNSAFE = re.compile(r"\s \s|\s \Z|\s\n|\n\s|\n\Z|\A\n")
+_TOGETHER = 4000  # words encoded in one call, a line each
 _KNOWN: dict[str, "WordIds"] = {}
 
 
@@ -20,49 +24,57 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds(dict):
-    """Ids (little-endian, 4 bytes) of words met so far; at most ``most`` words are remembered."""
+class WordIds:
+    """Ids (little-endian, 4 bytes) of words met so far, with and without a space before them. Memory is bounded: with
+    more than ``most`` words it starts anew."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.many = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self.bare: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
+        self.line_end = self._encode(["\n"])[0]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        from array import array
+    def __len__(self) -> int:
+        return len(self.bare) + len(self.spaced)
 
-        out = [array("I", e.ids) for e in self.many(texts, add_special_tokens=False)]
-        if out and array("I").itemsize != 4:
-            raise RuntimeError("ids need four bytes")
-        return [a.tobytes() for a in out]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.many(texts, add_special_tokens=False)]
+
+    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
+        """Words go through the tokenizer many at a time, one to a line; line ends in the ids part them again."""
+        plain = [w for w in words if w.split() == [w]]
+        odd = list(words.difference(plain))
+        known.update(zip(odd, self._encode([before + w for w in odd])))
+        end = int.from_bytes(self.line_end[:4], "little")
+        for at in range(0, len(plain), _TOGETHER):
+            some = plain[at : at + _TOGETHER]
+            ids = np.array(self.many(["\n".join([before + w for w in some])], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == end)
+            if len(self.line_end) != 4 or len(cuts) != len(some) - 1:
+                known.update(zip(some, self._encode([before + w for w in some])))
+                continue
+            raw, start = ids.tobytes(), 0
+            for w, cut in zip(some, [*(4 * cuts).tolist(), len(raw)]):
+                known[w] = raw[start:cut]
+                start = cut + 4
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without an end id."""
-        split = [None if _UNSAFE.search(t) else t.split(" ") for t in texts]
-        plain = self._encode([t for t, s in zip(texts, split) if s is None])
-        new: dict[str, bytes] = {}
-        if missing := list({w for s in split if s is not None for w in s[1:] if w not in self}):
-            new = dict(zip(missing, self._encode([" " + w for w in missing])))
-            if len(self) + len(new) <= self.most:
-                self.update(new)
-                new = {}
-        firsts = self._encode([s[0] for s in split if s is not None])
-        whole, first, out = iter(plain), iter(firsts), []
-        known = self if not new else _Both(self, new)
-        for s in split:
-            out.append(next(whole) if s is None else next(first) + b"".join(map(known.__getitem__, s[1:])))
-        return out
-
-
-class _Both:
-    def __init__(self, known: dict, new: dict):
-        self.known, self.new = known, new
-
-    def __getitem__(self, word: str) -> bytes:
-        return self.new[word] if word in self.new else self.known[word]
+        split = [None if _UNSAFE.search(t) else [line.split(" ") for line in t.split("\n")] for t in texts]
+        lines = [line for s in split if s is not None for line in s]
+        if len(self) > self.most:
+            self.bare.clear()
+            self.spaced.clear()
+        first, rest = {line[0] for line in lines}, set().union(*(line[1:] for line in lines))
+        self._learn(self.bare, first.difference(self.bare), "")
+        self._learn(self.spaced, rest.difference(self.spaced), " ")
+        whole = iter(self._encode([t for t, s in zip(texts, split) if s is None]))
+        bare, spaced = self.bare, self.spaced.__getitem__
+        return [next(whole) if s is None else self.line_end.join([bare[line[0]] + b"".join(map(spaced, line[1:])) for line in s]) for s in split]
 
 
 def encoder(path: str) -> WordIds:
