@@ -25,8 +25,8 @@ def _settle(lake, store, run_id, scores: DataFrame, counts, model, side=None) ->
         won = bool(decided.select("deployed").first()[0])
         if won and model is not None:
             store.deploy(scores.select("model_name").first()[0], run_id, model, side)
-        extra = F.to_json(F.struct(*[c for c in scores.columns if c.startswith("x_")])) if any(
-            c.startswith("x_") for c in scores.columns) else F.lit("{}")
+        named = [F.col(c).alias(c.removeprefix("x_")) for c in scores.columns if c.startswith("x_")]
+        extra = F.to_json(F.struct(*named)) if named else F.lit("{}")
         registry.log_trial(lake, decided, *counts, extra)
         return won
     finally:

@@ -304,6 +304,9 @@ def coin_detail(t: dict[str, DataFrame], symbol: str, as_of: dt.datetime, days:
 
 # ---- Q14 correlation
 def correlations(t: dict[str, DataFrame], days: int = 30, top: int = 15) -> DataFrame:
+    """Hourly returns of the ``top`` symbols (at most 30) against each other."""
+    if not 1 <= top <= 30:
+        raise ValueError("top must lie between 1 and 30")
     returns = stats.hourly_returns(since_latest(t["symbol_hourly"], "hour_utc", days))
     return stats.correlation_matrix(returns, top_symbols(t["coin_stats"], top))
 
