@@ -30,18 +30,21 @@ CROWD = 32  # fingerprints stored at one key before it is left to the exact way
 
 
 # ---- fingerprints
-def shingle_hashes(tokens: list[bytes], size: int) -> np.ndarray:
-    """XXH64 (seed 42) of every run of ``size`` words, repeats included; a shorter text is one run."""
+def shingle_hashes(tokens: list[bytes], size: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of every run of ``size`` words, repeats included; a shorter text is one run."""
     if not tokens:
         return np.empty(0, np.uint64)
     runs = zip(*(tokens[i:] for i in range(size))) if len(tokens) >= size else [tuple(tokens)]
-    hashed = map(xxhash.xxh64_intdigest, map(b" ".join, runs), itertools.repeat(42))
+    hashed = map(xxhash.xxh64_intdigest, map(b" ".join, runs), itertools.repeat(seed))
     return np.fromiter(hashed, np.uint64, max(1, len(tokens) - size + 1))
 
 
 def fingerprint(text: str | None, size: int = 3) -> int:
     """Bit i is set if it is set in over half of the shingle hashes; no words: zero. As a signed 64-bit number."""
-    hashes = shingle_hashes(words(text), size)
+    return majority(shingle_hashes(words(text), size))
+
+
+def majority(hashes: np.ndarray) -> int:
     cells = hashes.astype("<u8").view(np.uint8).reshape(-1, 8) + 256 * np.arange(8)
     votes = np.bincount(cells.ravel(), minlength=2048).reshape(8, 256) @ BYTE_BITS
     return int(np.packbits(2 * votes.ravel() > len(hashes), bitorder="little").view("<i8")[0])
@@ -301,6 +304,28 @@ def near_groups(docs: DataFrame, size: int = 3, parts: int | None = None) -> Dat
 RADIUS = 7
 SIMILAR = 0.8
 PIVOTS = 3
+SEEDS = (42, 43)  # one fingerprint each; similar texts meet if they are near in any of them
+
+
+def seeded_prints(docs: DataFrame, seeds: tuple = SEEDS, size: int = 2) -> DataFrame:
+    """id and fp0, fp1, ... (bigint): fingerprints of the same shingles hashed with each of ``seeds``."""
+
+    def run(frames):
+        for frame in bytes_at_most(frames, "text"):
+            tokens = [words(t) for t in frame["text"]]
+            prints = {f"fp{k}": [majority(shingle_hashes(w, size, seed)) for w in tokens] for k, seed in enumerate(seeds)}
+            yield pd.DataFrame({"id": frame["doc_id"], **prints})
+
+    return docs.mapInPandas(run, "id long, " + ", ".join(f"fp{k} long" for k in range(len(seeds))))
+
+
+def seeded_keys(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(stored, probes) over all fingerprints of ``seeded_prints``; each one's parts are numbered apart."""
+    stored, probes = None, None
+    for k, fp in enumerate(c for c in prints.columns if c != "id"):
+        some = [x.withColumn("part", F.col("part") + 100 * k) for x in part_keys(prints.select("id", F.col(fp).alias("fp")), radius)]
+        stored, probes = some if stored is None else (stored.union(some[0]), probes.union(some[1]))
+    return stored, probes
 
 
 def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -314,9 +339,9 @@ def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     return docs.mapInPandas(run, "id long, shingles array<long>")
 
 
-def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILAR, size: int = 5) -> DataFrame:
-    """Edges (a, b) between documents whose fingerprints (of 2-word shingles, on which a changed word weighs least
-    without common words deciding alone) differ in at most ``radius`` bits and
+def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILAR, size: int = 5, seeds: tuple = SEEDS) -> DataFrame:
+    """Edges (a, b) between documents of which some fingerprint (of 2-word shingles, on which a changed word weighs
+    least without common words deciding alone; one for each of ``seeds``) differs in at most ``radius`` bits and
     whose sets of 5-word shingles have Jaccard similarity >= ``similarity``: enough of them to connect all that are.
 
     Keys with few fingerprints are verified pair by pair. At a crowded key, documents are first held against pivots,
@@ -324,8 +349,8 @@ def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     What is still in different components there is verified pair by pair afterwards, so that no link is lost.
     """
     rows = texts(docs).where("doc_id IS NOT NULL")
-    prints = written(fingerprints(rows, 2).select(F.col("doc_id").alias("id"), "fp"), "similar-prints")
-    stored, probes = part_keys(prints, radius)
+    prints = written(seeded_prints(rows, seeds), "similar-prints")
+    stored, probes = seeded_keys(prints, radius)
     stored = written(stored, "similar-stored")
     crowded = written(stored.groupBy("part", "key").count().where(F.col("count") > CROWD).select("part", "key"), "similar-crowded")
     keys = ["part", "key"]
