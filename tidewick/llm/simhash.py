@@ -308,21 +308,22 @@ SEEDS = (42, 43)  # one fingerprint each; similar texts meet if they are near in
 
 
 def seeded_prints(docs: DataFrame, seeds: tuple = SEEDS, size: int = 2) -> DataFrame:
-    """id and fp0, fp1, ... (bigint): fingerprints of the same shingles hashed with each of ``seeds``."""
+    """id, same and fp0, fp1, ... (bigint): a 128-bit hash of the word sequence, and fingerprints of the same shingles
+    hashed with each of ``seeds``."""
 
     def run(frames):
         for frame in bytes_at_most(frames, "text"):
             tokens = [words(t) for t in frame["text"]]
             prints = {f"fp{k}": [majority(shingle_hashes(w, size, seed)) for w in tokens] for k, seed in enumerate(seeds)}
-            yield pd.DataFrame({"id": frame["doc_id"], **prints})
+            yield pd.DataFrame({"id": frame["doc_id"], "same": [xxhash.xxh3_128_hexdigest(b" ".join(w)) for w in tokens], **prints})
 
-    return docs.mapInPandas(run, "id long, " + ", ".join(f"fp{k} long" for k in range(len(seeds))))
+    return docs.mapInPandas(run, "id long, same string, " + ", ".join(f"fp{k} long" for k in range(len(seeds))))
 
 
 def seeded_keys(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
     """(stored, probes) over all fingerprints of ``seeded_prints``; each one's parts are numbered apart."""
     stored, probes = None, None
-    for k, fp in enumerate(c for c in prints.columns if c != "id"):
+    for k, fp in enumerate(c for c in prints.columns if c.startswith("fp")):
         some = [x.withColumn("part", F.col("part") + 100 * k) for x in part_keys(prints.select("id", F.col(fp).alias("fp")), radius)]
         stored, probes = some if stored is None else (stored.union(some[0]), probes.union(some[1]))
     return stored, probes
@@ -344,13 +345,16 @@ def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     least without common words deciding alone; one for each of ``seeds``) differs in at most ``radius`` bits and
     whose sets of 5-word shingles have Jaccard similarity >= ``similarity``: enough of them to connect all that are.
 
-    Keys with few fingerprints are verified pair by pair. At a crowded key, documents are first held against pivots,
+    Documents of the same words hang on the first of them, which alone is compared with others. Keys with few
+    fingerprints are verified pair by pair. At a crowded key, documents are first held against pivots,
     those that most probes meet, which lie in the middle of a group; the group then hangs together without its pairs.
     What is still in different components there is verified pair by pair afterwards, so that no link is lost.
     """
     rows = texts(docs).where("doc_id IS NOT NULL")
     prints = written(seeded_prints(rows, seeds), "similar-prints")
-    stored, probes = seeded_keys(prints, radius)
+    first = written(prints.groupBy("same").agg(F.min("id").alias("first")), "similar-first")
+    copies = prints.join(first, "same").where(F.col("id") != F.col("first")).select(F.col("id").alias("a"), F.col("first").alias("b"))
+    stored, probes = seeded_keys(written(prints.join(first.select(F.col("first").alias("id")), "id", "left_semi"), "similar-prints"), radius)
     stored = written(stored, "similar-stored")
     crowded = written(stored.groupBy("part", "key").count().where(F.col("count") > CROWD).select("part", "key"), "similar-crowded")
     keys = ["part", "key"]
@@ -362,7 +366,7 @@ def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIM
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(packed_seen.select("id")).union(packed_found.select(F.col("other").alias("id"))).distinct()
     involved = written(involved, "similar-ids")
     sets = written(shingle_sets(rows.join(involved, rows["doc_id"] == involved["id"], "left_semi"), size), "similar-sets")
-    edges = written(_verified(pairs, sets, similarity), "similar-edges")
+    edges = written(_verified(pairs, sets, similarity).union(copies), "similar-edges")
     if not packed_found.take(1):
         return edges
     # Pivots: at each key the few documents that most probes meet, over all crowded keys that they are stored at.
