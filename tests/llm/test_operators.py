@@ -159,6 +159,25 @@ def test_similar_groups_equal_brute_force(spark, monkeypatch, crowd):
     assert sorted(r.doc_id for r in simhash.drop_similar(some).collect()) == sorted(i for i in want if want[i] == i)
 
 
+@pytest.mark.parametrize("crowd", [2, 10**6])
+def test_block_edits_are_similar_by_jaccard_alone(spark, monkeypatch, crowd):
+    """Passages appended, cut off and replaced, at similarities around 0.8, and lines that many texts share."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rng, made = np.random.default_rng(7), []
+    fresh = lambda n: [f"v{x}" for x in rng.integers(0, 3000, n)]
+    line = fresh(30)
+    for k in range(40):
+        base = fresh(int(rng.integers(3, 250))) + line * (k % 3 == 0)
+        n = len(base)
+        for share in (0.05, 0.12, 0.18, 0.24):
+            m = max(1, int(share * n))
+            made += [base, base + fresh(m), base[m:], base[: n - m], base[: n // 2] + fresh(m // 2) + base[n // 2 + m // 2 :]]
+    made = [(int(i), " ".join(w)) for i, w in zip(rng.permutation(len(made)), made)]
+    runs = lambda w: frozenset(zip(*(w[k:] for k in range(5)))) if len(w) >= 5 else frozenset([tuple(w)])
+    want = slow_components({i: runs(t.split()) for i, t in made}, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert sorted(r.doc_id for r in simhash.drop_similar(spark.createDataFrame(made, "doc_id long, text string")).collect()) == sorted(i for i in want if want[i] == i)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(500, 501), (501, 500), (7, 7), (None, 3)], "a long, b long"))
     got = dict(rows(components.labels(edges)))

@@ -9,16 +9,20 @@ fingerprints. Probes meet stored parts by key; every meeting is verified over al
 Keys that many fingerprints share would give all pairs of a group. Radius 2 has an exact way without pairs: two
 fingerprints are within 2 bits if and only if some value lies within 1 bit of both, so fingerprints at such keys are
 joined through those values (at most 65 fingerprints to a value, 65 values to a fingerprint).
+
+Texts of Jaccard similarity >= 0.8 can lie too many bits apart for that (a passage put on or cut off moves up to ten of
+64), so the stage that drops near copies meets them by an exact prefix-filter join instead.
 """
 
 from __future__ import annotations
 
 import itertools
+import zlib
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidewick.llm.common import bytes_at_most, texts, words
 from tidewick.llm.components import labels
@@ -300,107 +304,239 @@ def near_groups(docs: DataFrame, size: int = 3, parts: int | None = None) -> Dat
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-# ---- similar texts at a wider radius
-RADIUS = 7
+# ---- similar texts
 SIMILAR = 0.8
 PIVOTS = 3
-SEEDS = (42, 43)  # one fingerprint each; similar texts meet if they are near in any of them
+SKETCH_BITS = 21  # cells that count shingles for the order of prefixes
+SEEN_BITS = 24  # cells that tell which prefix shingles may occur twice
+# The condition of fingerprints that the stage had before; only an older test reads it.
+RADIUS = 7
+SEEDS = (42, 43)
+
+
+class WordHashes(dict):
+    """XXH64 of words, kept for as long as there is room."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return h
+
+
+def shingles(tokens: list[bytes], hashes: WordHashes, size: int = 5) -> np.ndarray:
+    """Distinct hashes of every run of ``size`` words; a shorter text is one run."""
+    if not tokens:
+        return np.empty(0, np.uint64)
+    own = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+    width, n = min(size, len(own)), max(1, len(own) - size + 1)
+    out = np.full(n, width, np.uint64)
+    for k in range(width):
+        out = (out ^ own[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique(out ^ (out >> np.uint64(32)))
+
+
+def needed(share: float, n):
+    """The least whole number of shingles that is at least ``share`` of n; rounding errors make it no larger."""
+    return np.ceil(share * n - 1e-6)
+
+
+def _cells(rows: DataFrame) -> np.ndarray:
+    """Sum of the packed counts in (block, counts), one row per task and block."""
+
+    def add(frame):
+        total = sum(np.frombuffer(zlib.decompress(c), "<u4").astype(np.int64) for c in frame["counts"])
+        return pd.DataFrame({"block": frame["block"].iloc[:1], "counts": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+
+    got = rows.groupBy("block").applyInPandas(add, "block int, counts binary").collect()
+    parts = {r["block"]: np.frombuffer(r["counts"], "<u4") for r in got}
+    return np.concatenate([parts[k] for k in sorted(parts)]) if parts else np.empty(0, "<u4")
+
+
+def _packed(counts: np.ndarray, blocks: int = 16) -> pd.DataFrame:
+    return pd.DataFrame({"block": np.arange(blocks, dtype=np.int32), "counts": [zlib.compress(c.astype("<u4").tobytes(), 1) for c in np.split(counts, blocks)]})
 
 
-def seeded_prints(docs: DataFrame, seeds: tuple = SEEDS, size: int = 2) -> DataFrame:
-    """id, same and fp0, fp1, ... (bigint): a 128-bit hash of the word sequence, and fingerprints of the same shingles
-    hashed with each of ``seeds``."""
+def same_and_counts(docs: DataFrame, size: int) -> DataFrame:
+    """Rows of two kinds: id and same, a 128-bit hash of a text's words; block and counts, how many texts of the task
+    hold shingles of each cell."""
 
     def run(frames):
-        for frame in bytes_at_most(frames, "text"):
+        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
+        for frame in bytes_at_most(frames, "text", 4 << 20):
             tokens = [words(t) for t in frame["text"]]
-            prints = {f"fp{k}": [majority(shingle_hashes(w, size, seed)) for w in tokens] for k, seed in enumerate(seeds)}
-            yield pd.DataFrame({"id": frame["doc_id"], "same": [xxhash.xxh3_128_hexdigest(b" ".join(w)) for w in tokens], **prints})
+            cells = np.concatenate([shingles(w, hashes, size) for w in tokens]) >> np.uint64(64 - SKETCH_BITS)
+            counts += np.bincount(cells.astype(np.int64), minlength=len(counts))
+            same = [xxhash.xxh3_128_digest(b" ".join(w)) for w in tokens]
+            yield pd.DataFrame({"id": frame["doc_id"].to_numpy(), "same": same, "block": None, "counts": None}).astype({"id": "Int64", "block": "Int32"})
+        if counts.any():
+            packed = _packed(counts)
+            yield pd.DataFrame({"id": None, "same": None, "block": packed["block"], "counts": packed["counts"]}).astype({"id": "Int64", "block": "Int32"})
+
+    return docs.mapInPandas(run, "id long, same binary, block int, counts binary")
+
 
-    return docs.mapInPandas(run, "id long, same string, " + ", ".join(f"fp{k} long" for k in range(len(seeds))))
+def prefixes(docs: DataFrame, counts: np.ndarray, similarity: float, size: int) -> DataFrame:
+    """id, n, prefix: each text's number of shingles, and the rarest of them in an order that all texts share. Two texts
+    of the wanted similarity have one in common at least, whatever the order; by rare ones first, few others do."""
+    level = np.minimum(255, 8 * np.log2(1.0 + counts)).astype(np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(level)
 
+    def run(frames):
+        hashes = WordHashes()
+        for frame in bytes_at_most(frames, "text", 4 << 20):
+            sizes, out = [], []
+            for text in frame["text"]:
+                x = shingles(words(text), hashes, size)
+                order = np.argsort(shared.value[(x >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
+                sizes.append(len(x))
+                out.append(x[order[: len(x) - int(needed(similarity, len(x))) + 1]].view(np.int64))
+            yield pd.DataFrame({"id": frame["doc_id"].to_numpy(), "n": np.array(sizes, np.int32), "prefix": out})
+
+    return docs.mapInPandas(run, "id long, n int, prefix array<long>").where("n > 0")
+
+
+def shared_tokens(stored: DataFrame) -> DataFrame:
+    """key, id, n, at, held: the prefix shingles of ``prefixes`` that more than one row holds, their places in the
+    prefix and how many rows hold them. Most others are left out before the join by a filter of fixed size."""
+    keys = written(stored.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("held")).where("held > 1"), "similar-keys")
+
+    def cells(frames):
+        seen = np.zeros(1 << SEEN_BITS, bool)
+        for frame in frames:
+            seen[(frame["key"].to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)] = True
+        if seen.any():
+            yield _packed(np.packbits(seen).view("<u4"))
 
-def seeded_keys(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
-    """(stored, probes) over all fingerprints of ``seeded_prints``; each one's parts are numbered apart."""
-    stored, probes = None, None
-    for k, fp in enumerate(c for c in prints.columns if c.startswith("fp")):
-        some = [x.withColumn("part", F.col("part") + 100 * k) for x in part_keys(prints.select("id", F.col(fp).alias("fp")), radius)]
-        stored, probes = some if stored is None else (stored.union(some[0]), probes.union(some[1]))
-    return stored, probes
+    def either(frame):
+        total = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(c), "<u4") for c in frame["counts"]])
+        return pd.DataFrame({"block": frame["block"].iloc[:1], "counts": [total.tobytes()]})
+
+    got = keys.select("key").mapInPandas(cells, "block int, counts binary").groupBy("block").applyInPandas(either, "block int, counts binary").collect()
+    bits = b"".join(bytes(r["counts"]) for r in sorted(got, key=lambda r: r["block"]))
+    shared = stored.sparkSession.sparkContext.broadcast(bits)
+
+    def run(frames):
+        seen = np.frombuffer(shared.value, np.uint8)
+        for frame in frames:
+            if not len(seen) or not len(frame):
+                continue
+            lengths = frame["prefix"].map(len).to_numpy()
+            key = np.concatenate(frame["prefix"].to_list()).astype(np.int64)
+            cell = (key.view(np.uint64) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+            some = np.flatnonzero((seen[cell >> 3] >> (7 - (cell & 7))) & 1)
+            row = np.repeat(np.arange(len(frame)), lengths)
+            at = np.arange(len(key)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            yield pd.DataFrame({"key": key[some], "id": frame["id"].to_numpy()[row[some]], "n": frame["n"].to_numpy()[row[some]], "at": at[some].astype(np.int32)})
+
+    return stored.mapInPandas(run, "key long, id long, n int, at int").join(keys, "key")
 
 
 def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     """id, shingles: the distinct hashes of each text's runs of ``size`` words, a shorter text being one run."""
 
     def run(frames):
+        hashes = WordHashes()
         for frame in bytes_at_most(frames, "text"):
-            sets = [np.unique(shingle_hashes(words(t), size)).view(np.int64) for t in frame["text"]]
-            yield pd.DataFrame({"id": frame["doc_id"], "shingles": sets})
+            yield pd.DataFrame({"id": frame["doc_id"], "shingles": [shingles(words(t), hashes, size).view(np.int64) for t in frame["text"]]})
 
     return docs.mapInPandas(run, "id long, shingles array<long>")
 
 
-def similar_links(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILAR, size: int = 5, seeds: tuple = SEEDS) -> DataFrame:
-    """Edges (a, b) between documents of which some fingerprint (of 2-word shingles, on which a changed word weighs
-    least without common words deciding alone; one for each of ``seeds``) differs in at most ``radius`` bits and
-    whose sets of 5-word shingles have Jaccard similarity >= ``similarity``: enough of them to connect all that are.
+def similar_links(docs: DataFrame, similarity: float = SIMILAR, size: int = 5) -> DataFrame:
+    """Edges (a, b) between documents whose sets of 5-word shingles have Jaccard similarity >= ``similarity``: enough of
+    them to connect all that are.
+
+    An exact prefix-filter join. All shingles are put in one order, those of rarely hit cells of a count sketch first.
+    Of n shingles a similar text shares at least ``similarity`` * n, so the first n - that + 1 hold one that both have
+    among their first. The order decides only about the work; every similar pair meets in any order.
 
-    Documents of the same words hang on the first of them, which alone is compared with others. Keys with few
-    fingerprints are verified pair by pair. At a crowded key, documents are first held against pivots,
-    those that most probes meet, which lie in the middle of a group; the group then hangs together without its pairs.
-    What is still in different components there is verified pair by pair afterwards, so that no link is lost.
+    Documents of the same words hang on the first of them, which alone is compared with others. At shingles that few
+    prefixes hold, common ones are counted and pairs verified that can still reach the similarity. At a crowded one,
+    documents are first held against pivots, those with the most crowded shingles, which lie in the middle of a group;
+    the group then hangs together without its pairs. What is still in different components there is verified pair by
+    pair afterwards, so that no link is lost.
     """
     rows = texts(docs).where("doc_id IS NOT NULL")
-    prints = written(seeded_prints(rows, seeds), "similar-prints")
+    made = written(same_and_counts(rows, size), "similar-same")
+    prints, counts = made.where("same IS NOT NULL").select("id", "same"), _cells(made.where("block IS NOT NULL").select("block", "counts"))
     first = written(prints.groupBy("same").agg(F.min("id").alias("first")), "similar-first")
-    copies = prints.join(first, "same").where(F.col("id") != F.col("first")).select(F.col("id").alias("a"), F.col("first").alias("b"))
-    stored, probes = seeded_keys(written(prints.join(first.select(F.col("first").alias("id")), "id", "left_semi"), "similar-prints"), radius)
-    stored = written(stored, "similar-stored")
-    crowded = written(stored.groupBy("part", "key").count().where(F.col("count") > CROWD).select("part", "key"), "similar-crowded")
-    keys = ["part", "key"]
-    seen, found = probes.select(*keys, "id", "fp"), stored.select(*keys, F.col("id").alias("other"), F.col("fp").alias("other_fp"))
-    light = seen.join(crowded, keys, "left_anti").join(found.join(crowded, keys, "left_anti"), keys)
-    pairs = written(_pairs(light, radius), "similar-pairs")
-    packed_seen = written(seen.join(crowded, keys, "left_semi"), "similar-crowd")
-    packed_found = written(found.join(crowded, keys, "left_semi"), "similar-crowd")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(packed_seen.select("id")).union(packed_found.select(F.col("other").alias("id"))).distinct()
+    copies = written(prints.join(first, "same").where(F.col("id") != F.col("first")).select(F.col("id").alias("a"), F.col("first").alias("b")), "similar-copies")
+    if not len(counts):
+        return copies
+    gone = copies.join(first, F.col("a") == F.col("first"), "left_anti").select("a").distinct()
+    stored = written(prefixes(rows.join(gone, F.col("doc_id") == F.col("a"), "left_anti"), counts, similarity, size), "similar-prefixes")
+    tokens = written(shared_tokens(stored), "similar-tokens")
+    light, crowd = tokens.where(F.col("held") <= CROWD), tokens.where(F.col("held") > CROWD)
+    spare = crowd.groupBy("id").agg(F.count("*").alias("spare"))
+    pairs = written(_met(light, spare, similarity), "similar-pairs")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(crowd.select("id")).distinct()
     involved = written(involved, "similar-ids")
     sets = written(shingle_sets(rows.join(involved, rows["doc_id"] == involved["id"], "left_semi"), size), "similar-sets")
     edges = written(_verified(pairs, sets, similarity).union(copies), "similar-edges")
-    if not packed_found.take(1):
+    if not crowd.take(1):
         return edges
-    # Pivots: at each key the few documents that most probes meet, over all crowded keys that they are stored at.
-    hits = packed_seen.groupBy(keys).agg(F.count("*").alias("hits"))
-    middle = packed_found.join(hits, keys).groupBy("other").agg(F.sum("hits").alias("hits"))
-    order = Window.partitionBy(keys).orderBy(F.desc("hits"), "other")
-    pivots = packed_found.join(middle, "other").withColumn("at", F.row_number().over(order)).where(F.col("at") <= PIVOTS).select(*keys, "other", "other_fp")
-    edges = written(edges.union(_verified(_pairs(packed_seen.join(pivots, keys), radius), sets, similarity)), "similar-edges")
+    # Pivots: in each of some shares of a crowded key's documents, the one with the most crowded shingles.
+    packed = written(crowd.join(spare, "id"), "similar-crowd")
+    best = packed.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(PIVOTS))).agg(F.max(F.struct("spare", "id", "n", "at")).alias("p"))
+    pivots = best.select("key", F.col("p.id").alias("other"), F.col("p.n").alias("other_n"), F.col("p.at").alias("other_at"))
+    edges = written(edges.union(_verified(_first_met(packed.join(pivots, "key"), similarity), sets, similarity)), "similar-edges")
     at = written(labels(edges), "similar-labels")
-    mine, theirs = at.select(F.col("node").alias("id"), F.col("label").alias("la")), at.select(F.col("node").alias("other"), F.col("label").alias("lb"))
-    rest = packed_seen.join(mine, "id", "left").withColumn("la", F.coalesce("la", "id"))
-    other = packed_found.join(theirs, "other", "left").withColumn("lb", F.coalesce("lb", "other"))
-    divided = _pairs(rest.join(other, keys).where("la != lb"), radius)
-    return edges.union(_verified(divided, sets, similarity))
+    marked = packed.join(at, packed["id"] == at["node"], "left").select("key", "id", "n", "at", F.coalesce("label", "id").alias("la"))
+    # Keys whose documents all hang together need no pairs.
+    divided = marked.groupBy("key").agg(F.min("la").alias("lo"), F.max("la").alias("hi")).where("lo < hi").select("key")
+    marked = written(marked.join(divided, "key", "left_semi"), "similar-divided")
+    other = marked.select("key", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("at").alias("other_at"), F.col("la").alias("lb"))
+    rest = marked.join(other, (marked["key"] == other["key"]) & (F.col("la") < F.col("lb")) & _reachable(similarity))
+    return edges.union(_verified(_first_met(rest, similarity), sets, similarity))
+
+
+def _common(similarity: float, n, m):
+    """Shingles that sets of n and m must share."""
+    return F.ceil((n + m) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6))
+
+
+def _reachable(similarity: float):
+    """If the first shingle that two texts share is this one, those from there on are enough."""
+    n, m = F.col("n"), F.col("other_n")
+    return F.least(n - F.col("at"), m - F.col("other_at")) >= _common(similarity, n, m)
+
+
+def _first_met(met: DataFrame, similarity: float) -> DataFrame:
+    some = met.where((F.col("id") != F.col("other")) & _reachable(similarity))
+    return some.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def _pairs(met: DataFrame, radius: int) -> DataFrame:
-    near = met.where((F.col("id") != F.col("other")) & (apart() <= radius))
-    return near.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+def _met(light: DataFrame, spare: DataFrame, similarity: float) -> DataFrame:
+    """Pairs that share a key and can reach the similarity by the keys they share, the crowded ones that they may share
+    besides (``spare``), and what comes after both."""
+    other = light.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("bt"))
+    mine = light.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ta"))
+    fits = F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity) - F.lit(1e-6)
+    met = mine.join(other, (mine["key"] == other["key"]) & (F.col("a") < F.col("b")) & fits)
+    seen = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k"), F.max("ta").alias("ta"), F.max("bt").alias("bt"))
+    sa, sb = spare.select(F.col("id").alias("a"), F.col("spare").alias("sa")), spare.select(F.col("id").alias("b"), F.col("spare").alias("sb"))
+    seen = seen.join(sa, "a", "left").join(sb, "b", "left")
+    more = F.least(F.coalesce("sa", F.lit(0)), F.coalesce("sb", F.lit(0)))
+    after = F.least(F.col("na") - 1 - F.col("ta"), F.col("nb") - 1 - F.col("bt"))
+    return seen.where(F.col("k") + more + after >= _common(similarity, F.col("na"), F.col("nb"))).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     x, y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     share = both / F.greatest(F.lit(1), F.size("x") + F.size("y") - both)
-    return pairs.join(x, "a").join(y, "b").where((share >= similarity) | ((F.size("x") == 0) & (F.size("y") == 0))).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").where(share >= similarity).select("a", "b")
 
 
-def drop_similar(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILAR) -> DataFrame:
+def drop_similar(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
     """Rows of ``docs``, with their columns: of each group of similar documents the one with the smallest doc_id.
 
     doc_id names a document: rows that repeat one stay or go together. Rows without doc_id stay. Texts without words
     are similar to each other only. An empty table stays empty.
     """
-    at = labels(similar_links(docs, radius, similarity))
+    at = labels(similar_links(docs, similarity))
     gone = written(at.where("node != label").select(F.col("node").alias("_gone")), "similar-gone")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
