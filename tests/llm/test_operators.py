@@ -6,6 +6,7 @@ import io
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -321,6 +322,18 @@ def test_one_changed_word_in_any_place_is_found():
         assert [m[0] for m in block.matches(text)] == [1], p
 
 
+@pytest.mark.parametrize("n", range(12, 25))
+def test_changed_words_in_any_places_are_found(n):
+    """All pairs of places, and as many words as the rule allows in all places (at random from 17 words on)."""
+    item, rng = [f"w{i}" for i in range(n)], np.random.default_rng(n)
+    block, most = decontam.Block([(1, " ".join(item))]), n - int(np.ceil(0.8 * n))
+    places = list(combinations(range(n), 2))
+    places += combinations(range(n), most) if n < 17 else [tuple(rng.choice(n, most, replace=False)) for _ in range(1000)]
+    for some in places:
+        text = " ".join(["a", "b", *("x" if i in some else w for i, w in enumerate(item)), "c"])
+        assert [m[:3] for m in block.matches(text)] == [(1, n - len(some), n - len(some))], some
+
+
 def test_overlaps_in_several_blocks(spark, docs, monkeypatch):
     bench = table(spark, SF, "benchmark")
     whole = sorted(rows(decontam.overlaps(docs, bench)))

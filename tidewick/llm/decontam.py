@@ -1,8 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a window of 12 words of which a fixed mask ignores three. There are four masks, each ignoring every fourth
-place, so a window with one word replaced (or several in places of one mask) still meets its twin on the other masks.
-Test windows are hashed once per block of the benchmark; training windows are hashed by the same masks and looked up.
+A seed is a short pattern of words: four in a row, or three, one ignored and three more. Wherever four of five words
+agree between the first and the last of at least ten, one of the two patterns agrees as well: ten or more words that at
+most a quarter as many others cut into runs leave a run of four, except twelve in four runs of three, which hold the
+second pattern. Test items are hashed once per block of the benchmark; training texts are hashed by the same patterns and
+looked up.
 Around each hit the two texts are compared word by word along its diagonal, and the best stretch is kept in which at
 least four of five words agree. Stretches on several diagonals (words put in or left out) add up per item.
 """
@@ -20,14 +22,14 @@ from pyspark.sql import DataFrame, functions as F
 from tidewick.llm.common import bytes_at_most, texts, whole
 from tidewick.session import written
 
-SPAN, STEP = 12, 4
-MASKS = [[p for p in range(SPAN) if p % STEP != k] for k in range(STEP)]
+SPAN = 12  # items of fewer words are compared as a whole
+MASKS = [[0, 1, 2, 3], [0, 1, 2, 4, 5, 6]]
 LEAST = 13  # words that must agree in one stretch
 SHARE = 0.8  # ... or the share of a short item's words
 SHORTEST = 5  # items of fewer words never match
 BLOCK_WORDS = 400_000  # benchmark words looked up in one pass over the documents
 _WORD = re.compile(r"\w+")
-_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1 for i in range(SPAN)], np.uint64)
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1 for i in range(1 + max(map(max, MASKS)))], np.uint64)
 
 
 def words_of(text: str) -> list[str]:
@@ -45,10 +47,10 @@ class Block:
             self.ids[w] = len(self.ids) + 1  # 0: a word that no item has
         self.codes = [np.array([self.ids[w] for w in s], np.int64) for s in split]
         found: list[tuple[np.ndarray, ...]] = []
-        self.short: dict[int, list[int]] = {}  # length: items shorter than a window, compared as a whole
+        self.short: dict[int, list[int]] = {}  # length: items shorter than SPAN, compared as a whole
         for k, code in enumerate(self.codes):
             if len(code) >= SPAN:
-                for m in range(STEP):
+                for m in range(len(MASKS)):
                     h = seeds(code, m)
                     found.append((h, np.full(len(h), k), np.arange(len(h))))
             elif len(code) >= SHORTEST:
@@ -65,12 +67,12 @@ class Block:
         split = words_of(text)
         code = np.fromiter(map(self.ids.get, split, repeat(0)), np.int64, len(split))
         diagonals: set[tuple[int, int]] = set()
-        if len(code) >= SPAN and len(self.hashes):
+        if len(code) > MASKS[-1][-1] and len(self.hashes):
             known = np.concatenate([[0], np.cumsum(code > 0)])
-            # Places of a window that a mask reads must all hold benchmark words.
-            for m in range(STEP):
+            # Places that a mask reads must all hold benchmark words.
+            for m in range(len(MASKS)):
                 full = len(MASKS[m])
-                seen = sum((code[p : len(code) - SPAN + 1 + p] > 0).astype(np.int8) for p in MASKS[m]) if known[-1] >= full else np.zeros(0)
+                seen = sum((code[p : len(code) - MASKS[m][-1] + p] > 0).astype(np.int8) for p in MASKS[m]) if known[-1] >= full else np.zeros(0)
                 at = np.flatnonzero(seen == full)
                 if not len(at):
                     continue
@@ -107,7 +109,7 @@ class Block:
 
 def seeds(code: np.ndarray, mask: int, at: np.ndarray | None = None) -> np.ndarray:
     """Hash of every window (or of those at ``at``) over the places that the mask reads."""
-    n = len(code) - SPAN + 1
+    n = len(code) - MASKS[mask][-1]
     out = np.zeros(n if at is None else len(at), np.uint64)
     for p in MASKS[mask]:
         part = code[p : p + n] if at is None else code[at + p]
@@ -149,7 +151,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, overlap, covered, first_word) of every document and item that overlap, as stored rows.
 
     overlap: words that agree in the best stretch; covered: the item's words found on any diagonal; first_word: place
-    in the document. A pair counts if overlap >= 13 or if four fifths of the item are covered. Items of fewer than five
+    in the document. A pair counts if overlap >= 13 or if four fifths of the item are covered, wherever its changed words
+    lie; with words put in or left out, pieces count that hold a seed. Items of fewer than five
     words and null items match nothing; null and empty texts overlap with nothing; several rows of one item_id count as
     items of that id, repeated rows of documents each give rows. Each block of the benchmark is one pass over the
     documents; the test tables fit one block.
