@@ -550,6 +550,15 @@ def test_scores_do_not_depend_on_company():
     assert together == pytest.approx([recurrent.score_batch(p, [d], 0)[0] for d in some], rel=1e-5)
 
 
+def test_recurrent_learns_from_every_training_document(spark, monkeypatch):
+    """Each document has a word of its own, whose input weights only it can change."""
+    monkeypatch.setattr(recurrent, "PRIOR", 1)
+    some = spark.createDataFrame([(i or None, f"own{i} and own{i} again") for i in range(40)], "doc_id long, text string")
+    lex = recurrent.Lexicon(recurrent.word_counts(some))
+    start, p = recurrent.started(lex), recurrent.fit(some, lex)
+    assert all(np.abs(p["x"][k] - start["x"][k]).max() > 1e-5 for k in range(len(lex.words)))
+
+
 def test_recurrent_awkward(awkward, empty):
     got = recurrent.score(awkward).collect()
     assert len(got) == len(AWKWARD) and {r.n_tokens for r in got if r.doc_id in (3, 4, 5)} == {1}

@@ -4,7 +4,7 @@ Words are counted over all training documents. The most frequent ones are the ne
 the symbol OTHER times its smoothed share among other words, so the model is a distribution over all words. The
 network's output is factored, P(word) = P(class) P(word | class), with classes of equal size by frequency, and starts
 from the counted shares. Training is by truncated backpropagation in numpy: each task trains a copy on its own
-documents, and copies are averaged by the words they have seen, over two rounds with different documents. In scoring
+documents, and copies are averaged by the words they have seen. Every training document is in one of two rounds. In scoring
 the state is carried from window to window through a document of any length.
 
 Rare words are not held anywhere as a whole: their counts are joined to the documents that use them.
@@ -33,7 +33,6 @@ WINDOW = 32
 STREAMS = 32
 ROUNDS = 2
 PRIOR = 100_000
-TRAINED_ON = 24  # one in so many training documents per round
 END = b""  # no word is empty
 LN10 = math.log(10)
 
@@ -285,8 +284,8 @@ def network_ids(places: np.ndarray) -> np.ndarray:
     return np.where((places < 0) | (places >= SHORTLIST), OTHER, places)
 
 
-def fit(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, one_in: int = TRAINED_ON) -> dict[str, np.ndarray]:
-    """Every task trains a copy on its documents of the round; copies are averaged, weighted by words, in Spark. The
+def fit(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """All documents are dealt over the rounds, each to one; every task trains a copy on its own of the round. Copies are averaged, weighted by words, in Spark. The
     weights before the round count as ``PRIOR`` words, so that little text changes them little."""
     p = started(lexicon)
     size = len(flat(p))
@@ -310,7 +309,7 @@ def fit(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, one_in: int
                 for at in range(0, size, 4096):
                     yield pd.DataFrame({"at": np.arange(at, min(size, at + 4096)), "v": v[at : at + 4096], "n": float(seen)})
 
-        some = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == k).select("text")
+        some = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("text")
         rows = some.mapInPandas(run, "at int, v double, n double").groupBy("at").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect()  # one per weight
         total, weight = PRIOR * now.astype(float), np.full(size, float(PRIOR))
         for r in rows:
