@@ -163,13 +163,19 @@ def stream_triggers(s, d) -> DataFrame:
 
 
 def stream_silver(s, d) -> DataFrame:
-    """Three landings in time order; silver after the last equals a full recompute."""
-    landing, mark = fresh_path(s, "landing"), fresh_path(s, "silver-checkpoint")
-    rows, refresh = B.b1(s, d), jobs.TailRefresh(new_lake(s))
-    bounds = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 19), dt.datetime(2024, 1, 27), dt.datetime(2024, 2, 1)]
-    for a, b in zip(bounds, bounds[1:]):
-        rows.where((F.col("ts") >= B.ntz(a)) & (F.col("ts") < B.ntz(b))).write.mode("append").parquet(landing)
-        jobs.silver_tail(jobs.landed(s, landing, "bronze_candles"), refresh, mark).awaitTermination()
+    """One symbol to a file and one file to a batch: the later half of the time, the earlier half, and last a mixture of
+    older pulls with other prices and newer ones that repeat a candle. Silver then equals a full recompute."""
+    landing, refresh = fresh_path(s, "landing"), jobs.TailRefresh(new_lake(s))
+    rows, hour = B.b1(s, d), F.expr("INTERVAL 1 HOUR")
+    repeats = F.minute("ts") % 7 == 0
+    again = rows.withColumn("close", F.when(repeats, F.col("close")).otherwise(F.col("close") * 2)).withColumn(
+        "ingested_at", F.when(repeats, F.col("ingested_at") + hour).otherwise(F.col("ingested_at") - hour))
+    late = F.col("ts") >= B.ntz(HALVES)
+    symbols = [r[0] for r in rows.select("symbol").distinct().orderBy("symbol").collect()]
+    for part in (rows.where(late), rows.where(~late), again):
+        for symbol in symbols:
+            part.where(F.col("symbol") == symbol).coalesce(1).write.mode("append").parquet(landing)
+    jobs.silver_tail(jobs.landed(s, landing, "bronze_candles", files_per_batch=1), refresh, fresh_path(s, "silver-checkpoint")).awaitTermination()
     return refresh.current()
 
 

@@ -124,3 +124,12 @@ def test_no_label_column_feeds_the_models():
 def test_settings_are_frozen():
     with pytest.raises(dataclasses.FrozenInstanceError):
         Settings().block_days = 1
+
+
+def test_edge_is_the_newest_pull_of_the_last_minute(spark):
+    """A later pull holds an old copy of a block's last minute and a new copy of another."""
+    first = bars(spark, [(0, 1), (10, 2)])
+    second = bars(spark, [(0, 1), (10, 9)]).withColumn("ingested_at", F.expr("ingested_at + if(close = 1, 1, -1) * INTERVAL 1 HOUR"))
+    later = bars(spark, [(60 * 24 * 40, 3)])
+    known = candles.block_summary(first, version="ingested_at").union(candles.block_summary(second, version="ingested_at")).union(candles.block_summary(later, version="ingested_at"))
+    assert [r._edge_close for r in candles.edges(known).collect() if r._edge_close is not None] == [2.0]

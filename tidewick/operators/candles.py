@@ -36,12 +36,16 @@ def with_quote_volume(candles: DataFrame) -> DataFrame:
 def block_summary(candles: DataFrame, settings: Settings = DEFAULTS, version: str | None = None) -> DataFrame:
     """First ts and last candle per (symbol, block): all that later blocks need to know.
 
-    ``version`` names the column that decides between copies of the same minute.
+    ``version`` names the column that decides between copies of the same minute; equal ones resolve by value, as in
+    ``latest_candles``. seen_at and last_values are those of the row at hi.
     """
-    recency = F.struct("ts", version) if version else F.col("ts")
-    return candles.groupBy("symbol", floor_div(micros("ts"), settings.block_days * DAY).alias(BLOCK)).agg(
-        F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.max_by("close", recency).alias("last_close"),
-        (F.max(version) if version else F.lit(None).cast("timestamp_ntz")).alias("seen_at"))
+    recency = F.struct("ts", *[F.col(version).alias("seen_at")] if version else [], *VALUES)
+    last = candles.groupBy("symbol", floor_div(micros("ts"), settings.block_days * DAY).alias(BLOCK)).agg(
+        F.min("ts").alias("lo"), F.max(recency).alias("_last"))
+    return last.select(
+        "symbol", BLOCK, "lo", F.col("_last.ts").alias("hi"), F.col("_last.close").alias("last_close"),
+        (F.col("_last.seen_at") if version else F.lit(None).cast("timestamp_ntz")).alias("seen_at"),
+        F.struct(*[F.col(f"_last.{c}") for c in VALUES]).alias("last_values"))
 
 
 def edges(summary: DataFrame) -> DataFrame:
@@ -49,7 +53,7 @@ def edges(summary: DataFrame) -> DataFrame:
 
     ``summary`` may hold several rows per block, one per pull.
     """
-    newest = F.max_by("last_close", F.struct("hi", "seen_at"))
+    newest = F.max_by("last_close", F.struct("hi", "seen_at", "last_values"))
     per_block = summary.groupBy("symbol", BLOCK).agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"), newest.alias("_close"))
     by_block = Window.partitionBy("symbol").orderBy(BLOCK)
     return per_block.select(
