@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
+import regex
 
 END_ID = 0  # appended to every document
 VOCABULARY = "byte_bpe_50k.json"
@@ -14,8 +19,12 @@ VOCABULARY = "byte_bpe_50k.json"
 # be encoded word by word and equal words once. Other white space next to those breaks that; such texts are encoded as
 # they are.
 _UNSAFE = re.compile(r"\s \s|\s \Z|\s\n|\n\s|\n\Z|\A\n")
-_TOGETHER = 4000  # words encoded in one call, a line each
-_KNOWN: dict[str, "WordIds"] = {}
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+# Words of these characters (assigned in Unicode long ago) are cut into the tokenizer's pieces here and go straight to its
+# model; all others pass through the tokenizer as a whole.
+_SIMPLE = re.compile(r"\n?[!-~¡-ɏ]*")
+_TOGETHER = 1 << 20  # characters of texts split into words at a time
+_KNOWN: dict[tuple[str, bool], "WordIds"] = {}
 
 
 def vocabulary(name: str = VOCABULARY) -> str:
@@ -24,64 +33,110 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others by
+    the letters from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+def slices(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
+    """Runs of texts of at most ``limit`` characters (one text at least)."""
+    some, total = [], 0
+    for t in texts:
+        if some and total + len(t) > limit:
+            yield some
+            some, total = [], 0
+        some.append(t)
+        total += len(t)
+    if some:
+        yield some
+
+
+def in_words(text: str) -> bool:
+    """False where the text has to be encoded as a whole (plain searches settle all but rare texts)."""
+    if _OTHER_SPACE.search(text):
+        return not _UNSAFE.search(text)
+    return not (" \n" in text or "\n " in text or "\n\n" in text or "   " in text or text.startswith("\n") or text.endswith(("\n", "  ")))
+
+
 class WordIds:
-    """Ids (little-endian, 4 bytes) of words met so far, with and without a space before them. Memory is bounded: with
-    more than ``most`` words it starts anew."""
+    """Ids (little-endian, 4 bytes) of words met so far. Memory is bounded: with more than ``most`` words it starts anew.
+    With ``plain``, strings of special tokens inside a text are ordinary text."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 600_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer.encode_special_tokens = plain
         self.many = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.bare: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.line_end = self._encode(["\n"])[0]
+        self.model = self.tokenizer.model
+        form = json.loads(self.tokenizer.to_str())
+        before = form["pre_tokenizer"] or {}
+        self.direct = form["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+        self.special = [] if plain else [t["content"] for t in form["added_tokens"]]
+        self.cut = regex.compile(public_tokenizers.PATTERN).findall
+        self.letters = dict(enumerate(byte_letters()))
+        self.first: dict[str, bytes] = {}  # words that begin a text
+        self.later: dict[str, bytes] = {}  # words after a space, or with a line end before them
+        self.pieces: dict[str, bytes] = {}
 
     def __len__(self) -> int:
-        return len(self.bare) + len(self.spaced)
+        return len(self.first) + len(self.later)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.many(texts, add_special_tokens=False)]
 
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelt = piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        return ids
+
     def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        """Words go through the tokenizer many at a time, one to a line; line ends in the ids part them again."""
-        plain = [w for w in words if w.split() == [w]]
-        odd = list(words.difference(plain))
-        known.update(zip(odd, self._encode([before + w for w in odd])))
-        end = int.from_bytes(self.line_end[:4], "little")
-        for at in range(0, len(plain), _TOGETHER):
-            some = plain[at : at + _TOGETHER]
-            ids = np.array(self.many(["\n".join([before + w for w in some])], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == end)
-            if len(self.line_end) != 4 or len(cuts) != len(some) - 1:
-                known.update(zip(some, self._encode([before + w for w in some])))
-                continue
-            raw, start = ids.tobytes(), 0
-            for w, cut in zip(some, [*(4 * cuts).tolist(), len(raw)]):
-                known[w] = raw[start:cut]
-                start = cut + 4
+        odd = []
+        for w in words:
+            if not self.direct or not _SIMPLE.fullmatch(w) or any(s in w for s in self.special):
+                odd.append(w)
+            elif w.isalpha():  # one piece
+                spelt = (before + w).encode().decode("latin-1").translate(self.letters)
+                known[w] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+            else:
+                known[w] = b"".join(map(self._piece, self.cut(w if w[:1] == "\n" else before + w)))
+        known.update(zip(odd, self._encode([w if w[:1] == "\n" else before + w for w in odd])))
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        if len(self) > self.most or len(self.pieces) > self.most:
+            self.first.clear()
+            self.later.clear()
+            self.pieces.clear()
+        split = [t.replace("\n", " \n").split(" ") if in_words(t) else None for t in texts]
+        parts = [s for s in split if s is not None]
+        begin, after = [s[0] for s in parts], [s[1:] for s in parts]
+        ids = [list(map(self.later.get, a)) for a in after]
+        unknown = [k for k, found in enumerate(ids) if None in found]
+        self._learn(self.later, {w for k in unknown for w in after[k] if w not in self.later}, " ")
+        for k in unknown:
+            ids[k] = list(map(self.later.__getitem__, after[k]))
+        self._learn(self.first, set(begin).difference(self.first), "")
+        done = iter([self.first[b] + b"".join(i) for b, i in zip(begin, ids)])
+        rest = iter(self._encode([t for t, s in zip(texts, split) if s is None]))
+        return [next(rest) if s is None else next(done) for s in split]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without an end id."""
-        split = [None if _UNSAFE.search(t) else [line.split(" ") for line in t.split("\n")] for t in texts]
-        lines = [line for s in split if s is not None for line in s]
-        if len(self) > self.most:
-            self.bare.clear()
-            self.spaced.clear()
-        first, rest = {line[0] for line in lines}, set().union(*(line[1:] for line in lines))
-        self._learn(self.bare, first.difference(self.bare), "")
-        self._learn(self.spaced, rest.difference(self.spaced), " ")
-        whole = iter(self._encode([t for t, s in zip(texts, split) if s is None]))
-        bare, spaced = self.bare, self.spaced.__getitem__
-        return [next(whole) if s is None else self.line_end.join([bare[line[0]] + b"".join(map(spaced, line[1:])) for line in s]) for s in split]
-
-
-def encoder(path: str) -> WordIds:
+        return list(chain.from_iterable(map(self._some, slices(texts, _TOGETHER))))
+
+
+def encoder(path: str, plain: bool = False) -> WordIds:
     """One per Python worker and file."""
-    if path not in _KNOWN:
-        _KNOWN[path] = WordIds(path)
-    return _KNOWN[path]
+    if (path, plain) not in _KNOWN:
+        _KNOWN[path, plain] = WordIds(path, plain=plain)
+    return _KNOWN[path, plain]
 
 
 def document_ids(texts: list[str], path: str, end: int = END_ID) -> list[bytes]:
