@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewick.llm import content_sort, decontam, langid, packing, planes, recurrent, severity, simhash, urls, warc
+from tidewick.llm import align, content_sort, decontam, langid, packing, phrases, pii, planes, recurrent, severity, simhash, urls, warc
 from tidewick.llm.common import table
 
 
@@ -51,5 +51,18 @@ def op10_simhash_groups(spark, sf_dir):
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_trees, op2_ordinal_severity, op3_spaced_seeds, op4_zip_warc, op5_bit_planes, op6_pattern_packing, op7_centroid_language, op8_recurrent_score, op9_content_sort, op10_simhash_groups)}
-ORACLES = {"op4_zip_warc": warc.ORACLE, "op9_content_sort": content_sort.ORACLE}
+def op11_field_personal(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(pii.labelled(docs)))
+
+
+def op12_lockstep_alignment(spark, sf_dir):
+    return align.align(table(spark, sf_dir, "documents"))
+
+
+def op13_suffix_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_trees, op2_ordinal_severity, op3_spaced_seeds, op4_zip_warc, op5_bit_planes, op6_pattern_packing, op7_centroid_language, op8_recurrent_score, op9_content_sort, op10_simhash_groups, op11_field_personal, op12_lockstep_alignment, op13_suffix_phrases)}
+ORACLES = {"op4_zip_warc": warc.ORACLE, "op9_content_sort": content_sort.ORACLE, "op13_suffix_phrases": phrases.ORACLE}
