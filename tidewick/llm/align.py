@@ -27,9 +27,10 @@ PIECES = "piece_bpe_32k.model"
 BATCH = 4 << 20  # characters aligned at a time
 LANE = 1024  # A tokens after which a lane is cut at the next common end
 SMALL = 4_000_000  # id pairs whose counts are broadcast (16 bytes each); more are joined
-WORDS = 300_000  # words whose pieces a worker remembers
+WORDS = 400_000  # words whose pieces a worker remembers
 _SHIFT = 1 << 31  # a pair is one long: A id times this plus B id
-_SIDES: dict[tuple[str, str], tuple["ByteSide", "PieceSide"]] = {}
+_NOTHING = (b"", b"")  # a word that one of the tokenizers doesn't spell
+_SIDES: dict[tuple[str, str], "Sides"] = {}
 
 
 # ---- the two tokenizers
@@ -46,9 +47,14 @@ class ByteSide:
             self.bytes_of[k] = bytes(value[c] for c in entry) if all(c in value for c in entry) else entry.encode()
         self.sizes = np.array([len(b) for b in self.bytes_of], np.int64)
 
-    def encode(self, texts_: list[str]) -> list[bytes]:
+    def ids(self, texts_: list[str]) -> list[bytes]:
         return self.words.encode_all([" " + t for t in texts_])
 
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        known: dict[str, bytes] = {}
+        self.words._learn(known, set(words), " ")
+        return [known[w] for w in words]
+
 
 class PieceSide:
     """Sentence pieces: ids of the text, to which the tokenizer adds a space itself."""
@@ -60,32 +66,77 @@ class PieceSide:
         pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
         self.sizes = np.array([len(b) for b in self.bytes_of], np.int64)
-        # Without a piece that holds a space after another character, nothing is merged across the beginning of a word.
-        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[str, bytes] = {}
+        # Without a piece that holds a space after another character, or a line end, nothing is merged across the
+        # beginning of a word or a line.
+        self.by_word = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        self.space = np.array([k for k, p in enumerate(pieces) if p == "▁"], "<u4").tobytes()
 
-    def _ids(self, texts_: list[str]) -> list[bytes]:
+    def ids(self, texts_: list[str]) -> list[bytes]:
         return [np.array(ids, "<u4").tobytes() for ids in self.model.encode(texts_, num_threads=1)]
 
-    def encode(self, texts_: list[str]) -> list[bytes]:
-        out: list[bytes] = []
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """A word with a line end before it has no space; the tokenizer's own comes as a piece of its own."""
+        return [raw.removeprefix(self.space) if w[:1] == "\n" else raw for w, raw in zip(words, self.ids(words))]
+
+
+class Sides:
+    """Ids of both tokenizers. Texts are taken word by word where both allow it, and equal words are encoded once; a
+    worker remembers at most ``WORDS`` of them and those of one slice of texts."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = ByteSide(path_a), PieceSide(path_b)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+
+    def spelt(self, raw_a: list[bytes], raw_b: list[bytes], want: list[bytes]) -> list[bool]:
+        """Whether both sides' ids give back the wanted bytes, item by item; looked at together first."""
+        ends = np.cumsum([len(w) for w in want])
+        for side, raw in ((self.a, raw_a), (self.b, raw_b)):
+            ids = np.frombuffer(b"".join(raw), "<u4")
+            sizes = np.concatenate([[0], np.cumsum(side.sizes[ids])])[np.cumsum([len(r) // 4 for r in raw], dtype=np.int64)] if len(raw) else ends
+            if len(want) and (not np.array_equal(sizes, ends) or b"".join(map(side.bytes_of.__getitem__, ids.tolist())) != b"".join(want)):
+                break
+        else:
+            return [True] * len(want)
+        return [self.spelt([x], [y], [w])[0] for x, y, w in zip(raw_a, raw_b, want)] if len(want) > 1 else [False]
+
+    def _splits(self, text: str) -> bool:
+        return self.b.by_word and "  " not in text and not text.startswith(" ") and not text.endswith(" ") and "▁" not in text and tokens.in_words(text)
+
+    def encode(self, texts_: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids (little-endian, 4 bytes) of each text by A and by B; none where one of them doesn't spell space+text."""
+        out_a: list[bytes] = []
+        out_b: list[bytes] = []
         for some in tokens.slices(texts_, 1 << 20):
             if len(self.known) > WORDS:
                 self.known.clear()
-            # A word with the single space before it is a unit; other runs of spaces and texts spelt with the
-            # tokenizer's own space are encoded as a whole.
-            split = [t.split(" ") if self.by_word and t and "  " not in t and t[0] != " " and t[-1] != " " and "▁" not in t else None for t in some]
-            new = list({w for s in split if s is not None for w in s if w not in self.known})
-            self.known.update(zip(new, self._ids(new)))
-            whole = iter(self._ids([t for t, s in zip(some, split) if s is None]))
-            out += [next(whole) if s is None else b"".join(map(self.known.__getitem__, s)) for s in split]
-        return out
-
-
-def sides(path_a: str, path_b: str) -> tuple[ByteSide, PieceSide]:
-    """One pair per Python worker and files."""
+                self.a.words.pieces.clear()
+            split = [t.replace("\n", " \n").split(" ") if t and self._splits(t) else None for t in some]
+            found = [None if s is None else list(map(self.known.get, s)) for s in split]
+            late = [k for k, f in enumerate(found) if f is not None and None in f]
+            new = list({w for k in late for w, f in zip(split[k], found[k]) if f is None})
+            new_a, new_b = self.a.word_ids(new), self.b.word_ids(new)
+            right = self.spelt(new_a, new_b, [(w if w[:1] == "\n" else " " + w).encode("utf-8", "surrogatepass") for w in new])
+            self.known.update((w, (x, y) if ok else _NOTHING) for w, x, y, ok in zip(new, new_a, new_b, right))
+            for k in late:
+                found[k] = list(map(self.known.__getitem__, split[k]))
+            for t, f in zip(some, found):
+                if f is None:
+                    raw_a, raw_b = (side.ids([t])[0] for side in (self.a, self.b))
+                    if not t or not self.spelt([raw_a], [raw_b], [b" " + t.encode("utf-8", "surrogatepass")])[0]:
+                        raw_a = raw_b = b""
+                elif _NOTHING in f:
+                    raw_a = raw_b = b""
+                else:
+                    raw_a, raw_b = b"".join([x for x, _ in f]), b"".join([x for _, x in f])
+                out_a.append(raw_a)
+                out_b.append(raw_b)
+        return out_a, out_b
+
+
+def sides(path_a: str, path_b: str) -> Sides:
+    """One per Python worker and files."""
     if (path_a, path_b) not in _SIDES:
-        _SIDES[path_a, path_b] = ByteSide(path_a), PieceSide(path_b)
+        _SIDES[path_a, path_b] = Sides(path_a, path_b)
     return _SIDES[path_a, path_b]
 
 
@@ -148,13 +199,9 @@ class Aligned:
     """The tokens of a batch of texts and their links: ids_a, ids_b (all documents behind one another), starts_a, starts_b
     (of each document), link_a, link_b (places of tokens that end together, in order)."""
 
-    def __init__(self, some: list[str | None], a: ByteSide, b: PieceSide):
-        full = [t or "" for t in some]
-        raw_a, raw_b = a.encode(full), b.encode(full)
-        for k, t in enumerate(full):
-            spelt = b" " + t.encode("utf-8", "surrogatepass")
-            if not t or any(b"".join(map(side.bytes_of.__getitem__, np.frombuffer(raw, "<u4").tolist())) != spelt for side, raw in ((a, raw_a[k]), (b, raw_b[k]))):
-                raw_a[k] = raw_b[k] = b""
+    def __init__(self, some: list[str | None], both: Sides):
+        raw_a, raw_b = both.encode([t or "" for t in some])
+        a, b = both.a, both.b
         self.ids_a, self.ids_b = (np.frombuffer(b"".join(r), "<u4").astype(np.int64) for r in (raw_a, raw_b))
         self.starts_a, self.starts_b = (np.concatenate([[0], np.cumsum([len(x) // 4 for x in r])]).astype(np.int64) for r in (raw_a, raw_b))
         self.ends_a, self.ends_b = np.cumsum(a.sizes[self.ids_a]), np.cumsum(b.sizes[self.ids_b])  # a document's bytes are equal on both sides
@@ -180,10 +227,16 @@ class Aligned:
         for d in range(len(starts) - 1):
             yield b"".join(map(spell.__getitem__, codes[starts[d] : starts[d + 1]].tolist()))[:-1]
 
-    def pairs(self, d: int) -> tuple[np.ndarray, np.ndarray]:
-        """Different id pairs (A id * 2**31 + B id) linked in document d, ascending, and how often."""
-        at = slice(self.first_link[d], self.first_link[d + 1])
-        return np.unique(self.ids_a[self.link_a[at]] * _SHIFT + self.ids_b[self.link_b[at]], return_counts=True)
+    def pairs(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each document the different id pairs (A id * 2**31 + B id) that it links, ascending, and how often."""
+        key = self.ids_a[self.link_a] * _SHIFT + self.ids_b[self.link_b]
+        number = np.repeat(np.arange(len(self.starts_a) - 1), np.diff(self.first_link))
+        order = np.lexsort((key, number))
+        key, number = key[order], number[order]
+        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (number[1:] != number[:-1])])) if len(key) else np.empty(0, np.int64)
+        times = np.diff(np.append(first, len(key)))
+        cuts = np.searchsorted(number[first], np.arange(1, len(self.starts_a) - 1))
+        return list(zip(np.split(key[first], cuts), np.split(times, cuts)))
 
 
 # ---- data sets
@@ -199,11 +252,10 @@ def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None =
 
     def run(frames):
         part, row = TaskContext.get().partitionId(), 0
-        a, b = sides(path_a, path_b)
+        both = sides(path_a, path_b)
         for frame in bytes_at_most(frames, "text", BATCH):
-            done, out = Aligned(frame["text"].tolist(), a, b), []
-            for d, (doc_id, spelt) in enumerate(zip(frame["doc_id"], done.spelt_groups())):
-                pairs, times = done.pairs(d)
+            done, out = Aligned(frame["text"].tolist(), both), []
+            for d, (doc_id, spelt, (pairs, times)) in enumerate(zip(frame["doc_id"], done.spelt_groups(), done.pairs())):
                 n_a, n_b = (int(s[d + 1] - s[d]) for s in (done.starts_a, done.starts_b))
                 links = int(times.sum())
                 out.append((None if pd.isna(doc_id) else int(doc_id), part, row, n_a, n_b, links, links, hashlib.sha256(spelt).hexdigest() if n_a else "", pairs, times))
