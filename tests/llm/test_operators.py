@@ -153,9 +153,8 @@ def test_similar_groups_equal_brute_force(spark, monkeypatch, crowd):
         made.append((i, " ".join(w)))
     made += [(100 + i, " ".join(f"w{x}" for x in rng.integers(0, 400, 80))) for i in range(20)]
     some = spark.createDataFrame(made, "doc_id long, text string")
-    prints = lambda t: [simhash.majority(simhash.shingle_hashes(t.encode().split(), 2, seed)) & (2**64 - 1) for seed in simhash.SEEDS]
-    sets = {i: (frozenset(zip(*(t.split()[k:] for k in range(5)))), prints(t)) for i, t in made}
-    near = lambda a, b: any((x ^ y).bit_count() <= simhash.RADIUS for x, y in zip(a[1], b[1])) and len(a[0] & b[0]) >= 0.8 * len(a[0] | b[0])
+    sets = {i: frozenset(zip(*(t.split()[k:] for k in range(5)))) for i, t in made}
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
     want = slow_components(sets, near)
     assert sorted(r.doc_id for r in simhash.drop_similar(some).collect()) == sorted(i for i in want if want[i] == i)
 
@@ -313,6 +312,8 @@ def test_spaced_seeds_find_changed_passages(spark, awkward, empty):
     assert decontam.overlaps(awkward, bench).count() == 0 and decontam.overlaps(empty, bench).count() == 0 and decontam.overlaps(awkward, bench.where("false")).count() == 0
     kept = decontam.drop_contaminated(spark.createDataFrame(made, "doc_id long, text string"), bench)
     assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 6, 7]
+    assert sorted(map(str, decontam.drop_contaminated(awkward, bench).collect())) == sorted(map(str, awkward.collect()))
+    assert decontam.drop_contaminated(empty, bench).columns == empty.columns and decontam.drop_contaminated(empty, bench).count() == 0
 
 
 def test_one_changed_word_in_any_place_is_found():
@@ -322,12 +323,66 @@ def test_one_changed_word_in_any_place_is_found():
         assert [m[0] for m in block.matches(text)] == [1], p
 
 
-@pytest.mark.parametrize("n", range(12, 25))
+def slow_stretch(agree):
+    """Most agreeing words of any stretch in which at least four of five agree."""
+    count = [0, *np.cumsum(agree).tolist()]
+    return max((count[b] - count[a] for a in range(len(agree)) for b in range(a + 1, len(agree) + 1) if 5 * (count[b] - count[a]) >= 4 * (b - a)), default=0)
+
+
+def test_best_stretch_against_all_stretches():
+    rng = np.random.default_rng(1)
+    for n in (*range(1, 12), 20, 35, 60):
+        for share in (0.3, 0.6, 0.75, 0.8, 0.9):
+            for _ in range(12):
+                agree = rng.random(n) < share
+                a, b = decontam.best_stretch(agree)
+                assert agree[a:b].sum() == slow_stretch(agree) and (a == b or (agree[a] and agree[b - 1] and 5 * agree[a:b].sum() >= 4 * (b - a)))
+
+
+def test_masks_meet_all_changes_that_the_rule_accepts():
+    """Every set of changed places that leaves four of five words, in all lengths a stretch is made of."""
+    assert all(set(range(m[-1] + 1)) > set(m) for m in decontam.LONG + decontam.SHORT)  # each ignores a place
+    for masks, lengths in ((decontam.SHORT, range(5, 10)), (decontam.LONG, range(10, 20))):
+        for n in lengths:
+            for k in range(n // 5 + 1):
+                for gone in combinations(range(n), k):
+                    assert any(all(at + p not in gone for p in m) for m in masks for at in range(n - m[-1])), (n, gone)
+
+
+def test_partial_and_changed_copies_equal_brute_force():
+    rng = np.random.default_rng(7)
+    items = [(k, " ".join(f"v{x}" for x in rng.integers(0, 60, n))) for k, n in enumerate((5, 6, 7, 8, 9, 10, 11, 12, 15, 19, 24, 60, 80))]
+    block, split = decontam.Block(items), {k: t.split() for k, t in items}
+    missed = 0
+    for _ in range(1500):
+        k = int(rng.integers(len(items)))
+        n = len(split[k])
+        size = int(rng.integers(min(4, n), n + 1))
+        at = int(rng.integers(0, n - size + 1))
+        part = split[k][at : at + size]
+        for p in rng.choice(size, int(rng.integers(0, size // 4 + 1)), replace=False):
+            part[p] = f"v{rng.integers(0, 70)}"
+        text = [f"v{x}" for x in rng.integers(0, 70, 20)] + part + [f"v{x}" for x in rng.integers(0, 70, 5)]
+        got = {m[0]: m for m in block.matches(" ".join(text))}
+        for item, words in split.items():
+            each = []
+            for d in range(-len(words) + 1, len(text)):
+                a, b = max(0, -d), min(len(words), len(text) - d)
+                each.append(slow_stretch(np.array([words[i] == text[i + d] for i in range(a, b)])))
+            if max(each) >= decontam.LEAST or max(each) >= 0.8 * len(words):
+                assert item in got and got[item][1] == max(each)
+            elif item in got:  # pieces on several diagonals
+                assert got[item][1] == max(each) and got[item][2] >= 0.8 * len(words)
+                missed += 1
+    assert missed < 100
+
+
+@pytest.mark.parametrize("n", range(5, 25))
 def test_changed_words_in_any_places_are_found(n):
     """All pairs of places, and as many words as the rule allows in all places (at random from 17 words on)."""
     item, rng = [f"w{i}" for i in range(n)], np.random.default_rng(n)
     block, most = decontam.Block([(1, " ".join(item))]), n - int(np.ceil(0.8 * n))
-    places = list(combinations(range(n), 2))
+    places = list(combinations(range(n), min(2, most)))
     places += combinations(range(n), most) if n < 17 else [tuple(rng.choice(n, most, replace=False)) for _ in range(1000)]
     for some in places:
         text = " ".join(["a", "b", *("x" if i in some else w for i, w in enumerate(item)), "c"])
@@ -338,6 +393,8 @@ def test_overlaps_in_several_blocks(spark, docs, monkeypatch):
     bench = table(spark, SF, "benchmark")
     whole = sorted(rows(decontam.overlaps(docs, bench)))
     monkeypatch.setattr(decontam, "BLOCK_WORDS", 300)
+    kept = sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench).collect())
+    assert kept == sorted(r.doc_id for r in docs.collect() if r.doc_id not in {w[0] for w in whole})
     assert sorted(rows(decontam.overlaps(docs, bench))) == whole and len(whole) > 0
     words = {r.item_id: " ".join(decontam.words_of(r.text)) for r in bench.collect()}
     for r in docs.collect():

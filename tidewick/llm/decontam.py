@@ -1,12 +1,11 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a short pattern of words: four in a row, or three, one ignored and three more. Wherever four of five words
-agree between the first and the last of at least ten, one of the two patterns agrees as well: ten or more words that at
-most a quarter as many others cut into runs leave a run of four, except twelve in four runs of three, which hold the
-second pattern. Test items are hashed once per block of the benchmark; training texts are hashed by the same patterns and
-looked up.
-Around each hit the two texts are compared word by word along its diagonal, and the best stretch is kept in which at
-least four of five words agree. Stretches on several diagonals (words put in or left out) add up per item.
+A seed is a mask over a few neighbouring words, of which some places are ignored. Wherever four of five words agree
+between the first and the last of at least ten, one of two masks of four words agrees as well; for items of five to nine
+words two masks of three words do the same (the tests go through all places that changed words can have). Test items are
+hashed once per block of the benchmark; training texts are hashed by the same masks and looked up. Around each hit the two
+texts are compared word by word along its diagonal, and of all stretches in which at least four of five words agree the one
+with the most agreeing words is kept. Stretches on several diagonals (words put in or left out) add up per item.
 """
 
 from __future__ import annotations
@@ -22,14 +21,14 @@ from pyspark.sql import DataFrame, functions as F
 from tidewick.llm.common import bytes_at_most, texts, whole
 from tidewick.session import written
 
-SPAN = 12  # items of fewer words are compared as a whole
-MASKS = [[0, 1, 2, 3], [0, 1, 2, 4, 5, 6]]
+SPAN = 10  # items of fewer words are hashed by the short masks
+LONG, SHORT = ((0, 1, 2, 4), (0, 1, 4, 5)), ((0, 1, 3), (0, 2, 3))  # places that a mask reads
 LEAST = 13  # words that must agree in one stretch
 SHARE = 0.8  # ... or the share of a short item's words
 SHORTEST = 5  # items of fewer words never match
 BLOCK_WORDS = 400_000  # benchmark words looked up in one pass over the documents
 _WORD = re.compile(r"\w+")
-_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1 for i in range(1 + max(map(max, MASKS)))], np.uint64)
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) | 1 for i in range(1 + max(map(max, LONG + SHORT)))], np.uint64)
 
 
 def words_of(text: str) -> list[str]:
@@ -46,55 +45,40 @@ class Block:
         for w in sorted({w for s in split for w in s}):
             self.ids[w] = len(self.ids) + 1  # 0: a word that no item has
         self.codes = [np.array([self.ids[w] for w in s], np.int64) for s in split]
-        found: list[tuple[np.ndarray, ...]] = []
-        self.short: dict[int, list[int]] = {}  # length: items shorter than SPAN, compared as a whole
-        for k, code in enumerate(self.codes):
-            if len(code) >= SPAN:
-                for m in range(len(MASKS)):
-                    h = seeds(code, m)
-                    found.append((h, np.full(len(h), k), np.arange(len(h))))
-            elif len(code) >= SHORTEST:
-                self.short.setdefault(len(code), []).append(k)
-        if found:
-            h, item, at = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(h, kind="stable")
-            self.hashes, self.item, self.at = h[order], item[order], at[order]
-        else:
-            self.hashes, self.item, self.at = np.empty(0, np.uint64), np.empty(0, int), np.empty(0, int)
+        # mask: (hashes ascending, item, place) of the items that are hashed by it
+        self.seeds: dict[tuple[int, ...], tuple[np.ndarray, ...]] = {}
+        for masks, least, below in ((LONG, SPAN, np.inf), (SHORT, SHORTEST, SPAN)):
+            own = [k for k, code in enumerate(self.codes) if least <= len(code) < below]
+            for mask in masks if own else ():
+                h = [seeds(self.codes[k], mask) for k in own]
+                item, at = np.repeat(own, [len(x) for x in h]), np.concatenate([np.arange(len(x)) for x in h])
+                h = np.concatenate(h)
+                order = np.argsort(h, kind="stable")
+                self.seeds[mask] = h[order], item[order], at[order]
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, overlap, covered, first word) of every item that the text overlaps with, one row per item."""
         split = words_of(text)
         code = np.fromiter(map(self.ids.get, split, repeat(0)), np.int64, len(split))
         diagonals: set[tuple[int, int]] = set()
-        if len(code) > MASKS[-1][-1] and len(self.hashes):
-            known = np.concatenate([[0], np.cumsum(code > 0)])
+        known = code > 0
+        for mask, (hashes, item, place) in self.seeds.items() if known.any() else ():
+            n = len(code) - mask[-1]
             # Places that a mask reads must all hold benchmark words.
-            for m in range(len(MASKS)):
-                full = len(MASKS[m])
-                seen = sum((code[p : len(code) - MASKS[m][-1] + p] > 0).astype(np.int8) for p in MASKS[m]) if known[-1] >= full else np.zeros(0)
-                at = np.flatnonzero(seen == full)
-                if not len(at):
-                    continue
-                h = seeds(code, m, at)
-                low, high = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-                for i in np.flatnonzero(high > low):
-                    span = slice(low[i], high[i])
-                    diagonals.update(zip(self.item[span].tolist(), (at[i] - self.at[span]).tolist()))
-        for n, some in self.short.items():
-            if n <= len(code):
-                windows = np.lib.stride_tricks.sliding_window_view(code, n)
-                for k in some:
-                    hit = np.flatnonzero((windows == self.codes[k]).sum(axis=1) >= np.ceil(SHARE * n))
-                    diagonals.update((k, int(p)) for p in hit)
+            at = np.flatnonzero(np.logical_and.reduce([known[p : n + p] for p in mask])) if n > 0 else known[:0]
+            if not len(at):
+                continue
+            h = seeds(code, mask, at)
+            low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+            for i in np.flatnonzero(high > low):
+                span = slice(low[i], high[i])
+                diagonals.update(zip(item[span].tolist(), (at[i] - place[span]).tolist()))
         by_item: dict[int, list] = {}
         for k, diagonal in diagonals:
             item = self.codes[k]
             a, b = max(0, -diagonal), min(len(item), len(code) - diagonal)
             agree = item[a:b] == code[a + diagonal : b + diagonal]
-            at = np.flatnonzero(agree)
-            # Where four of five words agree over the whole item (or what of it the text holds), all of it counts.
-            first, last = (at[0], at[-1] + 1) if len(at) and len(at) >= SHARE * len(agree) else best_stretch(agree)
+            first, last = best_stretch(agree)
             if last > first:
                 by_item.setdefault(k, []).append((int(agree[first:last].sum()), a + first, a + last, a + first + diagonal, np.flatnonzero(agree[first:last]) + a + first))
         out = []
@@ -107,14 +91,14 @@ class Block:
         return out
 
 
-def seeds(code: np.ndarray, mask: int, at: np.ndarray | None = None) -> np.ndarray:
+def seeds(code: np.ndarray, mask: tuple[int, ...], at: np.ndarray | None = None) -> np.ndarray:
     """Hash of every window (or of those at ``at``) over the places that the mask reads."""
-    n = len(code) - MASKS[mask][-1]
+    n = max(0, len(code) - mask[-1])
     out = np.zeros(n if at is None else len(at), np.uint64)
-    for p in MASKS[mask]:
+    for p in mask:
         part = code[p : p + n] if at is None else code[at + p]
         out += mixed(part) * _FACTORS[p]
-    return out * np.uint64(4) + np.uint64(mask)
+    return out
 
 
 def mixed(ids: np.ndarray) -> np.ndarray:
@@ -123,12 +107,16 @@ def mixed(ids: np.ndarray) -> np.ndarray:
 
 
 def best_stretch(agree: np.ndarray) -> tuple[int, int]:
-    """The stretch with the highest score, 1 for a word that agrees and -4 for one that doesn't: within it at least
-    four of five words agree, and it begins and ends with agreement."""
-    score = np.concatenate([[0], np.cumsum(np.where(agree, 1, -4))])
+    """Of all stretches in which at least four of five words agree the one with the most agreeing words (the first of
+    those), without words at its ends that don't agree."""
+    count = np.concatenate([[0], np.cumsum(agree)])
+    score = 5 * count - 4 * np.arange(len(count))  # a stretch is accepted if its score doesn't fall
     low = np.minimum.accumulate(score)
-    end = int((score - low).argmax())
-    return int(score[: end + 1].argmin()) if end else 0, end
+    # The longest accepted stretch that ends at each place begins where the score was first as low.
+    start = np.searchsorted(-low, -score, "left")
+    end = int((count - count[start]).argmax())
+    at = np.flatnonzero(agree[start[end] : end])
+    return (int(start[end] + at[0]), int(start[end] + at[-1] + 1)) if len(at) else (0, 0)
 
 
 def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
@@ -176,10 +164,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs``, with their columns, that overlap with no benchmark item. Each row is judged by its own text,
-    so nothing is joined."""
+    """Rows of ``docs``, with their columns, that overlap with no benchmark item. Each row is judged by its own text, so
+    nothing is joined; null and empty texts stay, repeated rows are judged alike, and an empty table stays empty. Between
+    blocks of a large benchmark the rows left are written, so that one block at a time is held."""
+    held = None
     for items in blocks(benchmark):
-        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(Block(items)))(F.col("text")))
+        if held is not None:
+            docs = written(docs, "uncontaminated")
+            held.unpersist()
+        held = docs.sparkSession.sparkContext.broadcast(Block(items))
+        docs = docs.where(_clean(held)(F.col("text")))
     return docs
 
 

@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, room: int = ROOM, vocabulary: str | None = None, wit
 
     def run(frames):
         part, seen = TaskContext.get().partitionId(), np.zeros(room + 1, np.int64)
-        for frame in bytes_at_most(frames, "text", 8 << 20):
+        for frame in bytes_at_most(frames, "text", 2 << 20):
             rows = []
             for doc_id, ids in zip(frame["doc_id"], tokens.document_ids(frame["text"].tolist(), path)):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)

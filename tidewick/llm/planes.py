@@ -164,7 +164,7 @@ def write_planes(docs: DataFrame, folder: str | None = None, vocabulary: str | N
             out.stream.close()
             return pd.DataFrame({"path": [where], "part": [part], "seq": [seq], "doc_ids": [named], "n_tokens": [out.ids]})
 
-        for frame in bytes_at_most(frames, "text"):
+        for frame in bytes_at_most(frames, "text", 2 << 20):
             for doc_id, ids in zip(frame["doc_id"], tokens.document_ids(frame["text"].tolist(), path)):
                 if out is None:
                     where = f"{folder}/{uuid.uuid4().hex}.planes"

@@ -309,16 +309,13 @@ SIMILAR = 0.8
 PIVOTS = 3
 SKETCH_BITS = 21  # cells that count shingles for the order of prefixes
 SEEN_BITS = 24  # cells that tell which prefix shingles may occur twice
-# The condition of fingerprints that the stage had before; only an older test reads it.
-RADIUS = 7
-SEEDS = (42, 43)
 
 
 class WordHashes(dict):
     """XXH64 of words, kept for as long as there is room."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 250_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word, 42)
         return h
