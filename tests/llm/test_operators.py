@@ -285,8 +285,26 @@ def test_plans_place_each_rank_once(kind):
         for s in plan.sequence(np.full(counts[n], n), np.arange(counts[n])):
             fill[int(s)] += int(n)
     assert max(fill.values()) <= room and sum(fill.values()) == drawn.sum() and len(fill) == plan.sequences
-    if kind in ("even", "short"):  # a bin's rounding costs most in short sequences
-        assert len(fill) <= 1.05 * drawn.sum() / room + 1
+    assert len(fill) <= sum(r for _, r in packing.best_fit({int(n): int(counts[n]) for n in np.flatnonzero(counts)}, room))
+    if kind in ("even", "short"):
+        assert len(fill) <= 1.001 * drawn.sum() / room + 1
+
+
+def test_patterns_carry_the_plan_and_need_no_more_than_best_fit():
+    rng, room = np.random.default_rng(3), 2048
+    for k in (1, 30):
+        counts = k * np.bincount(np.clip(rng.lognormal(6.2, 0.9, 4000), 2, room).astype(int), minlength=room + 1)
+        free = counts.copy()
+        got = packing.planned(counts, room)
+        fitted = sum(r for _, r in packing.drawn(packing.fitted(np.bincount(-(-np.arange(room + 1) // packing.GRAIN), weights=counts).astype(int)), free, room, packing.GRAIN))
+        assert fitted > 0.5 * sum(r for _, r in got)
+        placed = Counter()
+        for contents, repeats in got:
+            assert sum(n * t for n, t in contents) <= room
+            placed.update({n: t * repeats for n, t in contents})
+        assert placed == Counter({int(n): int(counts[n]) for n in np.flatnonzero(counts)})
+        alone = sum(r for _, r in packing.best_fit(dict(placed), room))
+        assert sum(r for _, r in got) <= alone and sum(r for _, r in got) <= 1.001 * -(-sum(n * c for n, c in placed.items()) // room) + 2
 
 
 def test_least_squares():

@@ -2,10 +2,11 @@
 
 The histogram of piece lengths, in bins of a few tokens, is all that planning needs. Every pattern of at most
 ``depth`` bins that fills a sequence is a column; non-negative least squares finds how often each pattern is repeated
-so that together they use up the histogram. Counts are rounded down and trimmed until no bin is overdrawn. What is left
-is packed by best fit, longest first, also over counts of lengths. Plans are run-length coded (pattern, repeats), so
-their size depends on the sequence length and not on the number of documents. Each piece has a rank within its length;
-rank and plan give its sequence by arithmetic, without collecting or joining pieces.
+so that together they use up the histogram. Counts are rounded down and trimmed until no bin is overdrawn, and patterns
+are filled with the longest pieces that fit. What is left is packed by best fit, longest first, also over counts of
+lengths. Plans are run-length coded (pattern, repeats), so their size depends on the sequence length and not on the
+number of documents. Each piece has a rank within its length; rank and plan give its sequence by arithmetic, without
+collecting or joining pieces.
 """
 
 from __future__ import annotations
@@ -163,6 +164,57 @@ def best_fit(lengths: dict[int, int], room: int) -> list[tuple[list[tuple[int, i
     return [(contents, repeats) for entries in open_.values() for contents, repeats in entries]
 
 
+def drawn(plan: list[tuple[list[tuple[int, int]], int]], free: np.ndarray, room: int, grain: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """Patterns of bins as patterns of lengths, taken off ``free`` (count of each length): all but the last piece are the
+    longest left in their bins, the last is the longest left that still fits, in its bin or not. Repeats that find no
+    pieces are left out."""
+    out = []
+    for contents, repeats in plan:
+        bins = sorted((s for s, times in contents for _ in range(times)), reverse=True)
+        while repeats:
+            lengths: list[int] = []
+            for k, size in enumerate(bins):
+                left = room - sum(lengths)
+                most, least = (min(size * grain, left), (size - 1) * grain) if k + 1 < len(bins) else (left, 0)
+                usable = free[least + 1 : most + 1].copy()
+                for n in lengths:
+                    if least < n <= most:
+                        usable[n - least - 1] -= 1
+                at = np.flatnonzero(usable > 0)
+                if not len(at):
+                    break
+                lengths.append(least + 1 + int(at[-1]))
+            if len(lengths) < len(bins):
+                break
+            each = {n: lengths.count(n) for n in lengths}
+            take = min(repeats, *(int(free[n]) // times for n, times in each.items()))
+            for n, times in each.items():
+                free[n] -= times * take
+            out.append((list(each.items()), take))
+            repeats -= take
+    return out
+
+
+def planned(counts: np.ndarray, room: int, grain: int = GRAIN, depth: int = DEPTH) -> list[tuple[list[tuple[int, int]], int]]:
+    """([(length, times)], repeats) that place every piece: fitted patterns first, the residual by best fit. Where that
+    takes more sequences than best fit alone would, patterns are repeated half as often, and so on."""
+    all_ = {n: int(counts[n]) for n in np.flatnonzero(counts)}
+    alone = best_fit(all_, room)
+    if room % grain:  # the last bin's rounded-up size may not exceed the room
+        return alone
+    least = sum(r for _, r in alone)
+    in_bins = np.bincount(-(-np.arange(room + 1) // grain), weights=counts, minlength=room // grain + 1).astype(np.int64)
+    plan = fitted(in_bins, depth)
+    while plan:
+        free = counts.copy()
+        some = drawn(plan, free, room, grain)
+        some += best_fit({n: int(free[n]) for n in np.flatnonzero(free)}, room)
+        if sum(r for _, r in some) <= least:
+            return some
+        plan = [(contents, repeats // 2) for contents, repeats in plan if repeats > 1]
+    return alone
+
+
 class Plan:
     """Runs of ranks of each length: the k-th piece of a run goes to sequence base + k // times."""
 
@@ -171,38 +223,7 @@ class Plan:
         self.sequences = 0
         runs: dict[int, list[tuple[int, int, int]]] = {}  # length: (first rank, base, times)
         next_rank = np.zeros(room + 1, np.int64)
-        free = np.asarray(counts, np.int64).copy()
-        bins = -(-room // grain)
-        bin_of = -(-np.arange(room + 1) // grain)
-        in_bins = np.bincount(bin_of, weights=free, minlength=bins + 1).astype(np.int64)
-        # The last bin's rounded-up size may not exceed the room.
-        plan = fitted(in_bins, depth) if room % grain == 0 else []
-        # A pattern draws its bin's pieces in rank order, shorter lengths first; drawn pieces are cut into stretches
-        # of one length, so a pattern may turn into a few runs.
-        for contents, repeats in plan:
-            at = 0
-            drawn = {}
-            for size, times in contents:
-                need, got = times * repeats, []
-                for n in range((size - 1) * grain + 1, min(size * grain, room) + 1):
-                    take = int(min(need, free[n]))
-                    if take:
-                        got.append((n, int(next_rank[n]), take))
-                        next_rank[n] += take
-                        free[n] -= take
-                        need -= take
-                    if not need:
-                        break
-                drawn[size] = (times, got)
-            for times, got in drawn.values():
-                at = 0
-                for n, rank, take in got:
-                    # Rank r of this stretch is slot (at + r - rank): sequence (slot // times).
-                    runs.setdefault(n, []).append((rank, self.sequences * times + at, times))
-                    at += take
-            self.sequences += repeats
-        rest = {n: int(free[n]) for n in np.flatnonzero(free)}
-        for contents, repeats in best_fit(rest, room):
+        for contents, repeats in planned(np.asarray(counts, np.int64), room, grain, depth):
             for n, times in contents:
                 runs.setdefault(n, []).append((int(next_rank[n]), self.sequences * times, times))
                 next_rank[n] += times * repeats
@@ -237,7 +258,8 @@ def pack(parts: DataFrame, room: int = ROOM, grain: int = GRAIN, depth: int = DE
     def sequence(length: pd.Series, rank: pd.Series) -> pd.Series:
         return pd.Series(plan.sequence(length.to_numpy(), rank.to_numpy()))
 
-    ranked = parts.join(firsts.select("length", "part", "first"), ["length", "part"])
+    # Both sides grow with the number of tasks: merged by key, never broadcast.
+    ranked = parts.join(firsts.select("length", "part", "first").hint("merge"), ["length", "part"])
     placed = ranked.withColumn("sequence_id", sequence("length", F.col("first") + F.col("place")))
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "piece", "part", "place")
     return placed.withColumn("offset", F.sum("length").over(inside) - F.col("length")).drop("part", "place", "first")
