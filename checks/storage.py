@@ -16,9 +16,6 @@ from tidewick.sources import bindings as B
 from tidewick.sources.lake import LakeTables
 from tidewick.streaming import jobs
 
-ROUNDS = 10  # boosting rounds in the checked model runs; the library default is the full number
-
-
 def new_lake(spark) -> LakeTables:
     return LakeTables(spark, fresh_path(spark, "lake"))
 
@@ -209,16 +206,16 @@ def _once(s, d, name: str, train):
 
 def _volatility_model(s, d):
     frame = T.volatility_frame(s, d)
-    model, _, means = _once(s, d, "volatility", lambda: forecast.train_volatility(frame, rounds=ROUNDS))
+    model, _, means = _once(s, d, "volatility", lambda: forecast.train_volatility(frame))
     return model, forecast.encode_symbol(frame, means)
 
 
 def _volume_model(s, d):
-    return _once(s, d, "volume", lambda: forecast.train_volume(T.volume_frame(s, d), rounds=ROUNDS))
+    return _once(s, d, "volume", lambda: forecast.train_volume(T.volume_frame(s, d)))
 
 
 def _warning_model(s, d):
-    return _once(s, d, "warning", lambda: warning.train(T.labelled(s, d), rounds=ROUNDS))
+    return _once(s, d, "warning", lambda: warning.train(T.labelled(s, d)))
 
 
 def recursive_paths(s, d) -> DataFrame:
@@ -232,18 +229,27 @@ def published_volatility(s, d) -> DataFrame:
     return forecast.publish(frame, model, cut, "volatility_forecast", T.AS_OF)
 
 
+def _passes(gate: DataFrame) -> bool:
+    return bool(gate.select("ok").first()[0])
+
+
 def warning_model(s, d) -> DataFrame:
+    """No row where the gate asks for more triggers."""
     split = T.labelled(s, d)
+    if not _passes(warning.gate(split)):
+        return s.createDataFrame([], "auc double, baseline_auc double, precision double, recall double, positive_rate double, rule_precision double, rule_recall double")
     return warning.evaluation(warning.score(_warning_model(s, d), split.where("is_test")))
 
 
 def scored_warnings(s, d) -> DataFrame:
+    """No row where the gate asks for more triggers: then no champion is ever deployed."""
+    if not _passes(warning.gate(T.labelled(s, d))):
+        return s.createDataFrame([], "symbol string, ts timestamp_ntz, probability double, chg_5m_pct double, vol_x_5m double, outcome string, generated_at timestamp_ntz")
     return warning.recent_warnings(T.silver(s, d), _warning_model(s, d), T.AS_OF)
 
 
 def direction_run(s, d) -> DataFrame:
-    top = serving.top_symbols(T.silver(s, d).groupBy("symbol").agg(F.sum("vol_thb").alias("avg_daily_vol_thb_30d")), 10)
-    return direction.run(T.silver(s, d), top, rounds=ROUNDS)
+    return direction.gated(T.silver(s, d), serving.top_symbols(T.silver(s, d).groupBy("symbol").agg(F.sum("vol_thb").alias("avg_daily_vol_thb_30d")), 10))
 
 
 def anomalies(s, d) -> DataFrame:

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from tidewick.config import DEFAULTS, Settings
 from tidewick.functions.numeric import change
-from tidewick.learning.forecast import fit
+from tidewick.learning import boosting
 from tidewick.operators import stats
 from tidewick.operators.grid import with_clock
 from tidewick.operators.sampling import hash_sample
 
 # The model inputs.
 INPUTS = ["ret_1m", "chg_5m", "vol_x_5m", "range_1m", "active_share_1d", "hour_sin", "hour_cos", "dow"]
-NULLABLE = ["ret_1m", "chg_5m", "range_1m"]
 
 
 def directions(silver: DataFrame) -> DataFrame:
@@ -35,15 +31,13 @@ def enough_rows(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return rows.agg(F.count("*").alias("rows")).withColumn("ok", F.col("rows") >= settings.min_direction_rows)
 
 
-def train(split: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> PipelineModel:
-    booster = GBTClassifier(
-        labelCol="up", maxIter=rounds or settings.direction_rounds, stepSize=settings.learning_rate, seed=settings.seed, maxDepth=5)
-    assemble = VectorAssembler(inputCols=INPUTS, outputCol="features")
-    return fit(_ready(split).where("NOT is_test"), Pipeline(stages=[assemble, booster]))
+def train(split: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> boosting.Forest:
+    rows = _ready(split.where("NOT is_test"))
+    return boosting.train(rows, INPUTS, "up", rounds or settings.direction_rounds, settings.learning_rate, logistic=True)
 
 
 def _ready(rows: DataFrame) -> DataFrame:
-    return with_clock(rows.fillna(0.0, subset=NULLABLE), "ts")
+    return with_clock(rows, "ts")
 
 
 def run(silver: DataFrame, top: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> DataFrame:
@@ -53,3 +47,11 @@ def run(silver: DataFrame, top: DataFrame, settings: Settings = DEFAULTS, rounds
     model = train(split, settings, rounds)
     judged = model.transform(_ready(split)).withColumn("pred", F.col("prediction").cast("int"))
     return stats.direction_scores(judged, settings)
+
+
+def gated(silver: DataFrame, top: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> DataFrame:
+    """``run``, or no row where there are fewer rows than ``min_direction_rows``."""
+    rows = sampled(directions(silver.join(top, "symbol", "left_semi")), settings)
+    if enough_rows(rows, settings).first()["ok"]:
+        return run(silver, top, settings, rounds)
+    return silver.sparkSession.createDataFrame([], "train_rows long, test_rows long, accuracy double, baseline double, trades long, gross_pct double, net_pct double")

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.config import DEFAULTS, MARKET_SYMBOL, Settings
 from tidewick.functions.timefn import shift
+from tidewick.learning.boosting import Forest, train
 from tidewick.operators import stats
 from tidewick.operators.grid import LAGS, complete_hours, densify, lagged, with_clock
 from tidewick.plans.serving import at, top_symbols
@@ -51,10 +49,8 @@ def encode_symbol(rows: DataFrame, means: DataFrame) -> DataFrame:
     return rows.join(means, "symbol", "left").withColumn("sym_mean", F.coalesce("sym_mean", unseen))
 
 
-def regressor(inputs: list[str], settings: Settings, rounds: int | None = None) -> Pipeline:
-    booster = GBTRegressor(
-        labelCol="y", maxIter=rounds or settings.regress_rounds, stepSize=settings.learning_rate, seed=settings.seed, maxDepth=5)
-    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), booster])
+def regressor(rows: DataFrame, inputs: list[str], settings: Settings, rounds: int | None = None) -> Forest:
+    return train(rows, inputs, "y", rounds or settings.regress_rounds, settings.learning_rate)
 
 
 def backtest(predicted: DataFrame, baseline: str, model_name: str, run_id: str) -> DataFrame:
@@ -98,7 +94,7 @@ def _mean(values: Column) -> Column:
     return F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known))
 
 
-def forecast_paths(origins: DataFrame, model: PipelineModel, horizon: int) -> DataFrame:
+def forecast_paths(origins: DataFrame, model: Forest, horizon: int) -> DataFrame:
     """Predict ``horizon`` hours from every origin at once, feeding predictions back as lags.
 
     The state of an origin is the array of its last 24 values, so all origins and symbols
@@ -142,7 +138,7 @@ def bounds(y: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
     return lower, F.expm1(y + hi)
 
 
-def publish(frame: DataFrame, model: PipelineModel, cut: Column, model_name: str, as_of: dt.datetime, settings: Settings = DEFAULTS) -> DataFrame:
+def publish(frame: DataFrame, model: Forest, cut: Column, model_name: str, as_of: dt.datetime, settings: Settings = DEFAULTS) -> DataFrame:
     """Rows for ``forecasts``: the next hours of every symbol with their error bounds.
 
     Test origins and the newest origin walk together; the stored paths then serve both the
@@ -169,23 +165,17 @@ def enough_hours(hours: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         "have", F.lit(settings.min_hours).cast("bigint").alias("need"), (F.col("have") >= settings.min_hours).alias("ok"))
 
 
-def fit(train: DataFrame, pipeline: Pipeline) -> PipelineModel:
-    """Boosting passes over its rows many times: they are stored once, with files as
-    partitions, so that a round neither repeats the features nor depends on executor memory."""
-    return pipeline.fit(written(train, "train"))
-
-
-def train_volume(frame: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> tuple[PipelineModel, DataFrame]:
+def train_volume(frame: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> tuple[Forest, DataFrame]:
     """The model and its predictions on the held-out last part of the series."""
     split = stats.time_split(training_rows(frame), "hour_utc", settings.test_share)
-    model = fit(split.where("NOT is_test"), regressor(VOLUME_INPUTS, settings, rounds))
+    model = regressor(split.where("NOT is_test"), VOLUME_INPUTS, settings, rounds)
     return model, model.transform(split.where("is_test"))
 
 
-def train_volatility(frame: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> tuple[PipelineModel, DataFrame, DataFrame]:
+def train_volatility(frame: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> tuple[Forest, DataFrame, DataFrame]:
     """As ``train_volume``; also returns the symbol means, fitted on the training part."""
     split = stats.time_split(training_rows(frame), "hour_utc", settings.test_share)
     means = target_means(split.where("NOT is_test"))
     encoded = encode_symbol(split, means)
-    model = fit(encoded.where("NOT is_test"), regressor(VOLATILITY_INPUTS, settings, rounds))
+    model = regressor(encoded.where("NOT is_test"), VOLATILITY_INPUTS, settings, rounds)
     return model, model.transform(encoded.where("is_test")), means

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewick.learning import boosting
 from tidewick.sources.lake import LakeTables
 
 
@@ -44,7 +44,7 @@ def decide(metrics: DataFrame, challenger: DataFrame) -> DataFrame:
 
 
 class ModelStore:
-    """Trained pipelines in the lake; the newest pointer row of a name is the deployed one."""
+    """Trained forests in the lake; the newest pointer row of a name is the deployed one."""
 
     def __init__(self, lake: LakeTables):
         self.lake = lake
@@ -52,9 +52,9 @@ class ModelStore:
     def _pointer(self, name: str) -> str:
         return f"{self.lake.root}/models/{name}_current"
 
-    def deploy(self, name: str, run_id: str, model: PipelineModel, side: dict[str, DataFrame] | None = None) -> None:
+    def deploy(self, name: str, run_id: str, model: boosting.Forest, side: dict[str, DataFrame] | None = None) -> None:
         path = f"{self.lake.root}/models/{name}/{run_id}"
-        model.write().overwrite().save(f"{path}/pipeline")
+        model.save(self.lake.spark, f"{path}/forest")
         for key, frame in (side or {}).items():
             frame.write.mode("overwrite").parquet(f"{path}/{key}")
         spark = self.lake.spark
@@ -66,9 +66,9 @@ class ModelStore:
             return None
         return self.lake.spark.read.parquet(self._pointer(name)).agg(F.max_by("path", "deployed_at")).first()[0]
 
-    def load(self, name: str) -> PipelineModel | None:
+    def load(self, name: str) -> boosting.Forest | None:
         path = self._path(name)
-        return PipelineModel.load(f"{path}/pipeline") if path else None
+        return boosting.load(self.lake.spark, f"{path}/forest") if path else None
 
     def side_table(self, name: str, key: str) -> DataFrame | None:
         path = self._path(name)

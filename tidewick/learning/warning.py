@@ -4,16 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewick.config import DEFAULTS, OUTCOME_NO_PUMP, OUTCOME_PUMP, OUTCOME_TRACKING, Settings
 from tidewick.functions.numeric import change
 from tidewick.functions.timefn import MINUTE, micros, shift
-from tidewick.learning.forecast import fit
+from tidewick.learning import boosting
 from tidewick.operators import stats
 from tidewick.operators.events import refractory_triggers
 from tidewick.operators.grid import with_clock
@@ -23,7 +19,6 @@ from tidewick.plans.serving import at
 INPUTS = [
     "chg_5m", "vol_x_5m", "ret_1m", "range_1m", "active_share_1d", "log_vol5", "gap_min", "hour_sin", "hour_cos", "dow",
 ]
-NULLABLE = ["ret_1m", "range_1m", "log_vol5"]
 QUIET_MIN = 30
 MATURE_MIN = 60
 RECENT_HOURS = 48
@@ -66,31 +61,20 @@ def gate(split: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     ).withColumn("ok", (F.col("rows") >= settings.min_triggers) & (F.col("positives") >= settings.min_positives) & (F.col("test_classes") == 2))
 
 
-def filled(rows: DataFrame) -> DataFrame:
-    """The booster takes no NULL: a missing input becomes 0 with its own indicator."""
-    flags = {f"{c}_missing": F.col(c).isNull().cast("int") for c in NULLABLE}
-    return rows.withColumns(flags).fillna(0.0, subset=NULLABLE)
-
-
 def balanced(train: DataFrame) -> DataFrame:
     """Weight n / (2 * n_class), so both classes weigh the same in total."""
     n, pos = train.agg(F.count("*")).scalar(), train.agg(F.sum("label")).scalar()
     return train.withColumn("weight", n / (2.0 * F.when(F.col("label") == 1, pos).otherwise(n - pos)))
 
 
-def classifier(rounds: int, settings: Settings) -> Pipeline:
-    inputs = INPUTS + [f"{c}_missing" for c in NULLABLE]
-    booster = GBTClassifier(
-        labelCol="label", weightCol="weight", maxIter=rounds, stepSize=settings.learning_rate, seed=settings.seed, maxDepth=5)
-    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), booster])
-
-
-def train(split: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> PipelineModel:
-    return fit(balanced(filled(split.where("NOT is_test"))), classifier(rounds or settings.warn_rounds, settings))
+def train(split: DataFrame, settings: Settings = DEFAULTS, rounds: int | None = None) -> boosting.Forest:
+    """Missing inputs stay missing: the trees learn where they go."""
+    rows = balanced(split.where("NOT is_test"))
+    return boosting.train(rows, INPUTS, "label", rounds or settings.warn_rounds, settings.learning_rate, logistic=True, weight="weight")
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    return model.transform(filled(rows)).withColumn("prob", vector_to_array("probability")[1])
+def score(model: boosting.Forest, rows: DataFrame) -> DataFrame:
+    return model.transform(rows)
 
 
 def evaluation(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -112,7 +96,7 @@ def outcome(ts: Column, newest: Column, gain: Column, settings: Settings = DEFAU
     return F.when(~done, F.lit(OUTCOME_TRACKING)).when(gain >= settings.target_pump, F.lit(OUTCOME_PUMP)).otherwise(F.lit(OUTCOME_NO_PUMP))
 
 
-def recent_warnings(silver: DataFrame, model: PipelineModel, as_of: dt.datetime, settings: Settings = DEFAULTS) -> DataFrame:
+def recent_warnings(silver: DataFrame, model: boosting.Forest, as_of: dt.datetime, settings: Settings = DEFAULTS) -> DataFrame:
     """Rows for ``early_warnings``: triggers of the last two days, scored by the champion."""
     newest = silver.agg(F.max("ts")).scalar()
     rows = with_inputs(triggers(silver, since=shift(newest, hours=-RECENT_HOURS), settings=settings))
