@@ -65,7 +65,7 @@ class WordIds:
     """Ids (little-endian, 4 bytes) of words met so far. Memory is bounded: with more than ``most`` words it starts anew.
     With ``plain``, strings of special tokens inside a text are ordinary text."""
 
-    def __init__(self, path: str, most: int = 600_000, plain: bool = False):
+    def __init__(self, path: str, most: int = 300_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -110,9 +110,10 @@ class WordIds:
         known.update(zip(odd, self._encode([w if w[:1] == "\n" else before + w for w in odd])))
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self) > self.most or len(self.pieces) > self.most:
+        if len(self) > self.most:
             self.first.clear()
             self.later.clear()
+        if len(self.pieces) > self.most // 3:
             self.pieces.clear()
         split = [t.replace("\n", " \n").split(" ") if in_words(t) else None for t in texts]
         parts = [s for s in split if s is not None]
