@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from checks import storage as S, tables as T
-from checks.sql import AS_OF, BENCH, places, rounded, with_parts
+from checks.sql import AS_OF, BENCH, RUN_1, places, rounded, with_parts
 from tidewick.config import Settings
 from tidewick.functions.numeric import ratio
 from tidewick.functions.timefn import cyclic
@@ -467,19 +467,26 @@ add("q11_recent_runs", lambda s, d: serving.recent_runs(T.Tables(s, d)), "lg", "
 SELECT run_at, count(*) AS coins, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(api_calls) AS BIGINT) AS calls, CAST(sum(duration_ms) AS BIGINT) AS duration_ms,
   bool_or(is_backfill) AS backfill FROM lg GROUP BY run_at ORDER BY run_at DESC LIMIT 24""")
 add("q11_quality", lambda s, d: serving.quality_by_liquidity(T.Tables(s, d)), "dqm", "SELECT symbol, candles, duplicates, active_share, first_ts, last_ts FROM dqm", "active_share")
-add("q12_price_board", lambda s, d: serving.price_board(T.Tables(s, d), T.AS_OF), "dqm pr tk csm hrm gxm", f"""
-WITH lines AS ({SPARK_SQL}), strong AS (SELECT symbol FROM gxm WHERE {STRONG}),
-board AS (
-  SELECT symbol, (SELECT count(*) FROM strong WHERE strong.symbol = dqm.symbol) AS events_90d, (SELECT spark FROM lines WHERE lines.symbol = dqm.symbol) AS spark FROM dqm)
-SELECT board.*, listed.name, listed.rank_24h, listed.listed_at, CASE WHEN now.last IS NULL THEN life.last_close ELSE now.last END AS last,
-  now.percent_change, now.volume_thb_24h, life.active_share
-FROM board LEFT JOIN csm life ON life.symbol = board.symbol LEFT JOIN tk now ON now.symbol = board.symbol LEFT JOIN pr listed ON listed.symbol = board.symbol""",
-    "last percent_change volume_thb_24h active_share")
-add("q13_coin_info", lambda s, d: serving.coin_info(T.Tables(s, d), BENCH), "pr tk csm", f"""
-WITH coin AS (SELECT symbol, name, rank_24h, listed_at FROM pr WHERE symbol = '{BENCH}'),
-life AS (SELECT candles, first_ts, last_ts, active_share, avg_daily_vol_thb_30d FROM csm WHERE symbol = '{BENCH}'),
-now AS (SELECT last, high_24h, low_24h, percent_change, volume_thb_24h FROM tk WHERE symbol = '{BENCH}')
-FROM coin LEFT JOIN now ON true LEFT JOIN life ON true""",
+# Prices and shares are totals over the pulled candles of a symbol: the newest close is the ticker's price and, where a symbol has no ticker, the
+# last one of its statistics. What isn't a total is looked up by symbol, one attribute at a time.
+DAY = f"FILTER (WHERE ts >= {AS_OF} - INTERVAL 1 DAY)"
+TOTALS = f"""arg_max(close, ts) AS last, (arg_max(close, ts) {DAY} / nullif(arg_min(open, ts) {DAY}, 0) - 1) * 100 AS percent_change,
+  sum(volume * close) {DAY} AS volume_thb_24h, count(*) / (epoch(max(ts) - min(ts)) / 60 + 1) AS active_share"""
+LISTED = "SELECT map(list(symbol), list(name)) AS names, map(list(symbol), list(rank_24h)) AS ranks, map(list(symbol), list(listed_at)) AS dates FROM pr"
+add("q12_price_board", lambda s, d: serving.price_board(T.Tables(s, d), T.AS_OF), "pr cm hrm gxm", f"""
+WITH totals AS (SELECT symbol, {TOTALS} FROM cm GROUP BY symbol), listed AS ({LISTED}),
+lines AS (SELECT map(list(symbol), list(spark)) AS of FROM ({SPARK_SQL})),
+strong AS (SELECT histogram(symbol) AS of FROM gxm WHERE {STRONG})
+SELECT totals.*, names[symbol] AS name, ranks[symbol] AS rank_24h, dates[symbol] AS listed_at, lines.of[symbol] AS spark,
+  CAST(coalesce(strong.of[symbol], 0) AS BIGINT) AS events_90d
+FROM totals, listed, lines, strong""", "last percent_change volume_thb_24h active_share")
+add("q13_coin_info", lambda s, d: serving.coin_info(T.Tables(s, d), BENCH), "pr cm", f"""
+WITH listed AS ({LISTED}), month AS (SELECT max(ts) - INTERVAL 30 DAY AS t FROM cm),
+totals AS (
+  SELECT symbol, {TOTALS}, max(high) {DAY} AS high_24h, min(low) {DAY} AS low_24h, count(*) AS candles, min(ts) AS first_ts, max(ts) AS last_ts,
+    sum(volume * close) FILTER (WHERE ts >= (SELECT t FROM month)) / 30 AS avg_daily_vol_thb_30d
+  FROM cm WHERE symbol = '{BENCH}' GROUP BY symbol)
+SELECT totals.*, names[symbol] AS name, ranks[symbol] AS rank_24h, dates[symbol] AS listed_at FROM totals, listed""",
     "last percent_change high_24h low_24h volume_thb_24h active_share avg_daily_vol_thb_30d")
 add("q13_coin_series", lambda s, d: serving.coin_detail(T.Tables(s, d), BENCH, T.AS_OF, 90)["series"], "hrm", bucket_sql("day", 90), COIN_D)
 add("q13_coin_events", lambda s, d: serving.coin_events(T.Tables(s, d), BENCH, T.AS_OF), "gxm", f"""
@@ -495,6 +502,22 @@ add("flagship_gold_events", lambda s, d: lakehouse.gold_from(B.b1(s, d)), "gx1",
 
 # ------------------------------------------------------------------ sinks, read back
 add("s5_partitioned_append", S.appended, "c3", "SELECT * FROM c3", F1)
+add("s1_stored_symbol_scan", S.stored_slice, "c1", "SELECT * FROM c1 WHERE symbol = 'click' AND ts >= TIMESTAMP '2024-01-16 11:30:00'", F1)
+add("s2_missing_input", S.guarded_scans, "c1", """
+SELECT 'all' AS scan, count(*) AS n, min(ts) AS first_ts FROM c1 UNION ALL SELECT 'one', count(*), min(ts) FROM c1 WHERE symbol = 'click'
+UNION ALL SELECT unnest(['no folder', 'no table']), 0, NULL""")
+add("s5_ticker_append", lambda s, d: S.ingested(s, d).read("bronze_ticker"), "tk_r1 tk_r2", """
+SELECT * REPLACE (CASE WHEN length(symbol) = 7 THEN coalesce(percent_change, 0) ELSE 0 END AS percent_change), CAST(snapshot_at AS DATE) AS dt
+FROM (FROM tk_r1 UNION ALL FROM tk_r2)""", "last percent_change high_24h low_24h volume_thb_24h")
+RUN_ROWS = f"""SELECT {RUN_1} AS run_at, 'r1' AS run, symbol, ts, CAST(NULL AS TIMESTAMP) AS since FROM in_r1
+UNION ALL SELECT {AS_OF}, 'r2', symbol, ts, since FROM in_r2"""
+add("s9_ingest_log", lambda s, d: S.ingested(s, d).read("ingest_log").drop("duration_ms"), "in_r1 in_r2", f"""
+SELECT run_at, symbol, min(ts) AS from_ts, max(ts) AS to_ts, count(*) AS rows, since IS NULL AS is_backfill,
+  CAST(ceil(coalesce(epoch(run_at - since) / 86400, 365) / 30) AS INTEGER) AS api_calls, 'bronze_candles_runs/run_id=' || run || '/symbol=' || symbol AS object_key
+FROM ({RUN_ROWS}) GROUP BY run_at, run, symbol, since""")
+add("s14_ingest_run", S.ingest_state, "in_r1 in_r2", f"""
+SELECT symbol, CAST(epoch(max(ts)) AS BIGINT) AS last_ts, count(*) AS rows_total, CAST(count(DISTINCT run) AS INTEGER) AS files, max(run_at) AS updated_at,
+  count(*) AS bronze_rows FROM ({RUN_ROWS}) GROUP BY symbol""")
 add("s6_silver_overwrite", S.overwritten_silver, "s3", "SELECT * FROM s3", SILVER_D)
 add("s6_gold_snapshot", lambda s, d: S.refreshed_lake(s, d).read("events"), "gx3", "SELECT * FROM gx3", EVENT_D)
 add("s7_atomic_replace", S.replaced, "hrm", "SELECT count(*) AS first_count, count(*) FILTER (WHERE candles > 1) AS second_count, count(*) FILTER (WHERE candles > 1) AS now FROM hrm")

@@ -10,7 +10,7 @@ from checks import tables as T
 from tidewick.config import Settings
 from tidewick.learning import anomaly, direction, forecast, registry, warning
 from tidewick.operators import stats
-from tidewick.plans import lakehouse, serving
+from tidewick.plans import ingest, lakehouse, serving
 from tidewick.session import fresh_path
 from tidewick.sources import bindings as B
 from tidewick.sources.lake import LakeTables
@@ -103,6 +103,51 @@ def exported_coin(s, d) -> DataFrame:
     return _csv(s, path).select("t", F.col("close").cast("double").alias("close"))
 
 
+RUN_1, RUN_2 = dt.datetime(2024, 1, 16, 12), B.AS_OF
+
+
+def ingested(s, d) -> LakeTables:
+    """Two ingest runs over landed bodies, each done twice; the second continues from the first one's state."""
+    def make() -> LakeTables:
+        lake, bars = new_lake(s), T.market_candles(s, d)
+        for name, now in (("r1", RUN_1), ("r2", RUN_2)):
+            seen = bars.where(F.col("ts") < B.ntz(now))
+            for _ in range(2):
+                ingest.run(lake, name, now, B.ticker_payload(B.ticker(seen, now)), B.listing(s, d), lambda ranges, seen=seen: B.answers(ranges, seen), T.CHECKED)
+        return lake
+
+    return _once(s, d, "ingested", make)
+
+
+def ingest_state(s, d) -> DataFrame:
+    """State after both runs beside the rows that bronze holds."""
+    lake = ingested(s, d)
+    return lake.read("ingest_state").join(lake.read("bronze_candles").groupBy("symbol").agg(F.count("*").alias("bronze_rows")), "symbol", "left")
+
+
+def laid_out(s, d) -> LakeTables:
+    """Candles in symbol folders, sorted by time."""
+    def make() -> LakeTables:
+        lake = new_lake(s)
+        lake.replace_slices("bronze_candles", B.b1(s, d), sort=["ts"])
+        return lake
+
+    return _once(s, d, "laid out", make)
+
+
+def stored_slice(s, d) -> DataFrame:
+    return laid_out(s, d).read_slice("bronze_candles", "symbol", "click", F.col("ts") >= B.ntz(HALVES))
+
+
+def guarded_scans(s, d) -> DataFrame:
+    """Rows of the whole lake, of one symbol, of a symbol that has no folder and of a table that was never written."""
+    lake = laid_out(s, d)
+    scans = {"all": lake.read("bronze_candles"), "one": lake.read_slice("bronze_candles", "symbol", "click"),
+             "no folder": lake.read_slice("bronze_candles", "symbol", "nothing"), "no table": lake.read("silver_features")}
+    counts = [rows.agg(F.count("*").alias("n"), F.min("ts").alias("first_ts")).select(F.lit(name).alias("scan"), "n", "first_ts") for name, rows in scans.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
 # ---- streams
 def _landing(s, d, which: str) -> str:
     path = fresh_path(s, "landing")

@@ -68,6 +68,93 @@ def test_replace_reads_its_own_previous_version(spark, lake):
     assert [r["symbol"] for r in lake.read("symbol_hourly").collect()] == ["b"]
 
 
+def hours(spark, lake, *counts):
+    rows = spark.createDataFrame([(str(n), T0, n) for n in counts] or [("", T0, 0)], "symbol string, hour_utc timestamp_ntz, candles long").where("candles > 0")
+    return rows.select(*[(F.col(c) if c in rows.columns else F.lit(None).cast("double").alias(c)) for c in lake.empty("symbol_hourly").columns])
+
+
+def test_two_writers_lose_no_change(spark, lake):
+    """Another writer replaces the table while the first one computes: the step runs again on that version."""
+    lake.replace("symbol_hourly", hours(spark, lake, 1))
+    seen = []
+
+    def step(old):
+        seen.append(old.count())
+        if len(seen) == 1:
+            lake.replace("symbol_hourly", hours(spark, lake, 1, 2))
+        return old.unionByName(hours(spark, lake, 3))
+
+    assert lake.update("symbol_hourly", step) == 3 and seen == [1, 2]
+    assert sorted(r["candles"] for r in lake.read("symbol_hourly").collect()) == [1, 2, 3]
+    assert lake.current("symbol_hourly")[0] == 2
+
+
+def test_pointer_number_is_taken_once(lake):
+    assert lake._point("pairs", 0, "a") and not lake._point("pairs", 0, "b")
+    assert lake.current("pairs") == (0, "a")
+
+
+def test_scan_of_one_folder_and_its_row_groups(spark, lake):
+    rows = bars(spark, [(m, 1 + m) for m in range(50)]).unionByName(bars(spark, [(0, 7)], "B"))
+    lake.replace_slices("bronze_candles", rows, sort=["ts"])
+    got = lake.read_slice("bronze_candles", "symbol", "A", F.col("ts") >= F.lit(minute(40)).cast("timestamp_ntz"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan and "GreaterThanOrEqual(ts" in plan
+    assert got.count() == 10 and len(got.inputFiles()) >= 1
+    assert lake.read_slice("bronze_candles", "symbol", "C").count() == 0
+    assert lake.read_slice("silver_features", "symbol", "A").count() == 0
+
+
+def ingest_once(spark, lake, run_id, now, bodies):
+    """A run over given bodies by symbol."""
+    tick = spark.createDataFrame([('[{"symbol":"A_THB","quote_volume":"5"},{"symbol":"B_THB","quote_volume":"0"}]',)], "body string")
+    listing = spark.createDataFrame([], "symbol string, name string, listed_at timestamp_ntz")
+    answer = spark.createDataFrame(bodies or [("", "")], "symbol string, body string")
+    fetch = lambda ranges: ranges.groupBy("symbol").count().drop("count").join(answer, "symbol")
+    return ingest.run(lake, run_id, now, tick, listing, fetch)
+
+
+BODY = '{"s":"ok","t":[%s],"o":[1%s],"h":[1%s],"l":[1%s],"c":[1%s],"v":[1%s]}'
+
+
+def body(*seconds):
+    return BODY % (",".join(map(str, seconds)), *[",1" * (len(seconds) - 1)] * 5)
+
+
+def test_repeated_ingest_run_changes_nothing(spark, lake):
+    first = [("A_THB", body(1704067200, 1704067260)), ("B_THB", body(1704067200))]
+    assert ingest_once(spark, lake, "r1", minute(10), first)
+    assert not ingest_once(spark, lake, "r1", minute(10), first)
+    assert ingest_once(spark, lake, "r2", minute(20), [("A_THB", body(1704067260, 1704067800))])
+    state = [(r["symbol"], r["last_ts"], r["rows_total"], r["files"]) for r in lake.read("ingest_state").collect()]
+    assert state == [("A_THB", 1704067800, 4, 2)]  # B_THB wasn't traded, so it isn't pulled
+    assert lake.read("bronze_candles").count() == 4 and lake.read("bronze_ticker").count() == 4
+    log = lake.read("ingest_log").orderBy("run_at").collect()
+    assert [(r["rows"], r["api_calls"], r["is_backfill"]) for r in log] == [(2, 13, True), (2, 1, False)]
+    assert candles.latest_candles(lake.read("bronze_candles")).count() == 3
+
+
+def test_cut_off_run_is_invisible_and_done_anew(spark, lake, monkeypatch):
+    """Rows of a run without a commit aren't read; the repeated run replaces them."""
+    def stop(*args):
+        raise OSError("lost")
+
+    first = [("A_THB", body(1704067200, 1704067260))]
+    with monkeypatch.context() as m:
+        m.setattr(lake, "_point", lambda table, *rest: stop() if table == "ingest_state" else LakeTables._point(lake, table, *rest))
+        with pytest.raises(OSError):
+            ingest_once(spark, lake, "r1", minute(10), first)
+    assert lake.exists(lake.path("bronze_candles_runs")) and lake.read("bronze_candles").count() == 0 and lake.read("ingest_state").count() == 0
+    assert ingest_once(spark, lake, "r1", minute(10), first)
+    assert lake.read("bronze_candles").count() == 2 and [r["rows_total"] for r in lake.read("ingest_state").collect()] == [2]
+
+
+def test_ingest_run_without_candles(spark, lake):
+    assert ingest_once(spark, lake, "r0", minute(10), [])
+    assert lake.read("ingest_state").count() == lake.read("bronze_candles").count() == lake.read("ingest_log").count() == 0
+    assert lake.committed_runs() == ["r0"] and not ingest_once(spark, lake, "r0", minute(10), [])
+
+
 def test_csv_empty_cells_and_order(spark):
     path = fresh_path(spark, "csv")
     export_csv(spark.createDataFrame([(None, 2.5, T0)], "a string, b double, c timestamp_ntz").coalesce(1), ["c", "a", "b"], path)

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.config import DEFAULTS, QUOTE_SUFFIX, STABLECOINS, Settings
+from tidewick.session import written
+from tidewick.sources.lake import LakeTables
+from tidewick.sources.payloads import candles_from_payload, ticker_from_payload
 
 DAY_S = 86_400
 
@@ -90,7 +95,39 @@ def pull_ranges(pairs: DataFrame, state: DataFrame, now: dt.datetime, settings:
         "to_s", F.least(F.col("from_s") + chunk, F.lit(now_s).cast("long")))
 
 
-def run_log(pull: DataFrame, run_at: Column) -> DataFrame:
-    """Append rows for ``ingest_log``: first and last candle and row count per symbol."""
-    return pull.groupBy("symbol").agg(
-        F.first(run_at).alias("run_at"), F.min("ts").alias("from_ts"), F.max("ts").alias("to_ts"), F.count("*").alias("rows"))
+def run_log(pull: DataFrame, ranges: DataFrame, run_id: str, run_at: Column, duration_ms: int) -> DataFrame:
+    """Rows for ``ingest_log``: first and last candle, calls and row count per symbol that gave candles. The symbols of a run
+    are pulled side by side, so each row carries the whole pull's milliseconds."""
+    calls = ranges.groupBy("symbol").agg(F.count("*").cast("int").alias("api_calls"), F.bool_and("is_backfill").alias("is_backfill"))
+    got = pull.groupBy("symbol").agg(F.min("ts").alias("from_ts"), F.max("ts").alias("to_ts"), F.count("*").alias("rows"))
+    return got.join(calls, "symbol").select(
+        run_at.alias("run_at"), "symbol", "from_ts", "to_ts", "api_calls", "rows", F.lit(duration_ms).alias("duration_ms"),
+        F.concat(F.lit(f"bronze_candles_runs/run_id={run_id}/symbol="), "symbol").alias("object_key"), "is_backfill")
+
+
+def run(
+    lake: LakeTables, run_id: str, now: dt.datetime, ticker_bodies: DataFrame, listing: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame], settings: Settings = DEFAULTS,
+) -> bool:
+    """One ingest run: ticker, universe, ranges, pull, then bronze, ticker history, log and state in one commit.
+
+    ``fetch`` maps ranges (symbol, is_backfill, from_s, to_s) to landed bodies (symbol, body). A run that is repeated after
+    its commit changes nothing and returns False; one that was cut off before it is done anew over what it left. Symbols
+    without new candles get neither a log row nor a change of state.
+    """
+    if run_id in lake.committed_runs():
+        return False
+    moment = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    snapshot = written(ticker_from_payload(ticker_bodies, moment), "ticker")
+    state = lake.read("ingest_state")
+    lake.replace("market_ticker", snapshot)
+    lake.update("pairs", lambda pairs: refresh_pairs(pairs, snapshot, listing, state, moment, settings))
+    ranges = written(pull_ranges(lake.read("pairs"), state, now, settings), "ranges")
+    began = time.monotonic()
+    pull = written(candles_from_payload(fetch(ranges)).withColumn("ingested_at", moment), "pull")
+    spent = int((time.monotonic() - began) * 1000)
+    return lake.commit_run(run_id, {
+        "bronze_candles": pull,
+        "bronze_ticker": snapshot.withColumn("dt", F.lit(now.date())),
+        "ingest_log": run_log(pull, ranges, run_id, moment, spent),
+    }, lambda old: advance_state(old, pull, moment))

@@ -25,7 +25,7 @@ def refresh_silver(lake: LakeTables, settings: Settings = DEFAULTS) -> None:
 
     Features leave their shuffle grouped by symbol and block already, so writing adds a sort
     inside each task but no second shuffle; a long history becomes one file per block."""
-    if not lake.exists(lake.path("bronze_candles")):
+    if not lake.landed("bronze_candles"):
         return
     bronze = lake.read("bronze_candles")
     silver = candles.build_silver(bronze, settings)

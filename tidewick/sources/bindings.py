@@ -90,14 +90,14 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (ntz(dt.datetime(2023, 10, 1)) + F.make_dt_interval(F.col("idx") * 30)).alias("listed_at"))
 
 
-def ticker(candles: DataFrame) -> DataFrame:
+def ticker(candles: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
     """24-hour statistics before the as-of instant."""
     last, first = F.max_by("close", "ts"), F.min_by("open", "ts")
-    return candles.where(F.col("ts") >= ntz(AS_OF - dt.timedelta(days=1))).groupBy("symbol").agg(
+    return candles.where(F.col("ts") >= ntz(as_of - dt.timedelta(days=1))).groupBy("symbol").agg(
         last.alias("last"), ((last / F.nullif(first, F.lit(0.0)) - 1) * 100).alias("percent_change"),
         F.max("high").alias("high_24h"), F.min("low").alias("low_24h"),
         F.sum(F.col("volume") * F.col("close")).alias("volume_thb_24h"),
-    ).withColumn("snapshot_at", ntz(AS_OF))
+    ).withColumn("snapshot_at", ntz(as_of))
 
 
 def state_before(candles: DataFrame) -> DataFrame:
@@ -189,3 +189,14 @@ def ticker_payload(tick: DataFrame) -> DataFrame:
         F.col("high_24h").cast("string").alias("high_24_hr"), F.col("low_24h").cast("string").alias("low_24_hr"),
         F.col("volume_thb_24h").cast("string").alias("quote_volume"))
     return tick.select(F.to_json(F.array(item)).alias("body"))
+
+
+def answers(ranges: DataFrame, candles: DataFrame) -> DataFrame:
+    """One landed body per planned range: the candles from its first second up to its last, that one left out."""
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    hits = candles.join(ranges, "symbol").where((second >= F.col("from_s")) & (second < F.col("to_s")))
+    bodies = hits.groupBy(*ranges.columns).agg(F.array_sort(F.collect_list(F.struct(
+        second.alias("t"), "open", "high", "low", "close", "volume"))).alias("x"))
+    parts = [F.col(f"x.{c}").alias(k) for k, c in zip("tohlcv", ["t", "open", "high", "low", "close", "volume"])]
+    got = bodies.select(*ranges.columns, F.to_json(F.struct(F.lit("ok").alias("s"), *parts)).alias("body"))
+    return ranges.join(got, ranges.columns, "left").fillna('{"s":"no_data"}', ["body"])
