@@ -67,11 +67,13 @@ def state_after(s, d):
     return ingest.advance_state(B.state_before(bars), later, B.ntz(T.AS_OF))
 
 
-add("s8_upsert_accumulate", state_after, "cm st", f"""
+STATE_AFTER = f"""
 SELECT coalesce(o.symbol, n.symbol) AS symbol, coalesce(n.last_ts, o.last_ts) AS last_ts, coalesce(n.updated_at, o.updated_at) AS updated_at,
   coalesce(o.rows_total, 0) + coalesce(n.rows_total, 0) AS rows_total, coalesce(o.files, 0) + coalesce(n.files, 0) AS files
 FROM st o FULL OUTER JOIN (SELECT symbol, max(CAST(epoch(ts) AS BIGINT)) AS last_ts, count(*) AS rows_total, 1 AS files, {AS_OF} AS updated_at
-  FROM cm WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' GROUP BY symbol) n ON n.symbol = o.symbol""")
+  FROM cm WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' GROUP BY symbol) n ON n.symbol = o.symbol"""
+add("s8_upsert_accumulate", state_after, "cm st", STATE_AFTER)
+add("s8_bucketed_merge", S.merged_state, "cm st", STATE_AFTER)
 
 
 def carried(s, d):

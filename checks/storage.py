@@ -11,8 +11,9 @@ from tidewick.config import Settings
 from tidewick.learning import anomaly, direction, forecast, registry, warning
 from tidewick.operators import stats
 from tidewick.plans import ingest, lakehouse, serving
-from tidewick.session import fresh_path
+from tidewick.session import fresh_path, written
 from tidewick.sources import bindings as B
+from tidewick.sources.keyed import KeyedTable
 from tidewick.sources.lake import LakeTables
 from tidewick.streaming import jobs
 
@@ -125,6 +126,14 @@ def ingest_state(s, d) -> DataFrame:
     return lake.read("ingest_state").join(lake.read("bronze_candles").groupBy("symbol").agg(F.count("*").alias("bronze_rows")), "symbol", "left")
 
 
+def merged_state(s, d) -> DataFrame:
+    """State in buckets: what was there before, then the arrivals of a run."""
+    state, bars = KeyedTable(new_lake(s), "ingest_state", ["symbol"]), T.market_candles(s, d)
+    state.merge(written(B.state_before(bars), "before"), lambda old, new: new)
+    ingest.merge_state(state, bars.where(F.col("ts") >= B.ntz(dt.datetime(2024, 1, 16))), B.ntz(T.AS_OF))
+    return state.read()
+
+
 def laid_out(s, d) -> LakeTables:
     """Candles in symbol folders, sorted by time."""
     def make() -> LakeTables:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.config import DEFAULTS, QUOTE_SUFFIX, STABLECOINS, Settings
 from tidewick.session import written
+from tidewick.sources.keyed import KeyedTable
 from tidewick.sources.lake import LakeTables
 from tidewick.sources.payloads import candles_from_payload, ticker_from_payload
 
@@ -83,6 +84,12 @@ def advance_state(state: DataFrame, pull: DataFrame, run_at: Column) -> DataFram
     return upsert(state, pull_state(pull, run_at), ["symbol"], replace=["last_ts", "updated_at"], add=["rows_total", "files"])
 
 
+def merge_state(state: KeyedTable, pull: DataFrame, run_at: Column) -> list[int]:
+    """``advance_state`` on a table in buckets: those of symbols that gave no candles are neither read nor written."""
+    arrived = written(pull_state(pull, run_at), "arrived")
+    return state.merge(arrived, lambda old, new: upsert(old, new, ["symbol"], replace=["last_ts", "updated_at"], add=["rows_total", "files"]))
+
+
 def pull_ranges(pairs: DataFrame, state: DataFrame, now: dt.datetime, settings: Settings = DEFAULTS) -> DataFrame:
     """Ranges to pull per selected symbol, from its last candle (again) to now, in chunks."""
     now_s = int(now.replace(tzinfo=dt.timezone.utc).timestamp())
