@@ -15,7 +15,7 @@ from tidewick.session import fresh_path, written
 from tidewick.sources import bindings as B
 from tidewick.sources.keyed import KeyedTable
 from tidewick.sources.lake import LakeTables
-from tidewick.streaming import jobs, outcomes
+from tidewick.streaming import jobs, outcomes, publishing
 
 def new_lake(spark) -> LakeTables:
     return LakeTables(spark, fresh_path(spark, "lake"))
@@ -252,6 +252,18 @@ def stream_publish(s, d) -> DataFrame:
     return lake.read("forecasts")
 
 
+def version_publish(s, d) -> DataFrame:
+    """Two versions of the market's hours, each published when it appears; the last run of the stream finds nothing new."""
+    lake, mark, market = new_lake(s), fresh_path(s, "version-checkpoint"), T.market(s, d)
+    store = registry.ModelStore(lake)
+    store.deploy("volume_forecast", "r1", _volume_model(s, d)[0])
+    for rows in (market.where(F.col("hour_utc") < B.ntz(dt.datetime(2024, 1, 24))), market, None):
+        if rows is not None:
+            lake.replace("market_hourly", rows)
+        publishing.on_versions(lake, store, mark).awaitTermination()
+    return lake.read("forecast_history")
+
+
 # ---- models
 def boosted_volume(s, d) -> DataFrame:
     _, predicted = _volume_model(s, d)

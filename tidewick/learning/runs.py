@@ -68,12 +68,14 @@ def volume(lake: LakeTables, store: registry.ModelStore, run_id: str, as_of: dt.
     return won
 
 
-def publish_volume(lake: LakeTables, store: registry.ModelStore, as_of: dt.datetime, settings: Settings = DEFAULTS) -> None:
-    """Forecast with the deployed model, without training."""
+def publish_volume(
+    lake: LakeTables, store: registry.ModelStore, as_of: dt.datetime, settings: Settings = DEFAULTS, market: DataFrame | None = None
+) -> None:
+    """Forecast with the deployed model, without training; from the current market hours or from those given."""
     model = store.load("volume_forecast")
     if model is None:
         return
-    frame = forecast.volume_frame(lake.read("market_hourly"), as_of)
+    frame = forecast.volume_frame(lake.read("market_hourly") if market is None else market, as_of)
     cut = stats.split_cut(forecast.training_rows(frame), "hour_utc", settings.test_share).scalar()
     republish(lake, "volume_forecast", forecast.publish(frame, model, cut, "volume_forecast", as_of, settings))
 
