@@ -543,6 +543,9 @@ add("st3_stream_hourly", S.stream_hourly, "hr1", "SELECT * FROM hr1", HOURLY_D)
 add("st4_stream_silver", S.stream_silver, "s1", "SELECT * FROM s1", SILVER_D)
 add("st5_stream_sessions", S.stream_sessions, "ev1", """
 SELECT symbol, start_ts, last_signal_ts, base_price, max_vol_x, max_chg_5m_pct, signal_minutes, active_share_1d FROM ev1""", "base_price max_vol_x max_chg_5m_pct active_share_1d")
+add("st5_closed_sessions", S.stream_closed_sessions, "ev1 s1", """
+SELECT symbol, start_ts, last_signal_ts, base_price, max_vol_x, max_chg_5m_pct, signal_minutes, active_share_1d FROM ev1
+WHERE last_signal_ts + INTERVAL 30 MINUTE < (SELECT max(ts) FROM s1)""", "base_price max_vol_x max_chg_5m_pct active_share_1d")
 add("st6_stream_triggers", S.stream_triggers, "trg1", "SELECT symbol, ts, chg_5m, vol_x_5m FROM trg1", "chg_5m vol_x_5m")
 add("st6_stream_outcomes", S.stream_outcomes, "wn trgm", "SELECT wn.symbol, wn.ts, t.chg_5m, wn.vol_x_5m, wn.outcome FROM wn JOIN trgm t ON t.symbol = wn.symbol AND t.ts = wn.ts", "chg_5m vol_x_5m")
 add("st7_stream_publish", S.stream_publish)

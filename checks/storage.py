@@ -15,7 +15,7 @@ from tidewick.session import fresh_path, written
 from tidewick.sources import bindings as B
 from tidewick.sources.keyed import KeyedTable
 from tidewick.sources.lake import LakeTables
-from tidewick.streaming import jobs, outcomes, publishing
+from tidewick.streaming import closing as closing_sessions, jobs, outcomes, publishing
 
 def new_lake(spark) -> LakeTables:
     return LakeTables(spark, fresh_path(spark, "lake"))
@@ -209,6 +209,16 @@ def stream_sessions(s, d) -> DataFrame:
     return _scattered(s, T.silver(s, d), "silver_features", jobs.pump_sessions(new_lake(s)), HALVES)
 
 
+def stream_closed_sessions(s, d) -> DataFrame:
+    """Silver in three landings, the middle of the time last and so late; sessions that were closed at the end."""
+    landing, closing = fresh_path(s, "landing"), closing_sessions.ClosingSessions(new_lake(s))
+    rows, late = T.silver(s, d), F.col("ts").between(B.ntz(dt.datetime(2024, 1, 12)), B.ntz(HALVES))
+    for part in (rows.where(~late & (F.col("ts") < B.ntz(HALVES))), rows.where(~late & (F.col("ts") >= B.ntz(HALVES))), rows.where(late)):
+        part.coalesce(1).write.mode("append").parquet(landing)
+    closing.run(jobs.landed(s, landing, "silver_features", files_per_batch=1))
+    return closing.current()
+
+
 def stream_triggers(s, d) -> DataFrame:
     return _scattered(s, T.silver(s, d), "silver_features", jobs.refractory_triggers(new_lake(s)), HALVES)
 
