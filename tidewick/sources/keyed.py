@@ -20,7 +20,8 @@ BUCKETS = 64
 
 class KeyedTable:
     """A lake table that is merged by ``keys``. The number of buckets is set when the table is first written and stays:
-    choose it so that a bucket fits a task. Null keys are keys like others and share a bucket."""
+    choose it so that a bucket fits a task. Null keys share a bucket; whether they
+    match is up to the step (``ingest.upsert`` keeps each as a row of its own)."""
 
     def __init__(self, lake: LakeTables, table: str, keys: list[str], buckets: int = BUCKETS):
         self.lake, self.table, self.keys, self.buckets = lake, table, keys, buckets
