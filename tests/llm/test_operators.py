@@ -178,6 +178,26 @@ def test_block_edits_are_similar_by_jaccard_alone(spark, monkeypatch, crowd):
     assert sorted(r.doc_id for r in simhash.drop_similar(spark.createDataFrame(made, "doc_id long, text string")).collect()) == sorted(i for i in want if want[i] == i)
 
 
+def test_near_dedup_takes_simhash_links_and_checks_them(spark, monkeypatch):
+    """Without the prefix join, the links of fingerprints alone: those that hold by Jaccard drop a copy, others none."""
+    rng = np.random.default_rng(3)
+    made = []
+    for k in range(60):
+        w = [f"w{x}" for x in rng.integers(0, 5000, 400)]
+        made += [(2 * k, w), (2 * k + 1, w[: k % 3] + ["other"] + w[k % 3 + 1 :])]
+    some = spark.createDataFrame([(i, " ".join(w)) for i, w in made], "doc_id long, text string")
+    sets = {i: frozenset(zip(*(w[j:] for j in range(5)))) for i, w in made}
+    prints = {i: simhash.fingerprint(" ".join(w)) for i, w in made}
+    linked = lambda a, b: ((prints[a] ^ prints[b]) & (2**64 - 1)).bit_count() <= 2 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    gone = {b for a, b in combinations(sorted(sets), 2) if linked(a, b)}
+    assert len(gone) > 20
+    real = simhash.shared_tokens
+    monkeypatch.setattr(simhash, "shared_tokens", lambda stored: real(stored).where("false"))
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, some, SF).collect()}
+    assert set(sets) - left == gone
+    assert simhash.drop_similar(some, 1.0).count() == len(made)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(500, 501), (501, 500), (7, 7), (None, 3)], "a long, b long"))
     got = dict(rows(components.labels(edges)))

@@ -10,8 +10,9 @@ Keys that many fingerprints share would give all pairs of a group. Radius 2 has
 fingerprints are within 2 bits if and only if some value lies within 1 bit of both, so fingerprints at such keys are
 joined through those values (at most 65 fingerprints to a value, 65 values to a fingerprint).
 
-Texts of Jaccard similarity >= 0.8 can lie too many bits apart for that (a passage put on or cut off moves up to ten of
-64), so the stage that drops near copies meets them by an exact prefix-filter join instead.
+The stage that drops near copies takes these links as candidates and holds them against the texts: Jaccard similarity
+>= 0.8. Similar texts can lie too many bits apart for fingerprints (a passage put on or cut off moves up to ten of 64), so
+an exact prefix-filter join adds those that they don't meet.
 """
 
 from __future__ import annotations
@@ -287,6 +288,24 @@ def near_links(distinct: DataFrame, parts: int | None = None) -> DataFrame:
     return met.union(bridged)
 
 
+def _classes(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Stored: (doc_id, fp) of every document, and (fp, lowest), the smallest doc_id of each fingerprint."""
+    prints = written(fingerprints(docs, size), "simhash-prints")
+    return prints, written(prints.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "simhash-classes")
+
+
+def near_pairs(docs: DataFrame, size: int = 3, parts: int | None = None) -> DataFrame:
+    """Pairs (a < b) of documents whose fingerprints differ in at most two bits, enough to connect all that link: every
+    document with the first of its fingerprint, and the firsts of fingerprints that ``near_links`` connects."""
+    prints, classes = _classes(docs, size)
+    ends = near_links(classes.select("fp"), parts)
+    for end in ("a", "b"):
+        ends = ends.join(classes.select(F.col("fp").alias(end), F.col("lowest").alias(f"{end}_id")), end)
+    alike = prints.join(classes, "fp").select(F.col("doc_id").alias("a_id"), F.col("lowest").alias("b_id"))
+    both = ends.select("a_id", "b_id").union(alike).where("a_id != b_id")
+    return both.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+
+
 def near_groups(docs: DataFrame, size: int = 3, parts: int | None = None) -> DataFrame:
     """One row per document: doc_id, fp (bigint), component_id.
 
@@ -295,8 +314,7 @@ def near_groups(docs: DataFrame, size: int = 3, parts: int | None = None) -> Dat
     texts count as empty; repeated rows share a fingerprint. A null doc_id gets a row but names no component unless
     nothing else is in it (then null). An empty table gives no rows; other columns are ignored.
     """
-    prints = written(fingerprints(docs, size), "simhash-prints")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "simhash-classes")
+    prints, classes = _classes(docs, size)
     root = labels(near_links(classes.select("fp"), parts))
     placed = classes.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("label", "fp"))
     least = placed.where(F.col("label").isNotNull()).groupBy("root").agg(F.min("lowest").alias("least"))
@@ -446,7 +464,10 @@ def similar_links(docs: DataFrame, similarity: float = SIMILAR, size: int = 5) -
     """Edges (a, b) between documents whose sets of 5-word shingles have Jaccard similarity >= ``similarity``: enough of
     them to connect all that are.
 
-    An exact prefix-filter join. All shingles are put in one order, those of rarely hit cells of a count sketch first.
+    Candidates are the pairs that SimHash links (``near_pairs``) and, for similar texts that lie more bits apart, those of
+    an exact prefix-filter join; both are held against the whole sets.
+
+    The join: All shingles are put in one order, those of rarely hit cells of a count sketch first.
     Of n shingles a similar text shares at least ``similarity`` * n, so the first n - that + 1 hold one that both have
     among their first. The order decides only about the work; every similar pair meets in any order.
 
@@ -464,11 +485,13 @@ def similar_links(docs: DataFrame, similarity: float = SIMILAR, size: int = 5) -
     if not len(counts):
         return copies
     gone = copies.join(first, F.col("a") == F.col("first"), "left_anti").select("a").distinct()
-    stored = written(prefixes(rows.join(gone, F.col("doc_id") == F.col("a"), "left_anti"), counts, similarity, size), "similar-prefixes")
+    firsts = rows.join(gone, F.col("doc_id") == F.col("a"), "left_anti")
+    near = near_pairs(firsts)
+    stored = written(prefixes(firsts, counts, similarity, size), "similar-prefixes")
     tokens = written(shared_tokens(stored), "similar-tokens")
     light, crowd = tokens.where(F.col("held") <= CROWD), tokens.where(F.col("held") > CROWD)
     spare = crowd.groupBy("id").agg(F.count("*").alias("spare"))
-    pairs = written(_met(light, spare, similarity), "similar-pairs")
+    pairs = written(near.union(_met(light, spare, similarity)).distinct(), "similar-pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(crowd.select("id")).distinct()
     involved = written(involved, "similar-ids")
     sets = written(shingle_sets(rows.join(involved, rows["doc_id"] == involved["id"], "left_semi"), size), "similar-sets")
@@ -531,6 +554,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 def drop_similar(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
     """Rows of ``docs``, with their columns: of each group of similar documents the one with the smallest doc_id.
 
+    SimHash groups and texts that its fingerprints can't meet are compared by their shingles (``similar_links``).
     doc_id names a document: rows that repeat one stay or go together. Rows without doc_id stay. Texts without words
     are similar to each other only. An empty table stays empty.
     """
