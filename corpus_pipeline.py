@@ -23,7 +23,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar texts (Jaccard 0.8 on 5-word shingles) the document with the smallest doc_id."""
+    """Of each group of similar texts the document with the smallest doc_id: SimHash links that hold by Jaccard 0.8 on
+    5-word shingles, and the links of that similarity that fingerprints can't meet."""
     return simhash.drop_similar(docs)
 
 
