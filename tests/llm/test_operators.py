@@ -198,6 +198,19 @@ def test_near_dedup_takes_simhash_links_and_checks_them(spark, monkeypatch):
     assert simhash.drop_similar(some, 1.0).count() == len(made)
 
 
+@pytest.mark.parametrize("n", [2000, 10000])
+def test_few_others_pass_the_filter_of_shared_shingles(spark, n):
+    """Shingles in few values of the high bits, as the order of prefixes picks them: the share that passes doesn't grow."""
+    rng = np.random.default_rng(n)
+    high = rng.integers(0, 16, (n, 20)).astype(np.int64) << 43
+    rows_ = [(i, 20, [int(x) for x in r]) for i, r in enumerate(high + rng.integers(0, 1 << 43, (n, 20)))]
+    shared = [r[2][0] for r in rows_[: n // 5]]
+    stored = spark.createDataFrame(rows_, "id long, n int, prefix array<long>")
+    got = simhash.passed(stored, spark.createDataFrame([(k,) for k in shared], "key long"))
+    assert {r.key for r in got.collect()} >= set(shared)
+    assert got.count() < len(shared) + 0.1 * 20 * n
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(500, 501), (501, 500), (7, 7), (None, 3)], "a long, b long"))
     got = dict(rows(components.labels(edges)))

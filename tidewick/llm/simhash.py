@@ -326,7 +326,8 @@ def near_groups(docs: DataFrame, size: int = 3, parts: int | None = None) -> Dat
 SIMILAR = 0.8
 PIVOTS = 3
 SKETCH_BITS = 21  # cells that count shingles for the order of prefixes
-SEEN_BITS = 24  # cells that tell which prefix shingles may occur twice
+SEEN_CELLS = 16  # cells to each prefix shingle that occurs twice, in the filter that leaves most others out
+MOST_CELLS = 1 << 28  # of that filter; with fewer to a shingle more pass it, and the join after it leaves them out
 
 
 class WordHashes(dict):
@@ -415,22 +416,33 @@ def prefixes(docs: DataFrame, counts: np.ndarray, similarity: float, size: int)
 
 def shared_tokens(stored: DataFrame) -> DataFrame:
     """key, id, n, at, held: the prefix shingles of ``prefixes`` that more than one row holds, their places in the
-    prefix and how many rows hold them. Most others are left out before the join by a filter of fixed size."""
+    prefix and how many rows hold them. Most others are left out before the join by a filter whose size follows the number
+    of such shingles, so that the share of others that pass doesn't grow with the table."""
     keys = written(stored.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("held")).where("held > 1"), "similar-keys")
+    return passed(stored, keys).join(keys, "key")
+
+
+def passed(stored: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, id, n, at of the prefix shingles among ``keys`` and of few others."""
+    size = 128 * -(-min(MOST_CELLS, SEEN_CELLS * keys.count()) // 128)  # whole bytes in each of 16 blocks
+
+    def cell_of(key):  # by the low bits: the order of prefixes favours some values of the high ones
+        return (((key.view(np.uint64) & np.uint64(0xFFFFFFFF)) * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
 
     def cells(frames):
-        seen = np.zeros(1 << SEEN_BITS, bool)
+        seen = np.zeros(size // 8, np.uint8)
         for frame in frames:
-            seen[(frame["key"].to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)] = True
+            cell = cell_of(frame["key"].to_numpy(np.int64))
+            np.bitwise_or.at(seen, cell >> 3, np.left_shift(1, cell & 7).astype(np.uint8))
         if seen.any():
-            yield _packed(np.packbits(seen).view("<u4"))
+            yield pd.DataFrame({"block": np.arange(16, dtype=np.int32), "bits": [zlib.compress(c.tobytes(), 1) for c in np.split(seen, 16)]})
 
     def either(frame):
-        total = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(c), "<u4") for c in frame["counts"]])
-        return pd.DataFrame({"block": frame["block"].iloc[:1], "counts": [total.tobytes()]})
+        total = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(c), np.uint8) for c in frame["bits"]])
+        return pd.DataFrame({"block": frame["block"].iloc[:1], "bits": [total.tobytes()]})
 
-    got = keys.select("key").mapInPandas(cells, "block int, counts binary").groupBy("block").applyInPandas(either, "block int, counts binary").collect()
-    bits = b"".join(bytes(r["counts"]) for r in sorted(got, key=lambda r: r["block"]))
+    got = keys.select("key").mapInPandas(cells, "block int, bits binary").groupBy("block").applyInPandas(either, "block int, bits binary").collect()
+    bits = b"".join(bytes(r["bits"]) for r in sorted(got, key=lambda r: r["block"]))
     shared = stored.sparkSession.sparkContext.broadcast(bits)
 
     def run(frames):
@@ -440,13 +452,13 @@ def shared_tokens(stored: DataFrame) -> DataFrame:
                 continue
             lengths = frame["prefix"].map(len).to_numpy()
             key = np.concatenate(frame["prefix"].to_list()).astype(np.int64)
-            cell = (key.view(np.uint64) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
-            some = np.flatnonzero((seen[cell >> 3] >> (7 - (cell & 7))) & 1)
+            cell = cell_of(key)
+            some = np.flatnonzero((seen[cell >> 3] >> (cell & 7)) & 1)
             row = np.repeat(np.arange(len(frame)), lengths)
             at = np.arange(len(key)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             yield pd.DataFrame({"key": key[some], "id": frame["id"].to_numpy()[row[some]], "n": frame["n"].to_numpy()[row[some]], "at": at[some].astype(np.int32)})
 
-    return stored.mapInPandas(run, "key long, id long, n int, at int").join(keys, "key")
+    return stored.mapInPandas(run, "key long, id long, n int, at int")
 
 
 def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
