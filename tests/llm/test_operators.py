@@ -241,6 +241,19 @@ def test_word_ids_when_memory_is_full(reference_ids):
     assert len(ids) == 1
 
 
+def test_words_with_marks_are_put_together(reference_ids):
+    """Marks and line ends around a word take no learning and no room of their own."""
+    ids = tokens.WordIds(tokens.vocabulary())
+    stems = [f"ab{chr(97 + a)}{chr(97 + b)}" for a in range(20) for b in range(20)]
+    text = " ".join(w + m for m in ("", ".", ",", "!?", "'", "\n" + "x") for w in stems)
+    odd = ["a<|endoftext|>b it's don't. x's\nThe 'll we'll!! can't' _a a_ a1 a,, ,a\nA\n'b\n.c", "é.. ñandú! 日本語. мир, мир", "'s", "it's.' 's' ''s a's-b"]
+    for t in (text, *odd):
+        assert [*np.frombuffer(ids.encode_all([t])[0], "<u4").tolist(), 0] == reference_ids(t)
+    ids = tokens.WordIds(tokens.vocabulary())
+    ids.encode_all([text])
+    assert len(ids) + len(ids.pieces) <= len(stems) + 10
+
+
 @pytest.mark.parametrize("bits", [True, False])
 @pytest.mark.parametrize("sizes", [[], [1], [0, 5, 0], [1000, 1, 63, 64, 65, 900]])
 def test_shard_round_trip(bits, sizes):

@@ -51,9 +51,7 @@ class ByteSide:
         return self.words.encode_all([" " + t for t in texts_])
 
     def word_ids(self, words: list[str]) -> list[bytes]:
-        known: dict[str, bytes] = {}
-        self.words._learn(known, set(words), " ")
-        return [known[w] for w in words]
+        return self.words.of_words(words)
 
 
 class PieceSide:

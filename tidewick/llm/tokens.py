@@ -23,6 +23,7 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 # Words of these characters (assigned in Unicode long ago) are cut into the tokenizer's pieces here and go straight to its
 # model; all others pass through the tokenizer as a whole.
 _SIMPLE = re.compile(r"\n?[!-~¡-ɏ]*")
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _TOGETHER = 1 << 20  # characters of texts split into words at a time
 _KNOWN: dict[tuple[str, bool], "WordIds"] = {}
 
@@ -61,6 +62,39 @@ def in_words(text: str) -> bool:
     return not (" \n" in text or "\n " in text or "\n\n" in text or "   " in text or text.startswith("\n") or text.endswith(("\n", "  ")))
 
 
+class Known(dict):
+    """Ids of words with ``before`` before them. Marks after letters are a piece of their own, as is a line end: such
+    words are put together from what is kept, and not kept themselves."""
+
+    def __init__(self, owner: WordIds, before: str):
+        self.owner, self.before = owner, before
+        self.space = owner.letters[ord(" ")] if before else ""
+
+    def __missing__(self, word: str) -> bytes:
+        own = self.owner
+        if own.plain_words and word.isascii():
+            stem = word.rstrip(_MARKS)
+            if stem.isalpha():  # no special token can be inside
+                if len(stem) < len(word):
+                    return self[stem] + own._piece(word[len(stem) :])
+                ids = self[word] = own._model_ids(self.space + word)
+                return ids
+        if not own.direct or not _SIMPLE.fullmatch(word) or any(s in word for s in own.special):
+            ids = own._encode([word if word[:1] == "\n" else self.before + word])[0]
+        elif word[:1] == "\n":
+            return own._piece("\n") + own.first[word[1:]] if len(word) > 1 else own._piece(word)
+        else:
+            stem = word.rstrip(_MARKS)
+            if not stem.isalpha():
+                ids = b"".join(map(own._piece, own.cut(self.before + word)))
+            elif len(stem) < len(word):
+                return self[stem] + own._piece(word[len(stem) :])
+            else:
+                ids = own._model_ids(self.space + own._spelt(word))
+        self[word] = ids
+        return ids
+
+
 class WordIds:
     """Ids (little-endian, 4 bytes) of words met so far. Memory is bounded: with more than ``most`` words it starts anew.
     With ``plain``, strings of special tokens inside a text are ordinary text."""
@@ -78,10 +112,11 @@ class WordIds:
         before = form["pre_tokenizer"] or {}
         self.direct = form["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
         self.special = [] if plain else [t["content"] for t in form["added_tokens"]]
+        self.plain_words = self.direct and not any(t.rstrip(_MARKS).isalpha() or not t.rstrip(_MARKS) for t in self.special)
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = dict(enumerate(byte_letters()))
-        self.first: dict[str, bytes] = {}  # words that begin a text
-        self.later: dict[str, bytes] = {}  # words after a space, or with a line end before them
+        self.first = Known(self, "")  # words that begin a text or a line
+        self.later = Known(self, " ")  # words after a space, or with a line end before them
         self.pieces: dict[str, bytes] = {}
 
     def __len__(self) -> int:
@@ -90,43 +125,41 @@ class WordIds:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.many(texts, add_special_tokens=False)]
 
+    def _spelt(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.letters)
+
+    def _model_ids(self, spelt: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            spelt = piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+            ids = self.pieces[piece] = self._model_ids(self._spelt(piece))
         return ids
 
-    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        odd = []
-        for w in words:
-            if not self.direct or not _SIMPLE.fullmatch(w) or any(s in w for s in self.special):
-                odd.append(w)
-            elif w.isalpha():  # one piece
-                spelt = (before + w).encode().decode("latin-1").translate(self.letters)
-                known[w] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-            else:
-                known[w] = b"".join(map(self._piece, self.cut(w if w[:1] == "\n" else before + w)))
-        known.update(zip(odd, self._encode([w if w[:1] == "\n" else before + w for w in odd])))
-
-    def _some(self, texts: list[str]) -> list[bytes]:
+    def _bound(self) -> None:
         if len(self) > self.most:
             self.first.clear()
             self.later.clear()
         if len(self.pieces) > self.most // 3:
             self.pieces.clear()
-        split = [t.replace("\n", " \n").split(" ") if in_words(t) else None for t in texts]
-        parts = [s for s in split if s is not None]
-        begin, after = [s[0] for s in parts], [s[1:] for s in parts]
-        ids = [list(map(self.later.get, a)) for a in after]
-        unknown = [k for k, found in enumerate(ids) if None in found]
-        self._learn(self.later, {w for k in unknown for w in after[k] if w not in self.later}, " ")
-        for k in unknown:
-            ids[k] = list(map(self.later.__getitem__, after[k]))
-        self._learn(self.first, set(begin).difference(self.first), "")
-        done = iter([self.first[b] + b"".join(i) for b, i in zip(begin, ids)])
-        rest = iter(self._encode([t for t, s in zip(texts, split) if s is None]))
-        return [next(rest) if s is None else next(done) for s in split]
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words after a space, or with a line end before them; those after a space are not remembered."""
+        self._bound()
+        return list(map(Known(self, " ").__getitem__, words))
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        self._bound()
+        out, first, later = [], self.first.__getitem__, self.later.__getitem__
+        for t in texts:
+            if in_words(t):
+                begin, *after = t.replace("\n", " \n").split(" ")
+                out.append(first(begin) + b"".join(map(later, after)))
+            else:
+                out.append(None)
+        rest = iter(self._encode([t for t, ids in zip(texts, out) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in out]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without an end id."""
