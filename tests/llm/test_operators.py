@@ -699,3 +699,24 @@ def test_pipeline_stages(spark):
     check_packing(pieces, 2048)
     assert len({plain(r.text) for r in before.collect()}) == before.count()
     assert decontam.overlaps(before, table(spark, SF, "benchmark")).count() == 0
+
+
+def test_planes_are_turned_without_a_row_of_bits_for_each_id():
+    import tracemalloc
+
+    ids = np.random.default_rng(4).integers(0, 50_000, planes.BLOCK).astype("<u4")
+
+    def peak(f, *args):
+        tracemalloc.start()
+        out = f(*args)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    turned, most = peak(planes.to_planes, ids)
+    assert most < 16 * len(ids)  # 32 bytes of bits for each id before
+    assert [np.unpackbits(np.frombuffer(p, np.uint8), bitorder="little").tolist() for p in turned] == [((ids >> k) & 1).tolist() for k in range(16)]
+    back, most = peak(planes.from_planes, turned, len(ids))
+    assert back.tolist() == ids.tolist() and most < 16 * len(ids)
+    wide = np.array([0, 1 << 31, 2**32 - 1, 7, 1 << 8], "<u4")
+    assert planes.from_planes(planes.to_planes(wide), 5).tolist() == wide.tolist() and planes.to_planes(np.zeros(3, "<u4")) == []

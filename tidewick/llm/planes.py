@@ -44,9 +44,12 @@ def to_planes(ids: np.ndarray, bits: bool = True) -> list[bytes]:
     if not bits:
         top = int(ids.max(initial=0))
         return [bytes_[:, k].tobytes() for k in range((top.bit_length() + 7) // 8)]
-    width = int(ids.max(initial=0)).bit_length()
-    grid = np.unpackbits(bytes_, axis=1, bitorder="little")[:, :width]
-    return [p.tobytes() for p in np.packbits(np.ascontiguousarray(grid.T), axis=1, bitorder="little")]
+    top = int(ids.max(initial=0))
+    planes = []
+    for k in range(-(-top.bit_length() // 8)):  # a byte of every id is turned eight ways
+        own = np.ascontiguousarray(bytes_[:, k])
+        planes += [np.packbits(own & (1 << j), bitorder="little").tobytes() for j in range(min(8, top.bit_length() - 8 * k))]
+    return planes
 
 
 def from_planes(planes: list[bytes], count: int, bits: bool = True) -> np.ndarray:
@@ -55,10 +58,13 @@ def from_planes(planes: list[bytes], count: int, bits: bool = True) -> np.ndarra
         for k, p in enumerate(planes):
             out[:, k] = np.frombuffer(p, np.uint8)
         return out.reshape(-1).view("<u4")
-    grid = np.zeros((32, count), np.uint8)
-    for k, p in enumerate(planes):
-        grid[k] = np.unpackbits(np.frombuffer(p, np.uint8), count=count, bitorder="little")
-    return np.packbits(np.ascontiguousarray(grid.T), axis=1, bitorder="little").reshape(-1).view("<u4")
+    out = np.zeros((count, 4), np.uint8)
+    for k in range(0, len(planes), 8):
+        own = np.zeros(count, np.uint8)
+        for j, p in enumerate(planes[k : k + 8]):
+            own |= np.unpackbits(np.frombuffer(p, np.uint8), count=count, bitorder="little") << j
+        out[:, k // 8] = own
+    return out.reshape(-1).view("<u4")
 
 
 # ---- one file
@@ -137,7 +143,7 @@ class ShardReader:
             while at < n:
                 have.append(self.block_ids(nxt))
                 at, nxt = at + len(have[-1]), nxt + 1
-            joined = np.concatenate(have) if have else np.empty(0, np.uint32)
+            joined = have[0] if len(have) == 1 else np.concatenate(have) if have else np.empty(0, np.uint32)
             yield int(self.starts[d]), joined[:n]
             have, at = [joined[n:]], at - n
 

@@ -73,13 +73,14 @@ class Known(dict):
     def __missing__(self, word: str) -> bytes:
         own = self.owner
         if own.plain_words and word.isascii():
-            stem = word.rstrip(_MARKS)
-            if stem.isalpha():  # no special token can be inside
-                if len(stem) < len(word):
-                    return self[stem] + own._piece(word[len(stem) :])
+            if word.isalpha():  # no special token can be inside
                 ids = self[word] = own._model_ids(self.space + word)
                 return ids
-        if not own.direct or not _SIMPLE.fullmatch(word) or any(s in word for s in own.special):
+            stem = word.rstrip(_MARKS)
+            if stem.isalpha():
+                marks = word[len(stem) :]
+                return self[stem] + (own.pieces.get(marks) or own._piece(marks))
+        if not own.direct or not _SIMPLE.fullmatch(word) or own.special and own.has_special(word):
             ids = own._encode([word if word[:1] == "\n" else self.before + word])[0]
         elif word[:1] == "\n":
             return own._piece("\n") + own.first[word[1:]] if len(word) > 1 else own._piece(word)
@@ -112,6 +113,7 @@ class WordIds:
         before = form["pre_tokenizer"] or {}
         self.direct = form["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
         self.special = [] if plain else [t["content"] for t in form["added_tokens"]]
+        self.has_special = re.compile("|".join(map(re.escape, self.special))).search
         self.plain_words = self.direct and not any(t.rstrip(_MARKS).isalpha() or not t.rstrip(_MARKS) for t in self.special)
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = dict(enumerate(byte_letters()))
