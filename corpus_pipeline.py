@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewick.llm import content_sort, decontam, packing, severity, simhash
-from tidewick.llm.common import table
+from tidewick.llm.common import lean, table
 from tidewick.session import written
 
 # The severity model and the packing plan have no SQL form; tests hold the stages against brute force.
@@ -38,13 +40,18 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs)
 
 
-STAGES = [
-    ("toxicity", toxicity),
-    ("exact_dedup", exact_dedup),
-    ("near_dedup", near_dedup),
-    ("decontamination", decontamination),
-    ("pack", pack),
-]
+def _lean(stage):
+    """The stage with small batches to Python: all stages run in the same executors, one after another."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        lean(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [(stage.__name__, _lean(stage)) for stage in (toxicity, exact_dedup, near_dedup, decontamination, pack)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

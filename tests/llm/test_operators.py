@@ -720,3 +720,34 @@ def test_planes_are_turned_without_a_row_of_bits_for_each_id():
     assert back.tolist() == ids.tolist() and most < 16 * len(ids)
     wide = np.array([0, 1 << 31, 2**32 - 1, 7, 1 << 8], "<u4")
     assert planes.from_planes(planes.to_planes(wide), 5).tolist() == wide.tolist() and planes.to_planes(np.zeros(3, "<u4")) == []
+
+
+def test_pipeline_stages_hand_python_few_texts_at_a_time(spark):
+    import corpus_pipeline
+    import pandas as pd
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat(id, ' ', repeat('ab cd ', 800)) AS text").repartition(1)
+
+    def sizes(frames):
+        for frame in frames:
+            yield pd.DataFrame({"n": [int(frame["text"].str.len().sum())], "rows": [len(frame)]})
+
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        if name in ("exact_dedup", "pack"):  # need no other table
+            stage(spark, docs, SF)
+            got = docs.mapInPandas(sizes, "n long, rows long").collect()
+            assert sum(r.rows for r in got) == 4000 and max(r.n for r in got) < 5 << 20  # all 19 MB before
+    spark.conf.unset(key)
+
+
+def test_toxicity_keeps_its_words_from_batch_to_batch(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "awful thing" if i % 3 == 0 else "nice thing") for i in range(600)], "doc_id long, text string")
+    marks = docs.selectExpr("doc_id", "doc_id % 3 = 0 AS toxic")
+    whole = {r.doc_id for r in severity.drop_toxic(docs, marks).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert {r.doc_id for r in severity.drop_toxic(docs, marks).collect()} == whole == {i for i in range(600) if i % 3}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Bytes 0x20 and 0x09-0x0D are the only separators; ``bytes.split()`` splits on exactly these.
 SPACES = r"[\x20\x09-\x0D]+"
+BATCH = 4 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -20,6 +21,12 @@ def words(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
+def lean(spark: SparkSession) -> None:
+    """From now on batches of rows to Python hold at most ``BATCH`` bytes (one row at least): the JVM and the worker of
+    every task each hold a batch more than once, and the default of 64 MB adds up in an executor. Rows are the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ BEGINNINGS = (3, 5)
 GRADES = 3
 PER = 1000  # counts are per so many words
 CUT = 0.4  # expected severity from which a document counts as toxic
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _WORD = re.compile(r"\w+")
 
 
@@ -208,7 +209,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFram
     model = fit(docs, labels)
 
     @F.pandas_udf("boolean")
-    def clean(some: pd.Series) -> pd.Series:
-        return pd.Series(model.at_least(features_sum(model)(some)).sum(axis=1) < cut)
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weigh = features_sum(model)  # words are remembered from batch to batch
+        for some in batches:
+            yield pd.Series(model.at_least(weigh(some)).sum(axis=1) < cut)
 
     return docs.where(clean(F.col("text")))

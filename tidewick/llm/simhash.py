@@ -334,7 +334,7 @@ class WordHashes(dict):
     """XXH64 of words, kept for as long as there is room."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 250_000:
+        if len(self) >= 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word, 42)
         return h
@@ -380,12 +380,13 @@ def same_and_counts(docs: DataFrame, size: int) -> DataFrame:
     hold shingles of each cell."""
 
     def run(frames):
-        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
+        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
         for frame in bytes_at_most(frames, "text", 4 << 20):
-            tokens = [words(t) for t in frame["text"]]
-            cells = np.concatenate([shingles(w, hashes, size) for w in tokens]) >> np.uint64(64 - SKETCH_BITS)
-            counts += np.bincount(cells.astype(np.int64), minlength=len(counts))
-            same = [xxhash.xxh3_128_digest(b" ".join(w)) for w in tokens]
+            same, one = [], np.uint32(1)
+            for text in frame["text"]:  # one text's words at a time
+                tokens = words(text)
+                np.add.at(counts, (shingles(tokens, hashes, size) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), one)
+                same.append(xxhash.xxh3_128_digest(b" ".join(tokens)))
             yield pd.DataFrame({"id": frame["doc_id"].to_numpy(), "same": same, "block": None, "counts": None}).astype({"id": "Int64", "block": "Int32"})
         if counts.any():
             packed = _packed(counts)
