@@ -751,3 +751,30 @@ def test_toxicity_keeps_its_words_from_batch_to_batch(spark, monkeypatch):
         assert {r.doc_id for r in severity.drop_toxic(docs, marks).collect()} == whole == {i for i in range(600) if i % 3}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_recurrent_training_takes_the_same_steps_in_less_time():
+    """The gradient against differences over words of crowded and of thin classes, and no Python step for each class."""
+    import cProfile
+    import pstats
+
+    lex = recurrent.Lexicon.__new__(recurrent.Lexicon)
+    lex.counts = np.arange(3000, 0, -1)
+    lex.tokens, lex.types = int(lex.counts.sum()), 3000
+    lex.bulk = lex.tokens + 0.5 * 3001
+    lex.other = max(1e-12, 1 - float(((lex.counts[: recurrent.SHORTLIST] + 0.5) / lex.bulk).sum()))
+    p, rng = {k: v.astype(float) for k, v in recurrent.started(lex).items()}, np.random.default_rng(5)
+    t = np.concatenate([rng.integers(0, 64, 40), rng.integers(0, 2048, 30), [recurrent.OTHER] * 3])
+    h, grads = rng.standard_normal((len(t), recurrent.HIDDEN)), {}
+    ll, dh = recurrent.log_likelihood(p, h, t, grads)
+    assert ll == pytest.approx(recurrent.log_likelihood(p, h, t)) and set(grads) == {"wc", "bc", "ww", "bw"}
+    for k, g in grads.items():
+        for at in [np.unravel_index(i, g.shape) for i in np.argsort(-np.abs(g).ravel())[:3]]:
+            q = {n: v.copy() for n, v in p.items()}
+            q[k][at] += 1e-6
+            assert -(recurrent.log_likelihood(q, h, t).sum() - ll.sum()) / 1e-6 == pytest.approx(g[at], rel=1e-3, abs=1e-4)
+    few = {k: v.astype(np.float32) for k, v in p.items()}
+    spent = cProfile.Profile()
+    spent.runcall(recurrent.train, few, [rng.integers(0, 2048, 320) for _ in range(64)])
+    calls = pstats.Stats(spent).total_calls
+    assert calls < 640 * 20  # 640 steps of the unit; about twice that many calls before

@@ -31,6 +31,7 @@ HIDDEN = 16
 HEAD = 150_000  # most frequent words at most, whose counts every task gets
 WINDOW = 32
 STREAMS = 32
+TILE = 16  # words of one class that go through its matrix at a time
 ROUNDS = 2
 PRIOR = 100_000
 END = b""  # no word is empty
@@ -124,52 +125,97 @@ def shaped(v: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
-
-
-def step(p, x_gates, h):
-    """One step of the gated unit; returns the new state and what the way back needs."""
+def step(p, x_gates, h, zr=None):
+    """One step of the gated unit; returns the new state and what the way back needs (z and r in ``zr`` if given)."""
     g = h @ p["u"]
-    zr = _sigmoid(x_gates[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
+    zr = np.add(x_gates[:, : 2 * HIDDEN], g[:, : 2 * HIDDEN], out=zr)
+    np.maximum(zr, -80, out=zr)  # exp can't overflow
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
     z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
     hn = g[:, 2 * HIDDEN :]
-    n = np.tanh(x_gates[:, 2 * HIDDEN :] + r * hn)
-    return n + z * (h - n), (z, r, hn, n)
-
-
-def log_softmax(a: np.ndarray) -> np.ndarray:
-    a = a - a.max(axis=1, keepdims=True)
-    return a - np.log(np.exp(a).sum(axis=1, keepdims=True))
+    n = r * hn
+    n += x_gates[:, 2 * HIDDEN :]
+    np.tanh(n, out=n)
+    out = h - n
+    out *= z
+    out += n
+    return out, (z, r, hn, n)
+
+
+def _softmax(a: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax over the last axis of ``a`` at the chosen places (one less axis). ``a`` becomes the
+    gradient of the negative logs."""
+    a -= a.max(axis=-1, keepdims=True)
+    flat_, at = a.reshape(-1), np.arange(0, a.size, a.shape[-1]) + chosen.ravel()
+    out = flat_[at]
+    np.exp(a, out=a)
+    total = a.sum(axis=-1)
+    a /= total[..., None]
+    flat_[at] -= 1
+    return out.reshape(total.shape) - np.log(total)
+
+
+def _tiles(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted classes, each cut into tiles of ``TILE`` words, the last of a class not full: the class of each tile, and
+    every word's place when tiles stand one after another."""
+    n = np.bincount(c, minlength=CLASSES)
+    tiles = -(-n // TILE)
+    shift = TILE * (np.cumsum(tiles) - tiles) - (np.cumsum(n) - n)
+    return np.repeat(np.arange(CLASSES), tiles), np.arange(len(c)) + shift[c]
+
+
+def log_likelihoods(p, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log P(target) for many rows of states. Words are sorted by class, a class is a run of columns."""
+    order = np.argsort((target // PER_CLASS).astype(np.int16), kind="stable")
+    hs, t = np.ascontiguousarray(h[order].T), target[order]
+    ends = np.searchsorted(t // PER_CLASS, np.arange(CLASSES + 1))
+
+    def chosen(a, at):
+        a -= a.max(axis=0)
+        own = a[at, np.arange(len(at))]
+        return own - np.log(np.exp(a, out=a).sum(axis=0))
+
+    ll = chosen(p["wc"].T @ hs + p["bc"][:, None], t // PER_CLASS)
+    for k in np.flatnonzero(np.diff(ends)):
+        some = slice(ends[k], ends[k + 1])
+        ll[some] += chosen(p["ww"][k].T @ hs[:, some] + p["bw"][k][:, None], t[some] % PER_CLASS)
+    out = np.empty_like(ll)
+    out[order] = ll
+    return out
 
 
 def log_likelihood(p, h: np.ndarray, target: np.ndarray, grads: dict | None = None):
-    """Natural log P(target) for rows of states; with ``grads``, also the gradient of its mean loss by the states."""
-    c, w = target // PER_CLASS, target % PER_CLASS
-    lc = log_softmax(h @ p["wc"] + p["bc"])
-    row = np.arange(len(h))
-    out = lc[row, c]
-    if grads is not None:
-        d = np.exp(lc)
-        d[row, c] -= 1
-        grads["wc"], grads["bc"] = h.T @ d, d.sum(axis=0)
-        dh = d @ p["wc"].T
-        grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
+    """Natural log P(target) for rows of states; with ``grads``, also the gradient of its mean loss by the states. Words are
+    sorted by class and, for gradients, go through the matrices of their classes in tiles of equal size."""
+    if grads is None:
+        return log_likelihoods(p, h, target)
+    c = (target // PER_CLASS).astype(np.int16)
+    a = h @ p["wc"]
+    a += p["bc"]
+    out = _softmax(a, c)
     order = np.argsort(c, kind="stable")
-    ends = np.searchsorted(c[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        some = order[ends[k] : ends[k + 1]]
-        if not len(some):
-            continue
-        hs = h[some]
-        lw = log_softmax(hs @ p["ww"][k] + p["bw"][k])
-        out[some] += lw[np.arange(len(some)), w[some]]
-        if grads is not None:
-            d = np.exp(lw)
-            d[np.arange(len(some)), w[some]] -= 1
-            grads["ww"][k], grads["bw"][k] = hs.T @ d, d.sum(axis=0)
-            dh[some] += d @ p["ww"][k].T
-    return (out, dh) if grads is not None else out
+    owner, place = _tiles(c[order])
+    hs, w = np.zeros((len(owner) * TILE, HIDDEN), h.dtype), np.zeros(len(owner) * TILE, np.int64)
+    hs[place], w[place] = h[order], target[order] % PER_CLASS
+    hs = hs.reshape(-1, TILE, HIDDEN)
+    ww = p["ww"][owner]
+    b = hs @ ww
+    b += p["bw"][owner][:, None]
+    out[order] += _softmax(b, w.reshape(-1, TILE)).ravel()[place]
+    grads["wc"], grads["bc"], back = h.T @ a, a.sum(axis=0), a @ p["wc"].T
+    empty = np.ones(len(w), bool)
+    empty[place] = False
+    b.reshape(-1, PER_CLASS)[empty] = 0
+    grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
+    some, starts = np.unique(owner, return_index=True)
+    if len(some):
+        grads["ww"][some] = np.add.reduceat(hs.transpose(0, 2, 1) @ b, starts, axis=0)
+        grads["bw"][some] = np.add.reduceat(b.sum(axis=1), starts, axis=0)
+        back[order] += (b @ ww.transpose(0, 2, 1)).reshape(-1, HIDDEN)[place]
+    return out, back
 
 
 def train(p: dict[str, np.ndarray], documents: list[np.ndarray], rate: float = 0.05) -> int:
@@ -185,60 +231,60 @@ def train(p: dict[str, np.ndarray], documents: list[np.ndarray], rate: float = 0
         length[k] += len(d)
     if not any(length):
         return 0
-    steps = max(length)
-    target, first = np.full((STREAMS, steps), -1, np.int64), np.zeros((STREAMS, steps), bool)
+    steps, end = max(length), documents[0][-1]
+    target, first = np.full((steps, STREAMS), -1, np.int64), np.zeros((steps, STREAMS), bool)
     for k, docs in enumerate(streams):
         at = 0
         for d in docs:
-            target[k, at : at + len(d)], first[k, at] = d, True
+            target[at : at + len(d), k], first[at, k] = d, True
             at += len(d)
-    end = documents[0][-1]
+    before = np.concatenate([np.full((1, STREAMS), end), target[:-1]])
+    before[first | (before < 0)] = end
+    stays = (~first).astype(np.float32)[:, :, None]
     memory = {k: np.full(s, 1e-3, np.float32) for k, s in SHAPES.items()}
-    h = np.zeros((STREAMS, HIDDEN), np.float32)
+    h, both = np.zeros((STREAMS, HIDDEN), np.float32), 2 * HIDDEN
     for at in range(0, steps, WINDOW):
-        t, f = target[:, at : at + WINDOW], first[:, at : at + WINDOW]
-        if at:
-            before = np.concatenate([target[:, at - 1 : at], t[:, :-1]], axis=1)
-        else:
-            before = np.concatenate([np.full((STREAMS, 1), end), t[:, :-1]], axis=1)
-        before = np.where(f | (before < 0), end, before)
-        kept, states, inputs = [], [], []
-        for j in range(t.shape[1]):
-            h = np.where(f[:, j : j + 1], 0, h).astype(np.float32)
-            inputs.append(h)
-            h, more = step(p, p["x"][before[:, j]] + p["b"], h)
-            kept.append(more)
-            states.append(h)
-        real = t >= 0
-        all_states = np.stack(states, axis=1)
+        t, past, stay = target[at : at + WINDOW], before[at : at + WINDOW].ravel(), stays[at : at + WINDOW]
+        shape = (len(t), STREAMS, HIDDEN)
+        x_gates = (p["x"][past] + p["b"]).reshape(len(t), STREAMS, 3 * HIDDEN)
+        inputs, states, hn, new = (np.empty(shape, np.float32) for _ in range(4))
+        zr = np.empty((len(t), STREAMS, both), np.float32)
+        for j in range(len(t)):
+            h = np.multiply(h, stay[j], out=inputs[j])
+            h, (_, _, hn[j], new[j]) = step(p, x_gates[j], h, zr[j])
+            states[j] = h
+        real = np.flatnonzero(t.ravel() >= 0)
         grads: dict[str, np.ndarray] = {}
-        _, dh_real = log_likelihood(p, all_states[real], t[real], grads)
-        dh = np.zeros_like(all_states)
-        dh[real] = dh_real
-        grads |= {k: np.zeros_like(p[k]) for k in ("x", "u", "b")}
-        back, gates = np.zeros_like(h), np.zeros((*t.shape, 3 * HIDDEN), np.float32)
-        for j in reversed(range(t.shape[1])):
-            z, r, hn, n = kept[j]
-            d = dh[:, j] + back
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (inputs[j] - n) * z * (1 - z)
-            dr = dn * hn * r * (1 - r)
-            inner = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["u"] += inputs[j].T @ inner
-            gates[:, j] = np.concatenate([dz, dr, dn], axis=1)
-            back = (d * z + inner @ p["u"].T) * ~f[:, j : j + 1]
-        grads["b"] = gates.sum(axis=(0, 1))
-        np.add.at(grads["x"], before.ravel(), gates.reshape(-1, 3 * HIDDEN))
-        scale = 1.0 / max(1, int(real.sum()))
+        dh = np.zeros((len(t) * STREAMS, HIDDEN), np.float32)
+        dh[real] = log_likelihood(p, states.reshape(-1, HIDDEN)[real], t.ravel()[real], grads)[1]
+        dh = dh.reshape(shape)
+        # What a state's gradient is multiplied by for each gate: for all steps at once, so that the way back is short.
+        z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
+        by_new = (1 - z) * (1 - new * new)
+        by = np.stack([(inputs - new) * z * (1 - z), by_new * hn * r * (1 - r), by_new * r], axis=2)
+        inner, back, u = np.empty_like(by), np.zeros_like(h), np.ascontiguousarray(p["u"].T)
+        for j in reversed(range(len(t))):
+            d = dh[j]
+            d += back
+            np.multiply(d[:, None], by[j], out=inner[j])
+            back = inner[j].reshape(STREAMS, -1) @ u
+            back += d * z[j]
+            back *= stay[j]
+        inner = inner.reshape(-1, 3 * HIDDEN)
+        grads["u"] = inputs.reshape(-1, HIDDEN).T @ inner
+        gates = inner
+        gates[:, both:] = (dh * by_new).reshape(-1, HIDDEN)
+        grads["b"] = gates.sum(axis=0)
+        order = np.argsort(past.astype(np.int16), kind="stable")  # symbols are few
+        rows, starts = np.unique(past[order], return_index=True)
+        scale = np.float32(1.0 / max(1, len(real)))
+        g = np.add.reduceat(gates[order], starts, axis=0) * scale
+        memory["x"][rows] += g * g
+        p["x"][rows] -= rate * g / np.sqrt(memory["x"][rows])
         for k, g in grads.items():
-            g = g * np.float32(scale)
-            if k == "x":
-                rows = np.unique(before)
-                memory[k][rows] += g[rows] ** 2
-                p[k][rows] -= rate * g[rows] / np.sqrt(memory[k][rows])
-            else:
-                memory[k] += g**2
-                p[k] -= rate * g / np.sqrt(memory[k])
+            g *= scale
+            memory[k] += g * g
+            p[k] -= rate * g / np.sqrt(memory[k])
     return sum(length)
 
 
@@ -256,7 +302,7 @@ def score_batch(p: dict[str, np.ndarray], documents: list[np.ndarray], end: int)
     at, longest = 0, int(lengths[0])
     while at < longest:
         states, targets, owners, held = [], [], [], 0
-        while at < longest and held < 1 << 16:
+        while at < longest and held < 1 << 13:
             n = int(np.searchsorted(-lengths, -at, side="left"))  # documents with more than ``at`` words
             h, before = h[:n], before[:n]
             h, _ = step(p, table[before], h)
