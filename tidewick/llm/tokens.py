@@ -64,10 +64,10 @@ def in_words(text: str) -> bool:
 
 class Known(dict):
     """Ids of words with ``before`` before them. Marks after letters are a piece of their own, as is a line end: such
-    words are put together from what is kept, and not kept themselves."""
+    words are put together from what is kept. Those with marks are kept besides, and can be let go again by themselves."""
 
     def __init__(self, owner: WordIds, before: str):
-        self.owner, self.before = owner, before
+        self.owner, self.before, self.marked = owner, before, []
         self.space = owner.letters[ord(" ")] if before else ""
 
     def __missing__(self, word: str) -> bytes:
@@ -79,7 +79,7 @@ class Known(dict):
             stem = word.rstrip(_MARKS)
             if stem.isalpha():
                 marks = word[len(stem) :]
-                return self[stem] + (own.pieces.get(marks) or own._piece(marks))
+                return self._with_marks(word, self[stem] + (own.pieces.get(marks) or own._piece(marks)))
         if not own.direct or not _SIMPLE.fullmatch(word) or own.special and own.has_special(word):
             ids = own._encode([word if word[:1] == "\n" else self.before + word])[0]
         elif word[:1] == "\n":
@@ -89,15 +89,30 @@ class Known(dict):
             if not stem.isalpha():
                 ids = b"".join(map(own._piece, own.cut(self.before + word)))
             elif len(stem) < len(word):
-                return self[stem] + own._piece(word[len(stem) :])
+                return self._with_marks(word, self[stem] + own._piece(word[len(stem) :]))
             else:
                 ids = own._model_ids(self.space + own._spelt(word))
         self[word] = ids
         return ids
 
+    def _with_marks(self, word: str, ids: bytes) -> bytes:
+        self[word] = ids
+        self.marked.append(word)
+        return ids
+
+    def forget_marked(self) -> None:
+        for word in self.marked:
+            self.pop(word, None)
+        self.marked.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.marked.clear()
+
 
 class WordIds:
-    """Ids (little-endian, 4 bytes) of words met so far. Memory is bounded: with more than ``most`` words it starts anew.
+    """Ids (little-endian, 4 bytes) of words met so far. Memory is bounded: with more than ``most`` words it starts anew,
+    with a third as many that have marks behind them besides, it forgets those.
     With ``plain``, strings of special tokens inside a text are ordinary text."""
 
     def __init__(self, path: str, most: int = 300_000, plain: bool = False):
@@ -122,7 +137,10 @@ class WordIds:
         self.pieces: dict[str, bytes] = {}
 
     def __len__(self) -> int:
-        return len(self.first) + len(self.later)
+        return len(self.first) + len(self.later) - self._marked()
+
+    def _marked(self) -> int:
+        return len(self.first.marked) + len(self.later.marked)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.many(texts, add_special_tokens=False)]
@@ -143,6 +161,9 @@ class WordIds:
         if len(self) > self.most:
             self.first.clear()
             self.later.clear()
+        if self._marked() > self.most // 3:
+            self.first.forget_marked()
+            self.later.forget_marked()
         if len(self.pieces) > self.most // 3:
             self.pieces.clear()
 
