@@ -14,14 +14,16 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from itertools import repeat
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewick.llm.common import bytes_at_most, texts, words
+from tidewick.llm.common import texts, words  # noqa: F401  (what split_words has to equal)
 from tidewick.session import written
 
 CLASSES, PER_CLASS = 32, 64
@@ -31,7 +33,8 @@ HIDDEN = 16
 HEAD = 150_000  # most frequent words at most, whose counts every task gets
 WINDOW = 32
 STREAMS = 32
-TILE = 16  # words of one class that go through its matrix at a time
+TILE = 16  # words of one class that are few
+ABREAST = 1024  # documents that advance side by side in scoring
 ROUNDS = 2
 PRIOR = 100_000
 END = b""  # no word is empty
@@ -43,27 +46,68 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
+# ---- words
+def slices(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of at most ``limit`` bytes of text (one row at least). Every row is passed on."""
+    for batch in batches:
+        sizes, start, total = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), 0, 0
+        for i, size in enumerate(sizes.tolist()):
+            if i > start and total + size > limit:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += size
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
+def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one text after another, and how many each text has; for one text the same as ``words``."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    n, flat_ = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+    real = pc.greater(pc.binary_length(flat_), 0)  # before the first space of a text or behind its last there is no word
+    if not pc.all(real, min_count=0).as_py():
+        n = np.bincount(np.repeat(np.arange(len(n)), n)[real.to_numpy(zero_copy_only=False)], minlength=len(n))
+        flat_ = flat_.filter(real)
+    return flat_.cast(pa.large_binary() if pa.types.is_large_string(flat_.type) else pa.binary()), n
+
+
+def symbols(text: pa.Array, lexicon: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Places in the lexicon (-1: not there) of the words and the end of each text, how many those are, and all words."""
+    split, n = split_words(text)
+    places = np.empty(len(split) + len(n), np.int64)
+    ends = np.zeros(len(places), bool)
+    ends[np.cumsum(n + 1) - 1] = True
+    places[~ends] = pc.fill_null(pc.index_in(split, lexicon.cast(split.type)), -1).to_numpy(zero_copy_only=False)
+    places[ends] = pc.fill_null(pc.index_in(pa.array([END], lexicon.type), lexicon), -1)[0].as_py()
+    return places, n + 1, split
+
+
+def apart(ids: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    return np.split(ids, np.cumsum(n)[:-1])
+
+
 # ---- counts
 def word_counts(training: DataFrame, most: int = 500_000) -> DataFrame:
     """(word, n) over all whole texts, the end of each counted as the empty word; stored rows."""
 
-    def run(frames):
+    def run(batches):
         def rows(counts):
             some = list(counts.items())
             for at in range(0, len(some), 100_000):
-                yield pd.DataFrame(some[at : at + 100_000], columns=["word", "n"])
+                own = some[at : at + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in own], pa.binary()), pa.array([n for _, n in own], pa.int64())], ["word", "n"])
 
         counts: Counter = Counter()
-        for frame in bytes_at_most(frames, "text", 4 << 20):
-            for text in frame["text"]:
-                counts.update(words(text))
-            counts[END] += len(frame)
+        for batch in slices(batches, 4 << 20):
+            found = split_words(batch["text"])[0].value_counts()
+            counts.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist())))
+            counts[END] += len(batch)
             if len(counts) > most:
                 yield from rows(counts)
                 counts = Counter()
         yield from rows(counts)
 
-    return written(training.select("text").mapInPandas(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    return written(training.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
 
 class Lexicon:
@@ -87,9 +131,6 @@ class Lexicon:
         self.base = np.log10((self.counts + 0.5) / self.bulk)
         self.other = max(1e-12, 1.0 - float(((self.counts[:SHORTLIST] + 0.5) / self.bulk).sum()))
 
-    def index(self) -> dict[bytes, int]:
-        return dict(zip(self.words, range(len(self.words))))
-
 
 # ---- the network
 SHAPES = {"x": (SHORTLIST + 1, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
@@ -125,103 +166,122 @@ def shaped(v: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def step(p, x_gates, h, zr=None):
-    """One step of the gated unit; returns the new state and what the way back needs (z and r in ``zr`` if given)."""
-    g = h @ p["u"]
-    zr = np.add(x_gates[:, : 2 * HIDDEN], g[:, : 2 * HIDDEN], out=zr)
-    np.maximum(zr, -80, out=zr)  # exp can't overflow
-    np.negative(zr, out=zr)
-    np.exp(zr, out=zr)
-    zr += 1
-    np.reciprocal(zr, out=zr)
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    hn = g[:, 2 * HIDDEN :]
-    n = r * hn
-    n += x_gates[:, 2 * HIDDEN :]
-    np.tanh(n, out=n)
-    out = h - n
-    out *= z
-    out += n
-    return out, (z, r, hn, n)
-
-
-def _softmax(a: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log of the softmax over the last axis of ``a`` at the chosen places (one less axis). ``a`` becomes the
-    gradient of the negative logs."""
-    a -= a.max(axis=-1, keepdims=True)
-    flat_, at = a.reshape(-1), np.arange(0, a.size, a.shape[-1]) + chosen.ravel()
-    out = flat_[at]
-    np.exp(a, out=a)
-    total = a.sum(axis=-1)
-    a /= total[..., None]
-    flat_[at] -= 1
-    return out.reshape(total.shape) - np.log(total)
-
-
-def _tiles(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted classes, each cut into tiles of ``TILE`` words, the last of a class not full: the class of each tile, and
-    every word's place when tiles stand one after another."""
-    n = np.bincount(c, minlength=CLASSES)
-    tiles = -(-n // TILE)
-    shift = TILE * (np.cumsum(tiles) - tiles) - (np.cumsum(n) - n)
-    return np.repeat(np.arange(CLASSES), tiles), np.arange(len(c)) + shift[c]
-
-
-def log_likelihoods(p, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log P(target) for many rows of states. Words are sorted by class, a class is a run of columns."""
-    order = np.argsort((target // PER_CLASS).astype(np.int16), kind="stable")
-    hs, t = np.ascontiguousarray(h[order].T), target[order]
-    ends = np.searchsorted(t // PER_CLASS, np.arange(CLASSES + 1))
-
-    def chosen(a, at):
-        a -= a.max(axis=0)
-        own = a[at, np.arange(len(at))]
-        return own - np.log(np.exp(a, out=a).sum(axis=0))
-
-    ll = chosen(p["wc"].T @ hs + p["bc"][:, None], t // PER_CLASS)
-    for k in np.flatnonzero(np.diff(ends)):
-        some = slice(ends[k], ends[k + 1])
-        ll[some] += chosen(p["ww"][k].T @ hs[:, some] + p["bw"][k][:, None], t[some] % PER_CLASS)
-    out = np.empty_like(ll)
-    out[order] = ll
-    return out
+def _softmax(a: np.ndarray, place: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log of the softmax of rows of ``a`` at the chosen columns, for every place; the exponentials and each row's total, so
+    that exponentials over totals are the softmax."""
+    own = a.reshape(-1)[place * a.shape[1] + chosen]
+    with np.errstate(over="ignore"):
+        e = np.exp(a)
+        total = e @ np.ones(a.shape[1], a.dtype)
+    if not 1e-20 < total.min(initial=1) <= total.max(initial=1) < 1e20:  # rare: numbers that exp doesn't keep apart
+        most = a.max(axis=1)
+        own -= most[place]
+        np.exp(a - most[:, None], out=e)
+        total = e.sum(axis=1)
+    return own - np.log(total.take(place)), e, total
 
 
-def log_likelihood(p, h: np.ndarray, target: np.ndarray, grads: dict | None = None):
-    """Natural log P(target) for rows of states; with ``grads``, also the gradient of its mean loss by the states. Words are
-    sorted by class and, for gradients, go through the matrices of their classes in tiles of equal size."""
+def _less_chosen(e: np.ndarray, total: np.ndarray, place: np.ndarray, chosen: np.ndarray, scale: float) -> np.ndarray:
+    """Makes ``e`` the gradient of the negative logs times each row's total, and returns what to multiply rows by for
+    ``scale`` times that."""
+    e.reshape(-1)[place * e.shape[1] + chosen] -= total.take(place)
+    return (e.dtype.type(scale) / total)[:, None]
+
+
+def _with_biases(weights: np.ndarray, biases: np.ndarray) -> np.ndarray:
+    """Biases as a last row, which meets a state of one more place that is always 1."""
+    return np.concatenate([weights, biases[..., None, :]], axis=-2)
+
+
+def _places(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]], int]:
+    """Each word's place when the words of a class are a run of rows; the classes of at most ``TILE`` words, which come first
+    and take ``TILE`` rows each; the others with their rows; all rows."""
+    n = np.bincount(c, minlength=CLASSES)
+    few = n <= TILE
+    thin, thick = np.flatnonzero(few & (n > 0)), np.flatnonzero(~few)
+    own, some = n[thick], len(thin) * TILE
+    ends = some + np.cumsum(own)
+    shift = np.zeros(CLASSES, np.int64)
+    shift[thin], shift[thick] = np.arange(0, some, TILE), ends - own
+    shift -= np.cumsum(n) - n
+    order = np.argsort(c.astype(np.int16), kind="stable")
+    place = np.empty(len(c), np.int64)
+    place[order] = np.arange(len(c)) + np.repeat(shift, n)
+    runs = [(k, slice(e - m, e)) for k, m, e in zip(thick.tolist(), own.tolist(), ends.tolist())]
+    return place, thin, runs, runs[-1][1].stop if runs else some
+
+
+def log_likelihood(p, h: np.ndarray, target: np.ndarray, grads: dict | None = None, weights: np.ndarray | None = None, scale: float = 1.0):
+    """Natural log P(target) for rows of states; with ``grads``, also the gradient of its loss, times ``scale``, by the states. Words of a class
+    stand together and go through its matrix at once, the classes of few words side by side. ``weights``: the classes'
+    matrices with biases, if at hand."""
+    weights = _with_biases(p["ww"], p["bw"]) if weights is None else weights
+    c, w = np.divmod(target, PER_CLASS)
+    one = np.ones((len(h), HIDDEN + 1), h.dtype)
+    one[:, :HIDDEN] = h
+    every = np.arange(len(h))
+    ll, a, total_a = _softmax(one @ _with_biases(p["wc"], p["bc"]), every, c)
+    place, thin, thick, size = _places(c)
+    hs = np.zeros((size, HIDDEN + 1), h.dtype)  # a row without a word is 0
+    hs[place] = one
+    b, some, owned = np.empty((size, PER_CLASS), a.dtype), len(thin) * TILE, weights.take(thin, axis=0)
+    np.matmul(hs[:some].reshape(-1, TILE, HIDDEN + 1), owned, out=b[:some].reshape(-1, TILE, PER_CLASS))
+    for k, at in thick:
+        np.dot(hs[at], weights[k], out=b[at])
+    by_word, b, total_b = _softmax(b, place, w)
+    ll += by_word
     if grads is None:
-        return log_likelihoods(p, h, target)
-    c = (target // PER_CLASS).astype(np.int16)
-    a = h @ p["wc"]
-    a += p["bc"]
-    out = _softmax(a, c)
-    order = np.argsort(c, kind="stable")
-    owner, place = _tiles(c[order])
-    hs, w = np.zeros((len(owner) * TILE, HIDDEN), h.dtype), np.zeros(len(owner) * TILE, np.int64)
-    hs[place], w[place] = h[order], target[order] % PER_CLASS
-    hs = hs.reshape(-1, TILE, HIDDEN)
-    ww = p["ww"][owner]
-    b = hs @ ww
-    b += p["bw"][owner][:, None]
-    out[order] += _softmax(b, w.reshape(-1, TILE)).ravel()[place]
-    grads["wc"], grads["bc"], back = h.T @ a, a.sum(axis=0), a @ p["wc"].T
-    empty = np.ones(len(w), bool)
-    empty[place] = False
-    b.reshape(-1, PER_CLASS)[empty] = 0
-    grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
-    some, starts = np.unique(owner, return_index=True)
-    if len(some):
-        grads["ww"][some] = np.add.reduceat(hs.transpose(0, 2, 1) @ b, starts, axis=0)
-        grads["bw"][some] = np.add.reduceat(b.sum(axis=1), starts, axis=0)
-        back[order] += (b @ ww.transpose(0, 2, 1)).reshape(-1, HIDDEN)[place]
-    return out, back
+        return ll
+    over = _less_chosen(a, total_a, every, c, scale)
+    one *= over
+    by_class = one.T @ a
+    grads["wc"], grads["bc"] = by_class[:HIDDEN], by_class[HIDDEN]
+    out = a @ p["wc"].T
+    out *= over
+    over = _less_chosen(b, total_b, place, w, scale)
+    hs *= over
+    by_class, back = np.zeros(weights.shape, a.dtype), np.empty((size, HIDDEN), a.dtype)
+    tiles = b[:some].reshape(-1, TILE, PER_CLASS)
+    by_class[thin] = hs[:some].reshape(-1, TILE, HIDDEN + 1).transpose(0, 2, 1) @ tiles
+    np.matmul(tiles, owned[:, :HIDDEN].transpose(0, 2, 1), out=back[:some].reshape(-1, TILE, HIDDEN))
+    for k, at in thick:
+        np.dot(hs[at].T, b[at], out=by_class[k])
+        np.dot(b[at], p["ww"][k].T, out=back[at])
+    back *= over
+    out += back.take(place, axis=0)
+    grads["ww"], grads["bw"] = by_class[:, :HIDDEN], by_class[:, HIDDEN]
+    return ll, out
+
+
+def _sums(symbols_: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols, each once, and the sums of their rows; those of one row need no sum."""
+    order = np.argsort(symbols_.astype(np.int16), kind="stable")  # symbols are few
+    n = np.bincount(symbols_)
+    single, more = np.flatnonzero(n == 1), np.flatnonzero(n > 1)
+    counts = n[more]
+    alone = np.repeat(n == 1, n)
+    out = np.empty((len(more) + len(single), rows.shape[1]), rows.dtype)
+    if len(more):
+        np.add.reduceat(rows.take(order[~alone], axis=0), np.cumsum(counts) - counts, axis=0, out=out[: len(more)])
+    out[len(more) :] = rows.take(order[alone], axis=0)
+    return np.concatenate([more, single]), out
+
+
+def _adapt(p: np.ndarray, memory: np.ndarray, g: np.ndarray, rate: float) -> None:
+    """One step against ``g`` (which is lost), each weight at a rate that falls with its squared gradients so far."""
+    some = g * g
+    memory += some
+    np.sqrt(memory, out=some)
+    g *= rate
+    g /= some
+    p -= g
 
 
 def train(p: dict[str, np.ndarray], documents: list[np.ndarray], rate: float = 0.05) -> int:
     """Truncated backpropagation (in place) over whole documents dealt to parallel streams; returns the words seen.
 
     The state is carried over windows and cleared at the start of each document; gradients stop at window borders.
+    Gates and states of a step are columns, one for each stream, in arrays that every window uses again.
     """
     streams: list[list[np.ndarray]] = [[] for _ in range(STREAMS)]
     length = [0] * STREAMS
@@ -240,92 +300,125 @@ def train(p: dict[str, np.ndarray], documents: list[np.ndarray], rate: float = 0
             at += len(d)
     before = np.concatenate([np.full((1, STREAMS), end), target[:-1]])
     before[first | (before < 0)] = end
-    stays = (~first).astype(np.float32)[:, :, None]
+    stays, begins = (~first).astype(np.float32)[:, None], first.any(axis=1)
     memory = {k: np.full(s, 1e-3, np.float32) for k, s in SHAPES.items()}
-    h, both = np.zeros((STREAMS, HIDDEN), np.float32), 2 * HIDDEN
+    both = 2 * HIDDEN
+    x_gates, h_gates = (np.empty((WINDOW, 3 * HIDDEN, STREAMS), np.float32) for _ in range(2))
+    zr, new, ones = np.empty((WINDOW, both, STREAMS), np.float32), np.empty((WINDOW, HIDDEN, STREAMS), np.float32), np.ones((both, STREAMS), np.float32)
+    states = np.zeros((WINDOW + 1, HIDDEN, STREAMS), np.float32)  # the first one: before the window
+    by, inner = (np.empty((WINDOW, 4, HIDDEN, STREAMS), np.float32) for _ in range(2))
+    dh, turned = np.empty((WINDOW, HIDDEN, STREAMS), np.float32), np.empty((HIDDEN, 4 * HIDDEN), np.float32)
+    turned[:, 3 * HIDDEN :] = np.eye(HIDDEN)  # the gate that keeps a state
+    forth = list(zip(x_gates[:, :both], x_gates[:, both:], h_gates, h_gates[:, :both], h_gates[:, both:], zr, zr[:, :HIDDEN], zr[:, HIDDEN:], new, states[1:]))
+    back_ = list(zip(dh, dh[:, None], by, inner, inner.reshape(WINDOW, 4 * HIDDEN, STREAMS)))
     for at in range(0, steps, WINDOW):
-        t, past, stay = target[at : at + WINDOW], before[at : at + WINDOW].ravel(), stays[at : at + WINDOW]
-        shape = (len(t), STREAMS, HIDDEN)
-        x_gates = (p["x"][past] + p["b"]).reshape(len(t), STREAMS, 3 * HIDDEN)
-        inputs, states, hn, new = (np.empty(shape, np.float32) for _ in range(4))
-        zr = np.empty((len(t), STREAMS, both), np.float32)
-        for j in range(len(t)):
-            h = np.multiply(h, stay[j], out=inputs[j])
-            h, (_, _, hn[j], new[j]) = step(p, x_gates[j], h, zr[j])
-            states[j] = h
+        t, past, stay, begin = target[at : at + WINDOW], before[at : at + WINDOW].ravel(), stays[at : at + WINDOW], begins[at : at + WINDOW].tolist()
+        m = len(t)
+        x_gates[:m] = (p["x"].take(past, axis=0) + p["b"]).reshape(m, STREAMS, 3 * HIDDEN).transpose(0, 2, 1)
+        u = np.ascontiguousarray(p["u"].T)
+        for part in (x_gates[:m, :both], u[:both]):
+            np.negative(part, out=part)
+        h = states[0]
+        with np.errstate(over="ignore"):  # a gate of exp(-x) beyond the floats is 0
+            for j, (x_zr, x_n, g, g_zr, g_n, both_, z, r, n, out) in enumerate(forth[:m]):
+                if begin[j]:
+                    h = h * stay[j]
+                np.dot(u, h, out=g)
+                np.add(x_zr, g_zr, out=both_)
+                np.exp(both_, out=both_)
+                np.add(both_, ones, out=both_)
+                np.reciprocal(both_, out=both_)
+                np.multiply(r, g_n, out=n)
+                np.add(n, x_n, out=n)
+                np.tanh(n, out=n)
+                np.subtract(h, n, out=out)
+                np.multiply(out, z, out=out)
+                np.add(out, n, out=out)
+                h = out
+        inputs = states[:m] * stay
         real = np.flatnonzero(t.ravel() >= 0)
         grads: dict[str, np.ndarray] = {}
-        dh = np.zeros((len(t) * STREAMS, HIDDEN), np.float32)
-        dh[real] = log_likelihood(p, states.reshape(-1, HIDDEN)[real], t.ravel()[real], grads)[1]
-        dh = dh.reshape(shape)
+        rows = states[1 : m + 1].transpose(0, 2, 1).reshape(-1, HIDDEN)
+        by_state = np.zeros_like(rows)
+        by_state[real] = log_likelihood(p, rows.take(real, axis=0), t.ravel()[real], grads, scale=1.0 / max(1, len(real)))[1]
+        dh[:m] = by_state.reshape(m, STREAMS, HIDDEN).transpose(0, 2, 1)
         # What a state's gradient is multiplied by for each gate: for all steps at once, so that the way back is short.
-        z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
-        by_new = (1 - z) * (1 - new * new)
-        by = np.stack([(inputs - new) * z * (1 - z), by_new * hn * r * (1 - r), by_new * r], axis=2)
-        inner, back, u = np.empty_like(by), np.zeros_like(h), np.ascontiguousarray(p["u"].T)
-        for j in reversed(range(len(t))):
-            d = dh[j]
-            d += back
-            np.multiply(d[:, None], by[j], out=inner[j])
-            back = inner[j].reshape(STREAMS, -1) @ u
-            back += d * z[j]
-            back *= stay[j]
-        inner = inner.reshape(-1, 3 * HIDDEN)
-        grads["u"] = inputs.reshape(-1, HIDDEN).T @ inner
-        gates = inner
-        gates[:, both:] = (dh * by_new).reshape(-1, HIDDEN)
+        z, r, n, hn, own = zr[:m, :HIDDEN], zr[:m, HIDDEN:], new[:m], h_gates[:m, both:], by[:m]
+        by_new = (1 - z) * (1 - n * n)
+        np.multiply((inputs - n) * z, 1 - z, out=own[:, 0])
+        np.multiply(by_new, r, out=own[:, 2])
+        np.multiply(own[:, 2], hn * (1 - r), out=own[:, 1])
+        own[:, 3] = z
+        turned[:, : 3 * HIDDEN] = p["u"]
+        back = np.zeros((HIDDEN, STREAMS), np.float32)
+        for j in range(m - 1, -1, -1):
+            d, d_, factors, each, flat_ = back_[j]
+            np.add(d, back, out=d)
+            np.multiply(d_, factors, out=each)
+            np.dot(turned, flat_, out=back)
+            if begin[j]:
+                back *= stay[j]
+        gates = inner[:m, :3].transpose(0, 3, 1, 2).reshape(-1, 3 * HIDDEN)
+        grads["u"] = inputs.transpose(0, 2, 1).reshape(-1, HIDDEN).T @ gates
+        gates[:, both:] = (dh[:m] * by_new).transpose(0, 2, 1).reshape(-1, HIDDEN)
         grads["b"] = gates.sum(axis=0)
-        order = np.argsort(past.astype(np.int16), kind="stable")  # symbols are few
-        rows, starts = np.unique(past[order], return_index=True)
-        scale = np.float32(1.0 / max(1, len(real)))
-        g = np.add.reduceat(gates[order], starts, axis=0) * scale
-        memory["x"][rows] += g * g
-        p["x"][rows] -= rate * g / np.sqrt(memory["x"][rows])
+        words_, g = _sums(past, gates)
+        some, own = p["x"].take(words_, axis=0), memory["x"].take(words_, axis=0)
+        _adapt(some, own, g, rate)
+        p["x"][words_], memory["x"][words_] = some, own
         for k, g in grads.items():
-            g *= scale
-            memory[k] += g * g
-            p[k] -= rate * g / np.sqrt(memory[k])
+            _adapt(p[k], memory[k], g, rate)
+        states[0] = h
     return sum(length)
 
 
 def score_batch(p: dict[str, np.ndarray], documents: list[np.ndarray], end: int) -> np.ndarray:
     """Natural log-likelihood of each whole document under the network. Documents advance side by side, the longest
     first, each from a cleared state; states stay from one window to the next."""
-    order = sorted(range(len(documents)), key=lambda i: -len(documents[i]))
-    lengths = np.array([len(documents[i]) for i in order])
-    joined = np.concatenate([documents[i] for i in order])
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    total = np.zeros(len(documents))
-    h = np.zeros((len(order), HIDDEN), np.float32)
-    table = p["x"] + p["b"]
-    before = np.full(len(order), end, np.int64)
-    at, longest = 0, int(lengths[0])
-    while at < longest:
-        states, targets, owners, held = [], [], [], 0
-        while at < longest and held < 1 << 13:
-            n = int(np.searchsorted(-lengths, -at, side="left"))  # documents with more than ``at`` words
-            h, before = h[:n], before[:n]
-            h, _ = step(p, table[before], h)
-            before = joined[starts[:n] + at]
-            states.append(h)
-            targets.append(before)
-            owners.append(n)
-            held += n
-            at += 1
-        ll = log_likelihood(p, np.concatenate(states), np.concatenate(targets))
-        total += np.bincount(np.concatenate([np.arange(n) for n in owners]), ll, minlength=len(total))
     out = np.zeros(len(documents))
-    out[order] = total
+    order = np.array(sorted(range(len(documents)), key=lambda i: -len(documents[i])))
+    gates = [slice(k * HIDDEN, (k + 1) * HIDDEN) for k in range(3)]
+    z_table, r_table, n_table = (np.ascontiguousarray(s * (p["x"][:, g] + p["b"][g])) for g, s in zip(gates, (-1, -1, 1)))
+    z_u, r_u, n_u = (np.ascontiguousarray(s * p["u"][:, g]) for g, s in zip(gates, (-1, -1, 1)))
+    weights = _with_biases(p["ww"], p["bw"])
+    for some in range(0, len(order), ABREAST):
+        own = order[some : some + ABREAST]
+        lengths = np.array([len(documents[i]) for i in own])
+        joined = np.concatenate([documents[i] for i in own])
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left").tolist()  # documents with more words than that
+        total, h, before = np.zeros(len(own)), np.zeros((len(own), HIDDEN), np.float32), np.full(len(own), end, np.int64)
+        at = 0
+        while at < len(active):
+            states, targets, owners, held = [], [], [], 0
+            with np.errstate(over="ignore"):  # a gate of exp(-x) beyond the floats is 0
+                while at < len(active) and held < 1 << 12:
+                    n = active[at]
+                    h, before = h[:n], before[:n]
+                    z, r, new = h @ z_u, h @ r_u, h @ n_u
+                    for gate, table in ((z, z_table), (r, r_table)):
+                        gate += table.take(before, axis=0)
+                        np.exp(gate, out=gate)
+                        gate += 1
+                        np.reciprocal(gate, out=gate)
+                    new *= r
+                    new += n_table.take(before, axis=0)
+                    np.tanh(new, out=new)
+                    h = h - new
+                    h *= z
+                    h += new
+                    before = joined[starts[:n] + at]
+                    states.append(h)
+                    targets.append(before)
+                    owners.append(n)
+                    held += n
+                    at += 1
+            ll = log_likelihood(p, np.concatenate(states), np.concatenate(targets), weights=weights)
+            total += np.bincount(np.concatenate([np.arange(n) for n in owners]), ll, minlength=len(total))
+        out[own] = total
     return out
 
 
-def symbols(text: str, index: dict[bytes, int]) -> tuple[np.ndarray, list[bytes]]:
-    """Places in the lexicon (-1: not there) of a text's words and its end."""
-    split = words(text)
-    split.append(END)
-    return np.fromiter(map(index.get, split, repeat(-1)), np.int64, len(split)), split
-
-
 def network_ids(places: np.ndarray) -> np.ndarray:
     return np.where((places < 0) | (places >= SHORTLIST), OTHER, places)
 
@@ -339,12 +432,12 @@ def fit(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> dict[str
     for k in range(rounds):
         now = flat(p)
 
-        def run(frames, now=now):
-            index, own, seen, held, n = dict(zip(short, range(len(short)))), shaped(now), 0, [], 0
-            for frame in bytes_at_most(frames, "text", 4 << 20):
-                for text in frame["text"]:
-                    held.append(network_ids(symbols(text, index)[0]))
-                    n += len(held[-1])
+        def run(batches, now=now):
+            index, own, seen, held, n = pa.array(short, pa.binary()), shaped(now), 0, [], 0
+            for batch in slices(batches, 4 << 20):
+                places, lengths, _ = symbols(batch["text"], index)
+                held += apart(network_ids(places), lengths)
+                n += len(places)
                 if n >= 500_000:
                     seen += train(own, held)
                     held, n = [], 0
@@ -352,11 +445,10 @@ def fit(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> dict[str
                 seen += train(own, held)
             if seen:
                 v = flat(own).astype(float) * seen
-                for at in range(0, size, 4096):
-                    yield pd.DataFrame({"at": np.arange(at, min(size, at + 4096)), "v": v[at : at + 4096], "n": float(seen)})
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(v), pa.array(np.full(size, float(seen)))], ["at", "v", "n"])
 
         some = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("text")
-        rows = some.mapInPandas(run, "at int, v double, n double").groupBy("at").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect()  # one per weight
+        rows = some.mapInArrow(run, "at int, v double, n double").groupBy("at").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect()  # one per weight
         total, weight = PRIOR * now.astype(float), np.full(size, float(PRIOR))
         for r in rows:
             total[r["at"]] += r["v"]
@@ -366,6 +458,23 @@ def fit(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> dict[str
 
 
 # ---- documents
+def _rare(places: np.ndarray, n: np.ndarray, split: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """For each text its words and ends that are not in the lexicon, each once, and how often."""
+    ends = np.cumsum(n) - 1
+    found, owner = np.flatnonzero(places < 0), np.repeat(np.arange(len(n)), n)
+    owner = owner[found]
+    is_end = found == ends[owner]
+    strange = split.take(pa.array((found - owner)[~is_end])).cast(pa.binary())
+    if is_end.any():
+        strange = pa.concat_arrays([strange, pa.array([END] * int(is_end.sum()), pa.binary())])
+        owner = np.concatenate([owner[~is_end], owner[is_end]])
+    coded = strange.dictionary_encode()
+    kinds = max(1, len(coded.dictionary))
+    keys, times = np.unique(owner * kinds + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    at = pa.array(np.concatenate([[0], np.cumsum(np.bincount(keys // kinds, minlength=len(n)))]), pa.int32())
+    return pa.ListArray.from_arrays(at, coded.dictionary.take(pa.array(keys % kinds))), pa.ListArray.from_arrays(at, pa.array(times, pa.int64()))
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document.
 
@@ -379,32 +488,34 @@ def score(docs: DataFrame) -> DataFrame:
     p = fit(training, lexicon)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((lexicon.words, lexicon.base, p, math.log10(lexicon.other)))
-    index_here: dict[str, dict] = {}
+    index_here: dict[str, pa.Array] = {}
 
-    def run(frames):
+    def run(batches):
         head, base, net, other = shared.value
-        index = index_here.setdefault("index", dict(zip(head, range(len(head)))))
-        end = int(network_ids(np.array([index.get(END, -1)]))[0])
+        index = index_here.get("index")
+        if index is None:
+            index = index_here["index"] = pa.array(head, pa.binary())
+        by_place = np.append(base, 0.0)  # the last one is the place -1
+        by_other = by_place.copy()
+        by_other[: min(SHORTLIST, len(base))] = 0
         part, at = TaskContext.get().partitionId() << 33, 0
-        for frame in bytes_at_most(frames, "text", 12 << 20):
-            ids, out = [], []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                places, split = symbols(text, index)
-                known = places[places >= 0]
-                rare = Counter(split[i] for i in np.flatnonzero(places < 0)) if len(known) < len(places) else {}
-                beyond = int((places >= SHORTLIST).sum()) + len(places) - len(known)
-                shares = float(base[known].sum())
-                # Among other words a word has its share of theirs; that of rare ones is joined later.
-                others = float(base[places[places >= SHORTLIST]].sum()) - beyond * other
-                ids.append(network_ids(places).astype(np.int32))
-                out.append((doc_id, part + at, len(places), len(known), shares, others, list(rare), list(rare.values())))
-                at += 1
-            ll = score_batch(net, ids, end) / LN10
-            yield pd.DataFrame([(*o[:5], o[5] + float(s), o[6], o[7]) for o, s in zip(out, ll)],
-                               columns=["doc_id", "row", "n_tokens", "n_head", "head_score", "network", "rare", "times"]).astype({"doc_id": "Int64"})
+        for batch in slices(batches, 12 << 20):
+            places, n, split = symbols(batch["text"], index)
+            starts = np.cumsum(n) - n
+            ids = network_ids(places)
+            # Among other words a word has its share of theirs; that of rare ones is joined later.
+            beyond = np.add.reduceat((places < 0) | (places >= SHORTLIST), starts, dtype=np.int64)
+            others = np.add.reduceat(by_other[places], starts) - beyond * other
+            ll = score_batch(net, apart(ids, n), int(ids[n[0] - 1])) / LN10
+            lists, times = _rare(places, n, split)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(part + at + np.arange(len(n))), pa.array(n), pa.array(np.add.reduceat(places >= 0, starts, dtype=np.int64)),
+                 pa.array(np.add.reduceat(by_place[places], starts)), pa.array(others + ll), lists, times],
+                ["doc_id", "row", "n_tokens", "n_head", "head_score", "network", "rare", "times"])
+            at += len(n)
 
     schema = "doc_id long, row long, n_tokens long, n_head long, head_score double, network double, rare array<binary>, times array<long>"
-    scored = written(rows.mapInPandas(run, schema), "scored")
+    scored = written(rows.mapInArrow(run, schema), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     # The lexicon's own words need no join.
     least = int(lexicon.counts.min()) if len(lexicon.counts) else 0
