@@ -13,7 +13,6 @@ Rare words are not held anywhere as a whole: their counts are joined to the docu
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,7 +33,11 @@ HEAD = 150_000  # most frequent words at most, whose counts every task gets
 WINDOW = 32
 STREAMS = 32
 TILE = 16  # words of one class that are few
+MANY = 16  # rows of one symbol whose sum is a product
 ABREAST = 1024  # documents that advance side by side in scoring
+BYTES = 32 << 20  # words that a task holds beyond one slice of texts
+SIDE_BY_SIDE = 8_000_000  # words of the documents that scoring takes together; their texts aren't kept
+FULL = 4096  # states whose words are looked at together in scoring
 ROUNDS = 2
 PRIOR = 100_000
 END = b""  # no word is empty
@@ -87,25 +90,32 @@ def apart(ids: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
 
 
 # ---- counts
+def added_counts(parts: list[pa.Table]) -> pa.Table:
+    """(word, n) of all parts, each word once."""
+    return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"word": "word", "n_sum": "n"})
+
+
 def word_counts(training: DataFrame, most: int = 500_000) -> DataFrame:
-    """(word, n) over all whole texts, the end of each counted as the empty word; stored rows."""
+    """(word, n) over all whole texts, the end of each counted as the empty word; stored rows. Slices are counted one by one
+    and their counts added; a task that holds more than ``most`` words then, or ``BYTES``, passes them on."""
 
     def run(batches):
-        def rows(counts):
-            some = list(counts.items())
-            for at in range(0, len(some), 100_000):
-                own = some[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in own], pa.binary()), pa.array([n for _, n in own], pa.int64())], ["word", "n"])
-
-        counts: Counter = Counter()
+        parts, held, heavy, ends = [], 0, 0, 0
         for batch in slices(batches, 4 << 20):
             found = split_words(batch["text"])[0].value_counts()
-            counts.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist())))
-            counts[END] += len(batch)
-            if len(counts) > most:
-                yield from rows(counts)
-                counts = Counter()
-        yield from rows(counts)
+            parts.append(pa.table([found.field(0).cast(pa.binary()), found.field(1)], ["word", "n"]))
+            held, heavy, ends = held + len(found), heavy + parts[-1].nbytes, ends + len(batch)
+            if held > 2 * most or heavy > 2 * BYTES:
+                parts = [added_counts(parts)]
+                held, heavy = len(parts[0]), parts[0].nbytes
+                if held > most or heavy > BYTES:
+                    yield from parts[0].to_batches(100_000)
+                    parts, held, heavy = [], 0, 0
+        if ends:
+            parts.append(pa.table([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], ["word", "n"]))
+            yield from added_counts(parts).to_batches(100_000)
+        parts = None
+        pa.default_memory_pool().release_unused()  # the worker stays for the stages behind
 
     return written(training.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
@@ -166,19 +176,28 @@ def shaped(v: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _softmax(a: np.ndarray, place: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log of the softmax of rows of ``a`` at the chosen columns, for every place; the exponentials and each row's total, so
-    that exponentials over totals are the softmax."""
-    own = a.reshape(-1)[place * a.shape[1] + chosen]
-    with np.errstate(over="ignore"):
-        e = np.exp(a)
-        total = e @ np.ones(a.shape[1], a.dtype)
-    if not 1e-20 < total.min(initial=1) <= total.max(initial=1) < 1e20:  # rare: numbers that exp doesn't keep apart
-        most = a.max(axis=1)
-        own -= most[place]
-        np.exp(a - most[:, None], out=e)
-        total = e.sum(axis=1)
-    return own - np.log(total.take(place)), e, total
+def _room(room: dict, name: str, shape: tuple, kind) -> np.ndarray:
+    """An array of any content, in the place of the one that ``room`` held by this name."""
+    n = math.prod(shape)
+    kept = room.get(name)
+    if kept is None or len(kept) < n or kept.dtype != kind:
+        kept = room[name] = np.empty(n + n // 4, kind)
+    return kept[:n].reshape(shape)
+
+
+def _softmax(a: np.ndarray, place: np.ndarray, chosen: np.ndarray, careful: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log of the softmax of rows of ``a`` at the chosen columns, for every place; the exponentials (``a`` becomes them) and
+    each row's total, so that exponentials over totals are the softmax. ``careful``: for numbers that exp doesn't keep apart."""
+    if careful:
+        a -= a.max(axis=1, keepdims=True)
+    own = a.reshape(-1).take(place * a.shape[1] + chosen)
+    np.exp(a, out=a)
+    total = a @ np.ones(a.shape[1], a.dtype)
+    return own - np.log(total.take(place)), a, total
+
+
+def _apart(total: np.ndarray) -> bool:
+    return bool(1e-20 < total.min(initial=1) <= total.max(initial=1) < 1e20)
 
 
 def _less_chosen(e: np.ndarray, total: np.ndarray, place: np.ndarray, chosen: np.ndarray, scale: float) -> np.ndarray:
@@ -211,60 +230,76 @@ def _places(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slic
     return place, thin, runs, runs[-1][1].stop if runs else some
 
 
-def log_likelihood(p, h: np.ndarray, target: np.ndarray, grads: dict | None = None, weights: np.ndarray | None = None, scale: float = 1.0):
-    """Natural log P(target) for rows of states; with ``grads``, also the gradient of its loss, times ``scale``, by the states. Words of a class
-    stand together and go through its matrix at once, the classes of few words side by side. ``weights``: the classes'
-    matrices with biases, if at hand."""
-    weights = _with_biases(p["ww"], p["bw"]) if weights is None else weights
+def log_likelihood(p, h: np.ndarray, target: np.ndarray, grads: dict | None = None, scale: float = 1.0):
+    """Natural log P(target) for rows of states; with ``grads``, also the gradient of its loss, times ``scale``, by the states."""
+    one = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
+    top, weights = _with_biases(p["wc"], p["bc"]), _with_biases(p["ww"], p["bw"])
+    if grads is None:
+        return _output(top, weights, one, target, {})
+    ll, out, by_top, by_class = _output(top, weights, one, target, {}, scale)
+    grads["wc"], grads["bc"], grads["ww"], grads["bw"] = by_top[:HIDDEN], by_top[HIDDEN], by_class[:, :HIDDEN], by_class[:, HIDDEN]
+    return ll, out
+
+
+def _output(top: np.ndarray, weights: np.ndarray, one: np.ndarray, target: np.ndarray, room: dict, scale: float | None = None, careful: bool = False):
+    """Natural log P(target) for rows of states that end in 1; with ``scale``, also the gradients of its loss by states, by
+    the classes' layer ``top`` and by the classes' matrices ``weights`` (all with biases); ``one`` is lost then. Words of a class
+    stand together and go through its matrix at once, the classes of few words side by side. ``room`` keeps arrays."""
+    kind, every = np.result_type(one, weights), np.arange(len(one))
     c, w = np.divmod(target, PER_CLASS)
-    one = np.ones((len(h), HIDDEN + 1), h.dtype)
-    one[:, :HIDDEN] = h
-    every = np.arange(len(h))
-    ll, a, total_a = _softmax(one @ _with_biases(p["wc"], p["bc"]), every, c)
     place, thin, thick, size = _places(c)
-    hs = np.zeros((size, HIDDEN + 1), h.dtype)  # a row without a word is 0
+    some, owned = len(thin) * TILE, weights.take(thin, axis=0)
+    hs = _room(room, "states by class", (size, HIDDEN + 1), kind)
+    hs[:some] = 0  # a row without a word
     hs[place] = one
-    b, some, owned = np.empty((size, PER_CLASS), a.dtype), len(thin) * TILE, weights.take(thin, axis=0)
+    a, b = _room(room, "classes", (len(one), CLASSES), kind), _room(room, "words", (size, PER_CLASS), kind)
+    np.dot(one, top, out=a)
     np.matmul(hs[:some].reshape(-1, TILE, HIDDEN + 1), owned, out=b[:some].reshape(-1, TILE, PER_CLASS))
     for k, at in thick:
         np.dot(hs[at], weights[k], out=b[at])
-    by_word, b, total_b = _softmax(b, place, w)
+    with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+        ll, a, total_a = _softmax(a, every, c, careful)
+        by_word, b, total_b = _softmax(b, place, w, careful)
+    if not (careful or _apart(total_a) and _apart(total_b)):  # rare
+        return _output(top, weights, one, target, room, scale, True)
     ll += by_word
-    if grads is None:
+    if scale is None:
         return ll
     over = _less_chosen(a, total_a, every, c, scale)
     one *= over
-    by_class = one.T @ a
-    grads["wc"], grads["bc"] = by_class[:HIDDEN], by_class[HIDDEN]
-    out = a @ p["wc"].T
+    by_top = one.T @ a
+    out = a @ top[:HIDDEN].T
     out *= over
     over = _less_chosen(b, total_b, place, w, scale)
     hs *= over
-    by_class, back = np.zeros(weights.shape, a.dtype), np.empty((size, HIDDEN), a.dtype)
+    by_class, back = _room(room, "by class", weights.shape, kind), _room(room, "back", (size, HIDDEN), kind)
+    by_class[:] = 0
     tiles = b[:some].reshape(-1, TILE, PER_CLASS)
     by_class[thin] = hs[:some].reshape(-1, TILE, HIDDEN + 1).transpose(0, 2, 1) @ tiles
     np.matmul(tiles, owned[:, :HIDDEN].transpose(0, 2, 1), out=back[:some].reshape(-1, TILE, HIDDEN))
     for k, at in thick:
         np.dot(hs[at].T, b[at], out=by_class[k])
-        np.dot(b[at], p["ww"][k].T, out=back[at])
+        np.dot(b[at], weights[k, :HIDDEN].T, out=back[at])
     back *= over
     out += back.take(place, axis=0)
-    grads["ww"], grads["bw"] = by_class[:, :HIDDEN], by_class[:, HIDDEN]
-    return ll, out
+    return ll, out, by_top, by_class
 
 
 def _sums(symbols_: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols, each once, and the sums of their rows; those of one row need no sum."""
+    """The symbols, each once, and the sums of their rows; those of one row need no sum, and those of many are a product each."""
     order = np.argsort(symbols_.astype(np.int16), kind="stable")  # symbols are few
     n = np.bincount(symbols_)
-    single, more = np.flatnonzero(n == 1), np.flatnonzero(n > 1)
-    counts = n[more]
-    alone = np.repeat(n == 1, n)
-    out = np.empty((len(more) + len(single), rows.shape[1]), rows.dtype)
+    single, more, many = np.flatnonzero(n == 1), np.flatnonzero((n > 1) & (n <= MANY)), np.flatnonzero(n > MANY)
+    counts, of = n[more], n.take(symbols_.take(order))
+    out = np.empty((len(more) + len(many) + len(single), rows.shape[1]), rows.dtype)
     if len(more):
-        np.add.reduceat(rows.take(order[~alone], axis=0), np.cumsum(counts) - counts, axis=0, out=out[: len(more)])
-    out[len(more) :] = rows.take(order[alone], axis=0)
-    return np.concatenate([more, single]), out
+        np.add.reduceat(rows.take(order[(of > 1) & (of <= MANY)], axis=0), np.cumsum(counts) - counts, axis=0, out=out[: len(more)])
+    own, ones, end = rows.take(order[of > MANY], axis=0), np.ones(len(rows), rows.dtype), 0
+    for i, k in enumerate(n[many].tolist(), len(more)):
+        np.dot(ones[:k], own[end : end + k], out=out[i])
+        end += k
+    out[len(more) + len(many) :] = rows.take(order[of == 1], axis=0)
+    return np.concatenate([more, many, single]), out
 
 
 def _adapt(p: np.ndarray, memory: np.ndarray, g: np.ndarray, rate: float) -> None:
@@ -301,120 +336,144 @@ def train(p: dict[str, np.ndarray], documents: list[np.ndarray], rate: float = 0
     before = np.concatenate([np.full((1, STREAMS), end), target[:-1]])
     before[first | (before < 0)] = end
     stays, begins = (~first).astype(np.float32)[:, None], first.any(axis=1)
-    memory = {k: np.full(s, 1e-3, np.float32) for k, s in SHAPES.items()}
-    both = 2 * HIDDEN
-    x_gates, h_gates = (np.empty((WINDOW, 3 * HIDDEN, STREAMS), np.float32) for _ in range(2))
-    zr, new, ones = np.empty((WINDOW, both, STREAMS), np.float32), np.empty((WINDOW, HIDDEN, STREAMS), np.float32), np.ones((both, STREAMS), np.float32)
-    states = np.zeros((WINDOW + 1, HIDDEN, STREAMS), np.float32)  # the first one: before the window
-    by, inner = (np.empty((WINDOW, 4, HIDDEN, STREAMS), np.float32) for _ in range(2))
-    dh, turned = np.empty((WINDOW, HIDDEN, STREAMS), np.float32), np.empty((HIDDEN, 4 * HIDDEN), np.float32)
+    both, cell = 2 * HIDDEN, (HIDDEN, STREAMS)
+    # Weights as training holds them: biases with their layer, and those of the two gates of exp(-x) with the other sign.
+    sign = np.repeat(np.array([-1, -1, 1], np.float32), HIDDEN)
+    x, u, b = p["x"] * sign, np.ascontiguousarray((p["u"] * sign).T), p["b"] * sign
+    top, weights = _with_biases(p["wc"], p["bc"]), _with_biases(p["ww"], p["bw"])
+    layers = [(own, np.full(own.shape, 1e-3, np.float32)) for own in (weights, top, u, b)]
+    x_memory, room = np.full(x.shape, 1e-3, np.float32), {}
+    x_gates, h_gates = (np.empty((WINDOW, 3 * HIDDEN, STREAMS), np.float32) for _ in range(2))  # the former become the gates
+    states, kept = np.zeros((WINDOW + 1, *cell), np.float32), np.empty(cell, np.float32)  # states' first one: before the window
+    by, ones = np.empty((WINDOW, 4, *cell), np.float32), np.ones((both, STREAMS), np.float32)
+    dh, before_, by_new, other = (np.empty((WINDOW, *cell), np.float32) for _ in range(4))
+    turned = np.empty((HIDDEN, 4 * HIDDEN), np.float32)
     turned[:, 3 * HIDDEN :] = np.eye(HIDDEN)  # the gate that keeps a state
-    forth = list(zip(x_gates[:, :both], x_gates[:, both:], h_gates, h_gates[:, :both], h_gates[:, both:], zr, zr[:, :HIDDEN], zr[:, HIDDEN:], new, states[1:]))
-    back_ = list(zip(dh, dh[:, None], by, inner, inner.reshape(WINDOW, 4 * HIDDEN, STREAMS)))
+    forth = list(zip(x_gates[:, :both], x_gates[:, :HIDDEN], x_gates[:, HIDDEN:both], x_gates[:, both:], h_gates, h_gates[:, :both], h_gates[:, both:], states[1:]))
+    back_ = list(zip(dh, dh[:, None], by, by.reshape(WINDOW, 4 * HIDDEN, STREAMS)))
+    add, subtract, multiply, divide, exp, tanh, dot = np.add, np.subtract, np.multiply, np.divide, np.exp, np.tanh, np.dot
     for at in range(0, steps, WINDOW):
         t, past, stay, begin = target[at : at + WINDOW], before[at : at + WINDOW].ravel(), stays[at : at + WINDOW], begins[at : at + WINDOW].tolist()
         m = len(t)
-        x_gates[:m] = (p["x"].take(past, axis=0) + p["b"]).reshape(m, STREAMS, 3 * HIDDEN).transpose(0, 2, 1)
-        u = np.ascontiguousarray(p["u"].T)
-        for part in (x_gates[:m, :both], u[:both]):
-            np.negative(part, out=part)
+        add(x.take(past, axis=0).reshape(m, STREAMS, 3 * HIDDEN).transpose(0, 2, 1), b[:, None], out=x_gates[:m])
         h = states[0]
-        with np.errstate(over="ignore"):  # a gate of exp(-x) beyond the floats is 0
-            for j, (x_zr, x_n, g, g_zr, g_n, both_, z, r, n, out) in enumerate(forth[:m]):
+        with np.errstate(over="ignore"):  # a gate of 1 / (1 + exp(-x)) with exp(-x) beyond the floats is 0
+            for j, (zr, z, r, new, g, g_zr, g_n, out) in enumerate(forth[:m]):
                 if begin[j]:
                     h = h * stay[j]
-                np.dot(u, h, out=g)
-                np.add(x_zr, g_zr, out=both_)
-                np.exp(both_, out=both_)
-                np.add(both_, ones, out=both_)
-                np.reciprocal(both_, out=both_)
-                np.multiply(r, g_n, out=n)
-                np.add(n, x_n, out=n)
-                np.tanh(n, out=n)
-                np.subtract(h, n, out=out)
-                np.multiply(out, z, out=out)
-                np.add(out, n, out=out)
+                dot(u, h, g)
+                add(zr, g_zr, zr)
+                exp(zr, zr)
+                add(zr, ones, zr)
+                divide(g_n, r, kept)
+                add(new, kept, new)
+                tanh(new, new)
+                subtract(h, new, out)
+                divide(out, z, out)
+                add(out, new, out)
                 h = out
-        inputs = states[:m] * stay
-        real = np.flatnonzero(t.ravel() >= 0)
-        grads: dict[str, np.ndarray] = {}
-        rows = states[1 : m + 1].transpose(0, 2, 1).reshape(-1, HIDDEN)
-        by_state = np.zeros_like(rows)
-        by_state[real] = log_likelihood(p, rows.take(real, axis=0), t.ravel()[real], grads, scale=1.0 / max(1, len(real)))[1]
+        inputs = multiply(states[:m], stay, out=before_[:m])
+        target_, one = t.ravel(), _room(room, "states", (m * STREAMS, HIDDEN + 1), np.float32)
+        one.reshape(m, STREAMS, HIDDEN + 1)[:, :, :HIDDEN] = states[1 : m + 1].transpose(0, 2, 1)
+        one[:, HIDDEN] = 1
+        real = np.flatnonzero(target_ >= 0)
+        if len(real) == len(one):
+            _, by_state, by_top, by_class = _output(top, weights, one, target_, room, 1.0 / len(one))
+        else:
+            by_state = np.zeros((len(one), HIDDEN), np.float32)
+            _, by_state[real], by_top, by_class = _output(top, weights, one.take(real, axis=0), target_[real], room, 1.0 / max(1, len(real)))
         dh[:m] = by_state.reshape(m, STREAMS, HIDDEN).transpose(0, 2, 1)
         # What a state's gradient is multiplied by for each gate: for all steps at once, so that the way back is short.
-        z, r, n, hn, own = zr[:m, :HIDDEN], zr[:m, HIDDEN:], new[:m], h_gates[:m, both:], by[:m]
-        by_new = (1 - z) * (1 - n * n)
-        np.multiply((inputs - n) * z, 1 - z, out=own[:, 0])
-        np.multiply(by_new, r, out=own[:, 2])
-        np.multiply(own[:, 2], hn * (1 - r), out=own[:, 1])
+        np.reciprocal(x_gates[:m, :both], out=x_gates[:m, :both])
+        z, r, n, own, change, rest = x_gates[:m, :HIDDEN], x_gates[:m, HIDDEN:both], x_gates[:m, both:], by[:m], by_new[:m], other[:m]
+        subtract(1, z, out=rest)
+        multiply(n, n, out=change)
+        subtract(1, change, out=change)
+        multiply(change, rest, out=change)
+        subtract(n, inputs, out=own[:, 0])
+        multiply(rest, z, out=rest)
+        multiply(own[:, 0], rest, out=own[:, 0])
+        multiply(change, r, out=own[:, 2])
+        subtract(r, 1, out=rest)
+        multiply(rest, h_gates[:m, both:], out=rest)
+        multiply(rest, own[:, 2], out=own[:, 1])
         own[:, 3] = z
-        turned[:, : 3 * HIDDEN] = p["u"]
-        back = np.zeros((HIDDEN, STREAMS), np.float32)
+        turned[:, : 3 * HIDDEN] = u.T
+        back = np.zeros(cell, np.float32)
         for j in range(m - 1, -1, -1):
-            d, d_, factors, each, flat_ = back_[j]
-            np.add(d, back, out=d)
-            np.multiply(d_, factors, out=each)
-            np.dot(turned, flat_, out=back)
+            d, d_, factors, flat_ = back_[j]
+            add(d, back, d)
+            multiply(d_, factors, factors)
+            dot(turned, flat_, back)
             if begin[j]:
                 back *= stay[j]
-        gates = inner[:m, :3].transpose(0, 3, 1, 2).reshape(-1, 3 * HIDDEN)
-        grads["u"] = inputs.transpose(0, 2, 1).reshape(-1, HIDDEN).T @ gates
-        gates[:, both:] = (dh[:m] * by_new).transpose(0, 2, 1).reshape(-1, HIDDEN)
-        grads["b"] = gates.sum(axis=0)
+        gates = _room(room, "gates", (m * STREAMS, 3 * HIDDEN), np.float32)
+        gates.reshape(m, STREAMS, 3, HIDDEN)[:] = own[:, :3].transpose(0, 3, 1, 2)
+        by_u = gates.T @ inputs.transpose(0, 2, 1).reshape(-1, HIDDEN)
+        multiply(change, dh[:m], out=change)
+        gates.reshape(m, STREAMS, 3, HIDDEN)[:, :, 2] = change.transpose(0, 2, 1)
         words_, g = _sums(past, gates)
-        some, own = p["x"].take(words_, axis=0), memory["x"].take(words_, axis=0)
+        some, own = x.take(words_, axis=0), x_memory.take(words_, axis=0)
+        by_b = g.sum(axis=0)
         _adapt(some, own, g, rate)
-        p["x"][words_], memory["x"][words_] = some, own
-        for k, g in grads.items():
-            _adapt(p[k], memory[k], g, rate)
+        x[words_], x_memory[words_] = some, own
+        for (own, own_memory), g in zip(layers, (by_class, by_top, by_u, by_b)):
+            _adapt(own, own_memory, g, rate)
         states[0] = h
+    p["x"][:], p["u"][:], p["b"][:] = x * sign, u.T * sign, b * sign
+    p["wc"][:], p["bc"][:], p["ww"][:], p["bw"][:] = top[:HIDDEN], top[HIDDEN], weights[:, :HIDDEN], weights[:, HIDDEN]
     return sum(length)
 
 
 def score_batch(p: dict[str, np.ndarray], documents: list[np.ndarray], end: int) -> np.ndarray:
     """Natural log-likelihood of each whole document under the network. Documents advance side by side, the longest
-    first, each from a cleared state; states stay from one window to the next."""
-    out = np.zeros(len(documents))
-    order = np.array(sorted(range(len(documents)), key=lambda i: -len(documents[i])))
-    gates = [slice(k * HIDDEN, (k + 1) * HIDDEN) for k in range(3)]
-    z_table, r_table, n_table = (np.ascontiguousarray(s * (p["x"][:, g] + p["b"][g])) for g, s in zip(gates, (-1, -1, 1)))
-    z_u, r_u, n_u = (np.ascontiguousarray(s * p["u"][:, g]) for g, s in zip(gates, (-1, -1, 1)))
-    weights = _with_biases(p["ww"], p["bw"])
+    first, each from a cleared state; states stay from one window to the next. Gates lie one behind the other."""
+    out, kind = np.zeros(len(documents)), p["x"].dtype
+    lengths = np.array([len(d) for d in documents], np.int64)
+    order = np.argsort(-lengths, kind="stable")
+    signs, one = np.array([-1, -1, 1], kind)[:, None, None], np.ones((), kind)
+    table, u = (np.ascontiguousarray(x.reshape(-1, 3, HIDDEN).transpose(1, 0, 2) * signs) for x in (p["x"] + p["b"], p["u"]))
+    top, weights, room = _with_biases(p["wc"], p["bc"]), _with_biases(p["ww"], p["bw"]), {}
+    states, targets, owners = (np.empty((FULL + ABREAST, *s), k) for s, k in (((HIDDEN,), kind), ((), np.int64), ((), np.int64)))
     for some in range(0, len(order), ABREAST):
         own = order[some : some + ABREAST]
-        lengths = np.array([len(documents[i]) for i in own])
-        joined = np.concatenate([documents[i] for i in own])
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left").tolist()  # documents with more words than that
-        total, h, before = np.zeros(len(own)), np.zeros((len(own), HIDDEN), np.float32), np.full(len(own), end, np.int64)
-        at = 0
-        while at < len(active):
-            states, targets, owners, held = [], [], [], 0
-            with np.errstate(over="ignore"):  # a gate of exp(-x) beyond the floats is 0
-                while at < len(active) and held < 1 << 12:
-                    n = active[at]
-                    h, before = h[:n], before[:n]
-                    z, r, new = h @ z_u, h @ r_u, h @ n_u
-                    for gate, table in ((z, z_table), (r, r_table)):
-                        gate += table.take(before, axis=0)
-                        np.exp(gate, out=gate)
-                        gate += 1
-                        np.reciprocal(gate, out=gate)
-                    new *= r
-                    new += n_table.take(before, axis=0)
+        length, joined = lengths[own], np.concatenate([documents[i] for i in own])
+        starts = np.cumsum(length) - length
+        total, h, before = np.zeros(len(own)), np.zeros((len(own), HIDDEN), kind), np.full(len(own), end, np.int64)
+        at, held, n = 0, 0, int(np.count_nonzero(length))
+        while n:
+            # Steps in which the same documents go on.
+            steps = min(int(length[n - 1]) - at, max(1, (FULL - held) // n))
+            rows = slice(held, held + steps * n)
+            now = targets[rows].reshape(steps, n)
+            now[:] = joined.take(starts[:n] + np.arange(at, at + steps)[:, None])
+            owners[rows].reshape(steps, n)[:] = np.arange(n)
+            past = np.concatenate([before[:n], targets[rows][: (steps - 1) * n]])
+            x = table.take(past, axis=1).reshape(3, steps, n, HIDDEN)
+            g = _room(room, "gates", (3, n, HIDDEN), kind)
+            zr, z, r, new, h = g[:2], g[0], g[1], g[2], h[:n]
+            with np.errstate(over="ignore"):  # a gate of 1 / (1 + exp(-x)) with exp(-x) beyond the floats is 0
+                for x_zr, x_n, state in zip(x[:2].swapaxes(0, 1), x[2], states[rows].reshape(steps, n, HIDDEN)):
+                    np.matmul(h, u, out=g)
+                    np.add(zr, x_zr, out=zr)
+                    np.exp(zr, out=zr)
+                    np.add(zr, one, out=zr)
+                    np.divide(new, r, out=new)
+                    np.add(new, x_n, out=new)
                     np.tanh(new, out=new)
-                    h = h - new
-                    h *= z
-                    h += new
-                    before = joined[starts[:n] + at]
-                    states.append(h)
-                    targets.append(before)
-                    owners.append(n)
-                    held += n
-                    at += 1
-            ll = log_likelihood(p, np.concatenate(states), np.concatenate(targets), weights=weights)
-            total += np.bincount(np.concatenate([np.arange(n) for n in owners]), ll, minlength=len(total))
+                    np.subtract(h, new, out=state)
+                    np.divide(state, z, out=state)
+                    np.add(state, new, out=state)
+                    h = state
+            at, held, before = at + steps, held + steps * n, now[-1]
+            while n and length[n - 1] == at:
+                n -= 1
+            if held >= FULL - n or not n:
+                ones = _room(room, "states", (held, HIDDEN + 1), kind)
+                ones[:, :HIDDEN], ones[:, HIDDEN] = states[:held], 1
+                ll = _output(top, weights, ones, targets[:held], room)
+                total += np.bincount(owners[:held], ll, minlength=len(total))
+                h, before, held = h.copy(), before.copy(), 0
         out[own] = total
     return out
 
@@ -498,21 +557,31 @@ def score(docs: DataFrame) -> DataFrame:
         by_place = np.append(base, 0.0)  # the last one is the place -1
         by_other = by_place.copy()
         by_other[: min(SHORTLIST, len(base))] = 0
-        part, at = TaskContext.get().partitionId() << 33, 0
+        def scored_rows(held):
+            documents = [d for _, ids, n in held for d in apart(ids, n)]
+            ll, at = score_batch(net, documents, int(documents[0][-1])) / LN10, 0
+            for (*columns, others, lists, times), _, n in held:
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(others + ll[at : at + len(n)]), lists, times],
+                                                 ["doc_id", "row", "n_tokens", "n_head", "head_score", "network", "rare", "times"])
+                at += len(n)
+
+        part, at, held, size, heavy = TaskContext.get().partitionId() << 33, 0, [], 0, 0
         for batch in slices(batches, 12 << 20):
             places, n, split = symbols(batch["text"], index)
             starts = np.cumsum(n) - n
-            ids = network_ids(places)
             # Among other words a word has its share of theirs; that of rare ones is joined later.
             beyond = np.add.reduceat((places < 0) | (places >= SHORTLIST), starts, dtype=np.int64)
             others = np.add.reduceat(by_other[places], starts) - beyond * other
-            ll = score_batch(net, apart(ids, n), int(ids[n[0] - 1])) / LN10
-            lists, times = _rare(places, n, split)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(part + at + np.arange(len(n))), pa.array(n), pa.array(np.add.reduceat(places >= 0, starts, dtype=np.int64)),
-                 pa.array(np.add.reduceat(by_place[places], starts)), pa.array(others + ll), lists, times],
-                ["doc_id", "row", "n_tokens", "n_head", "head_score", "network", "rare", "times"])
-            at += len(n)
+            columns = [batch["doc_id"].take(pa.array(np.arange(len(n)))),  # a copy: texts aren't kept
+                       pa.array(part + at + np.arange(len(n))), pa.array(n), pa.array(np.add.reduceat(places >= 0, starts, dtype=np.int64)),
+                       pa.array(np.add.reduceat(by_place[places], starts)), others, *_rare(places, n, split)]
+            held.append((columns, network_ids(places).astype(np.int16), n))
+            at, size, heavy = at + len(n), size + len(places), heavy + columns[-2].nbytes
+            if size >= SIDE_BY_SIDE or heavy >= BYTES:
+                yield from scored_rows(held)
+                held, size, heavy = [], 0, 0
+        if held:
+            yield from scored_rows(held)
 
     schema = "doc_id long, row long, n_tokens long, n_head long, head_score double, network double, rare array<binary>, times array<long>"
     scored = written(rows.mapInArrow(run, schema), "scored")
